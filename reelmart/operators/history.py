@@ -9,6 +9,7 @@ small size (``start - end`` months), so broadcasting it is safe.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,11 @@ def _round(x: Column, d: int) -> Column:
     return F.round(x, d)
 
 
+def _d(text: str) -> Column:
+    """Exact decimal literal."""
+    return F.lit(Decimal(text))
+
+
 def synthetic_history(movies: DataFrame, today: dt.date, start_months: int = 6,
                       end_months: int = 1) -> DataFrame:
     """``movies`` (movie_id, popularity, vote_average, vote_count,
@@ -66,25 +72,30 @@ def _history(movies: DataFrame, spine: DataFrame) -> DataFrame:
                     F.col("revenue").alias("cur_rev"))
             .crossJoin(spine))
     phase = md5_bucket(1000, F.col("movie_id")) / F.lit(1000.0)
-    noise = md5_bucket(1000, F.col("movie_id"), F.col("months_ago")) / F.lit(1000.0)
+    noise_k = md5_bucket(1000, F.col("movie_id"), F.col("months_ago"))
     spike_bucket = md5_bucket(100, F.col("movie_id"), F.col("months_ago"), F.lit(7))
-    g = base.select("*", phase.alias("phase"), noise.alias("noise"),
+    g = base.select("*", phase.alias("phase"), noise_k.alias("noise_k"),
                     spike_bucket.alias("spike_bucket"))
+    # popularity is a float curve; rating, votes and revenue are computed in
+    # exact decimals (the source numbers are decimals), then rounded half up
+    noise = F.col("noise_k") / F.lit(1000.0)
     ago = F.col("months_ago").cast("double")
-    spike = F.when(F.col("spike_bucket") < 8, F.lit(1.6) + F.col("noise")).otherwise(F.lit(1.0))
+    spike = F.when(F.col("spike_bucket") < 8, F.lit(1.6) + noise).otherwise(F.lit(1.0))
     curve = (F.col("cur_pop")
              * (F.lit(0.70) + F.lit(0.45) * F.sin(F.lit(2.0) * F.pi() * (ago / F.lit(6.0) + F.col("phase"))))
-             * (F.lit(0.90) + F.lit(0.20) * F.col("noise"))
+             * (F.lit(0.90) + F.lit(0.20) * noise)
              * spike)
     popularity = _round(greatest_strict(F.lit(0.0), curve), 3)
-    drift = _round(F.col("cur_va").cast("double") + (F.col("noise") - F.lit(0.5)) * F.lit(0.15)
-                   - F.lit(0.02) * ago, 2)
-    vote_average = least_strict(F.lit(10.0), greatest_strict(F.lit(0.0), drift)).cast("decimal(4,2)")
-    votes = greatest_strict(F.lit(0.0), F.col("cur_vc").cast("double")
-                            * (F.lit(1.0) - F.lit(0.004) * ago)
-                            * (F.lit(0.998) + F.lit(0.004) * F.col("noise")))
+    nx = F.col("noise_k").cast("decimal(18,0)") * _d("0.001")
+    agox = F.col("months_ago").cast("decimal(9,0)")
+    drift = _round(F.col("cur_va").cast("decimal(4,2)") + (nx - _d("0.5")) * _d("0.15")
+                   - _d("0.02") * agox, 2)
+    vote_average = least_strict(_d("10"), greatest_strict(_d("0"), drift)).cast("decimal(4,2)")
+    votes = greatest_strict(_d("0"), F.col("cur_vc").cast("decimal(20,0)")
+                            * (_d("1") - _d("0.004") * agox)
+                            * (_d("0.998") + _d("0.004") * nx))
     vote_count = _round(votes, 0).cast("bigint")
-    revenue = _round(F.col("cur_rev").cast("double") * (F.lit(0.997) + F.lit(0.006) * F.col("noise")),
+    revenue = _round(F.col("cur_rev").cast("decimal(20,0)") * (_d("0.997") + _d("0.006") * nx),
                      0).cast("bigint")
     return g.select("movie_id", "snapshot_date", popularity.alias("popularity"),
                     vote_average.alias("vote_average"), vote_count.alias("vote_count"),

@@ -52,16 +52,14 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
         (F.col("__n") / 2).cast("long").alias("__khi0"))
     targets = targets.select(*keys, "__klo", (F.col("__khi0") + 1).alias("__khi"))
 
-    cand = counts.join(targets, keys, "inner")
-    spark = df.sparkSession
+    cand = _materialize(counts.join(targets, keys, "inner"))
     for _ in range(max_rounds):
         distinct_vals = cand.groupBy(*keys).agg(F.count(F.lit(1)).alias("__d"))
         big = distinct_vals.filter(F.col("__d") > bucket_rows).select(*keys)
         if big.limit(1).count() == 0:
             break
-        cand = _narrow(cand.join(big, keys, "left_semi"), keys, fanout).unionByName(
-            cand.join(big, keys, "left_anti"))
-        cand = cand.checkpoint(eager=True) if spark.sparkContext.getCheckpointDir() else cand
+        cand = _materialize(_narrow(cand.join(big, keys, "left_semi"), keys, fanout).unionByName(
+            cand.join(big, keys, "left_anti")))
 
     # Final exact pick: running count over <= bucket_rows distinct values/group.
     w = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
@@ -76,6 +74,31 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
     return groups.select(*keys).join(med, keys, "left")
 
 
+def exact_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str]) -> DataFrame:
+    """Several exact medians per group in one pass: the value columns are
+    unpivoted (``inline`` in the scan stage) and selected together.
+
+    ``values`` maps output name -> input column. One row per group.
+    """
+    keys = list(keys)
+    long = df.select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(name).alias("__m"), F.col(col).cast("double").alias("__x"))
+        for name, col in values.items()])))
+    med = exact_median(long, [*keys, "__m"], "__x", "__med")
+    return med.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("__m") == name, F.col("__med"))).alias(name) for name in values])
+
+
+def _materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the session's shared
+    checkpoint folder (never a local checkpoint); the size check of each
+    round then reads the saved candidates instead of recomputing the input.
+    Without a checkpoint folder the plan is left as is."""
+    if df.sparkSession.sparkContext.getCheckpointDir():
+        return df.checkpoint(eager=True)
+    return df
+
+
 def _narrow(cand: DataFrame, keys: list[str], fanout: int) -> DataFrame:
     """Keep only the slice(s) of each group that contain the target ranks."""
     probs = [i / fanout for i in range(1, fanout)]

@@ -5,8 +5,9 @@ movie per load). The supplied tables hold no movies, so this adapter maps
 them onto that shape; every payload grows with the tables:
 
 * movie = an order (document part, see below); release date = order date;
-  revenue = rounded total price; budget = rounded sum of line prices (0 when
-  the order has no lines, so it reads as unknown); popularity = total / 1000;
+  revenue = total price in cents; budget = sum of line prices in cents (0
+  when the order has no lines, so it reads as unknown); popularity =
+  total / 1000;
   votes = sum of line quantities; rating = 100 x the largest line discount.
 * genres = distinct nations of the order's suppliers (at most 25 values);
   production companies = distinct part brands (at most 25 values).
@@ -76,7 +77,7 @@ def _movie_parts(spark, sf_dir: str) -> DataFrame:
     genre = F.struct(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"))
     agg = lines.groupBy("l_orderkey", "movie_id").agg(
         F.count(F.lit(1)).alias("runtime"),
-        F.sum("l_extendedprice").alias("__ext"),
+        F.sum(F.round(F.col("l_extendedprice") * F.lit(100.0)).cast("bigint")).alias("__ext"),
         F.sum("l_quantity").alias("__qty"),
         F.max("l_discount").alias("__maxdisc"),
         F.collect_set(genre).alias("genres"),
@@ -87,7 +88,7 @@ def _movie_parts(spark, sf_dir: str) -> DataFrame:
         F.coalesce("movie_id", "o_orderkey").alias("movie_id"), "o_orderkey", "o_orderstatus",
         "o_totalprice", "o_orderdate", "o_orderpriority",
         F.coalesce("runtime", F.lit(0)).alias("runtime"),
-        F.coalesce(F.round("__ext"), F.lit(0.0)).cast("bigint").alias("budget"),
+        F.coalesce(F.col("__ext"), F.lit(0)).cast("bigint").alias("budget"),
         F.coalesce(F.col("__qty"), F.lit(0.0)).cast("bigint").alias("vote_count0"),
         F.round(F.col("__maxdisc") * F.lit(100.0), 2).alias("vote_average"),
         F.coalesce("genres", F.array()).alias("genres"),
@@ -101,40 +102,42 @@ LOADS = [(1, 1.0, 0, False), (7, 1.5, 10, True), (25, 2.0, 20, True)]
 
 
 def raw_movie_details(spark, sf_dir: str) -> DataFrame:
-    """Raw table (raw_payload VARIANT, ingested_at TIMESTAMP_NTZ)."""
+    """Raw table (raw_payload VARIANT, ingested_at TIMESTAMP_NTZ).
+
+    The loads are generated in one pass (``explode`` over the fixed load
+    schedule), so the line aggregation is computed once.
+    """
     m = _movie_parts(spark, sf_dir)
+    schedule = F.array(*[F.struct(F.lit(h).alias("hours"), F.lit(f).alias("factor"),
+                                  F.lit(e).alias("extra"), F.lit(o).alias("open_only"))
+                         for h, f, e, o in LOADS])
+    m = (m.select("*", F.explode(schedule).alias("__load"))
+         .filter(~F.col("__load.open_only") | (F.col("o_orderstatus") == "O")))
     status = (F.when(F.col("o_orderstatus") == "F", F.lit("Released"))
               .when(F.col("o_orderstatus") == "O", F.lit("Post Production"))
               .otherwise(F.lit("In Production")))
-    loads = []
-    for hours, pop_factor, extra_votes, open_only in LOADS:
-        src = m.filter(F.col("o_orderstatus") == "O") if open_only else m
-        doc = F.struct(
-            F.col("movie_id").alias("id"),
-            F.concat(F.lit("Title "), F.col("movie_id").cast("string")).alias("title"),
-            F.concat(F.lit("Original "), F.col("movie_id").cast("string")).alias("original_title"),
-            F.lower("o_orderstatus").alias("original_language"),
-            status.alias("status"),
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("release_date"),
-            F.col("runtime"),
-            F.col("budget"),
-            F.round("o_totalprice").cast("bigint").alias("revenue"),
-            F.col("vote_average"),
-            (F.col("vote_count0") + F.lit(extra_votes)).alias("vote_count"),
-            (F.col("o_totalprice") / F.lit(1000.0) * F.lit(pop_factor)).alias("popularity"),
-            F.concat(F.lit("Ordered with priority "), F.col("o_orderpriority")).alias("overview"),
-            F.lit(False).alias("video"),
-            (F.col("o_orderpriority") == F.lit("1-URGENT")).alias("adult"),
-            F.concat(F.lit("tt"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0")).alias("imdb_id"),
-            F.col("genres"), F.col("production_companies"))
-        loads.append(src.select(
-            F.parse_json(F.to_json(doc)).alias("raw_payload"),
-            (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(hours)))
-            .cast("timestamp_ntz").alias("ingested_at")))
-    out = loads[0]
-    for x in loads[1:]:
-        out = out.unionByName(x)
-    return out
+    doc = F.struct(
+        F.col("movie_id").alias("id"),
+        F.concat(F.lit("Title "), F.col("movie_id").cast("string")).alias("title"),
+        F.concat(F.lit("Original "), F.col("movie_id").cast("string")).alias("original_title"),
+        F.lower("o_orderstatus").alias("original_language"),
+        status.alias("status"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("release_date"),
+        F.col("runtime"),
+        F.col("budget"),
+        F.round(F.col("o_totalprice") * F.lit(100.0)).cast("bigint").alias("revenue"),
+        F.col("vote_average"),
+        (F.col("vote_count0") + F.col("__load.extra")).alias("vote_count"),
+        (F.col("o_totalprice") / F.lit(1000.0) * F.col("__load.factor")).alias("popularity"),
+        F.concat(F.lit("Ordered with priority "), F.col("o_orderpriority")).alias("overview"),
+        F.lit(False).alias("video"),
+        (F.col("o_orderpriority") == F.lit("1-URGENT")).alias("adult"),
+        F.concat(F.lit("tt"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0")).alias("imdb_id"),
+        F.col("genres"), F.col("production_companies"))
+    return m.select(
+        F.parse_json(F.to_json(doc)).alias("raw_payload"),
+        (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.col("__load.hours")))
+        .cast("timestamp_ntz").alias("ingested_at"))
 
 
 def raw_credits(spark, sf_dir: str) -> DataFrame:

@@ -20,10 +20,10 @@ from reelmart.functions.columns import (bayes_rating, has_both, ieq, margin, mas
                                         profit, safe_ratio, tier)
 from reelmart.functions.payload import FieldSpec, as_variant, extract, get_field
 from reelmart.operators.explode import explode_payload
-from reelmart.operators.history import synthetic_history
+from reelmart.operators.history import synthetic_history, synthetic_history_from
 from reelmart.operators.incremental import new_rows, upsert
 from reelmart.operators.joins import union_distinct, with_global_mean
-from reelmart.operators.median import exact_median
+from reelmart.operators.median import exact_medians
 from reelmart.operators.windows import dense_top_n, latest_per_key, sort_key, top_n_per_key
 
 DEFAULT = MartConfig()
@@ -90,11 +90,6 @@ CREW_FIELDS = [
 ]
 
 
-def _payload_tiebreak(raw: DataFrame) -> list[Column]:
-    # total order among loads stamped at the same time: the payload text
-    return [F.to_json(as_variant(raw, "raw_payload")).asc()]
-
-
 # --- staging ---------------------------------------------------------------
 
 def stg_movie_details(raw: DataFrame, cfg: MartConfig = DEFAULT) -> DataFrame:
@@ -307,15 +302,26 @@ def fact_movie_snapshot(raw: DataFrame, target: DataFrame | None = None,
     return upsert(target.select(*SNAPSHOT_COLUMNS), out, ["movie_id", "snapshot_date"])
 
 
-def snapshot_seed(raw: DataFrame, today: dt.date, cfg: MartConfig = DEFAULT) -> DataFrame:
-    """Synthetic monthly history for the latest version of each movie."""
+def _current_values(raw: DataFrame, cfg: MartConfig) -> DataFrame:
     cur = extract(raw.withColumn("__tb", F.to_json(as_variant(raw, "raw_payload"))),
                   "raw_payload", OBSERVED_FIELDS, keep=["ingested_at", "__tb"],
                   on_error=cfg.on_error)
-    latest = latest_per_key(cur, ["movie_id"],
-                            [sort_key("ingested_at", desc=True, nulls_first=cfg.desc_nulls_first)],
-                            [F.col("__tb").asc()])
-    return synthetic_history(latest, today, cfg.history_start_months, cfg.history_end_months)
+    return latest_per_key(cur, ["movie_id"],
+                          [sort_key("ingested_at", desc=True, nulls_first=cfg.desc_nulls_first)],
+                          [F.col("__tb").asc()])
+
+
+def snapshot_seed(raw: DataFrame, today: dt.date, cfg: MartConfig = DEFAULT) -> DataFrame:
+    """Synthetic monthly history for the latest version of each movie."""
+    return synthetic_history(_current_values(raw, cfg), today, cfg.history_start_months,
+                             cfg.history_end_months)
+
+
+def snapshot_seed_from(raw: DataFrame, anchor: DataFrame, col: str,
+                       cfg: MartConfig = DEFAULT) -> DataFrame:
+    """M18 with the run date read from a one-row frame."""
+    return synthetic_history_from(_current_values(raw, cfg), anchor, col,
+                                  cfg.history_start_months, cfg.history_end_months)
 
 
 # --- aggregate marts ----------------------------------------------------------
@@ -355,9 +361,8 @@ def agg_genre_roi(fact: DataFrame, bridge_genre: DataFrame, genres: DataFrame) -
         F.count("roi").alias("movie_count_with_financial_data"),
         F.round(F.avg("roi"), 2).alias("average_revenue_to_budget_ratio"),
         F.round(F.avg("pm"), 2).alias("average_profit_margin"))
-    med_roi = exact_median(rows, keys, "roi", "__mroi")
-    med_pm = exact_median(rows, keys, "pm", "__mpm")
-    return (base.join(med_roi, keys, "left").join(med_pm, keys, "left")
+    meds = exact_medians(rows, keys, {"__mroi": "roi", "__mpm": "pm"})
+    return (base.join(meds, keys, "left")
             .select(*keys, "movie_count", "movie_count_with_financial_data",
                     "average_revenue_to_budget_ratio", "average_profit_margin",
                     F.round("__mroi", 2).alias("median_revenue_to_budget_ratio"),
@@ -426,8 +431,13 @@ def agg_genre_evolution(fact: DataFrame, bridge_genre: DataFrame, genres: DataFr
 
 def build_all(raw_details: DataFrame, raw_credits: DataFrame, cfg: MartConfig = DEFAULT,
               today: dt.date | None = None, fact_target: DataFrame | None = None,
-              snapshot_target: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Every mart as a lazy DataFrame, keyed by model name."""
+              snapshot_target: DataFrame | None = None,
+              seed_anchor: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every mart as a lazy DataFrame, keyed by model name.
+
+    The synthetic seed (first snapshot build only) is dated from ``today``
+    or from the one-row frame ``seed_anchor`` (column ``today``).
+    """
     out: dict[str, DataFrame] = {}
     out["stg_movie_details"] = stg = stg_movie_details(raw_details, cfg)
     out["stg_credits"] = cr = stg_credits(raw_credits, cfg)
@@ -444,7 +454,9 @@ def build_all(raw_details: DataFrame, raw_credits: DataFrame, cfg: MartConfig =
     out["bridge_movie_cast"] = bc = bridge_movie_cast(ica, cfg)
     out["fact_movie"] = fact = fact_movie(stg, fact_target, cfg)
     seed = None
-    if snapshot_target is None and today is not None:
+    if snapshot_target is None and seed_anchor is not None:
+        out["snapshot_seed"] = seed = snapshot_seed_from(raw_details, seed_anchor, "today", cfg)
+    elif snapshot_target is None and today is not None:
         out["snapshot_seed"] = seed = snapshot_seed(raw_details, today, cfg)
     out["fact_movie_snapshot"] = snap = fact_movie_snapshot(raw_details, snapshot_target, seed, cfg)
     out["daily_movie_trends"] = daily_movie_trends(fact, snap, cfg)

@@ -83,6 +83,27 @@ def _iround_avg(x: str, d: int = 2) -> str:
             f"NULLIF(2 * COUNT({x}), 0)) AS DOUBLE) / {f}.0")
 
 
+def _history_sql(src: str) -> str:
+    """SELECT of the synthetic history formulas over ``src`` (columns
+    movie_id, snapshot_date, months_ago, cur_pop, cur_va, cur_vc, cur_rev,
+    phase, noise_k, spike_bucket): float curve, exact decimal drift/decay."""
+    nx = "(CAST(noise_k AS DECIMAL(18,0)) * CAST(0.001 AS DECIMAL(4,3)))"
+    ago = "CAST(months_ago AS DECIMAL(9,0))"
+    noise = "(noise_k / 1000.0)"
+    pop = (f"GREATEST(0.0, cur_pop * (0.70 + 0.45 * sin(2.0 * pi() * (CAST(months_ago AS DOUBLE) / 6.0"
+           f" + phase))) * (0.90 + 0.20 * {noise}) * CASE WHEN spike_bucket < 8 THEN 1.6 + {noise}"
+           f" ELSE 1.0 END)")
+    return f"""SELECT movie_id, snapshot_date, {_sround(pop, 3)} AS popularity,
+       CASE WHEN cur_va IS NULL THEN NULL ELSE CAST(LEAST(CAST(10 AS DECIMAL(4,2)), GREATEST(CAST(0 AS DECIMAL(4,2)),
+            ROUND(CAST(cur_va AS DECIMAL(4,2)) + ({nx} - 0.5) * 0.15 - 0.02 * {ago}, 2))) AS DECIMAL(4,2)) END
+         AS vote_average,
+       CAST(ROUND(GREATEST(CAST(0 AS DECIMAL(38,6)), CAST(CAST(cur_vc AS DECIMAL(20,0)) * (1 - 0.004 * {ago})
+            * (0.998 + 0.004 * {nx}) AS DECIMAL(38,6))), 0) AS BIGINT) AS vote_count,
+       CAST(ROUND(CAST(CAST(cur_rev AS DECIMAL(20,0)) * (0.997 + 0.006 * {nx}) AS DECIMAL(38,6)), 0) AS BIGINT)
+         AS revenue
+FROM {src}"""
+
+
 # --- P1 / P2 / J5 / S1 --------------------------------------------------------
 
 @register("json_extract", """
@@ -625,21 +646,13 @@ def supplier_movies(spark, d) -> DataFrame:
                NULLIF(CAST(ROUND(s_acctbal) AS BIGINT), 0) AS cur_rev FROM supplier),
 g AS (SELECT m.*, p.snapshot_date, p.months_ago,
              {_md5_sql('CAST(m.movie_id AS VARCHAR)', 1000)} / 1000.0 AS phase,
-             {_md5_sql("CAST(m.movie_id AS VARCHAR) || '|' || CAST(p.months_ago AS VARCHAR)", 1000)}
-               / 1000.0 AS noise,
+             {_md5_sql("CAST(m.movie_id AS VARCHAR) || '|' || CAST(p.months_ago AS VARCHAR)", 1000)} AS noise_k,
              {_md5_sql("CAST(m.movie_id AS VARCHAR) || '|' || CAST(p.months_ago AS VARCHAR) || '|7'", 100)}
                AS spike_bucket
-      FROM m CROSS JOIN spine p WHERE m.cur_pop IS NOT NULL)
-SELECT movie_id, strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date,
-       {_sround('''GREATEST(0.0, cur_pop * (0.70 + 0.45 * sin(2.0 * pi() * (CAST(months_ago AS DOUBLE) / 6.0 + phase)))
-              * (0.90 + 0.20 * noise) * CASE WHEN spike_bucket < 8 THEN 1.6 + noise ELSE 1.0 END)''', 3)}
-         AS popularity,
-       CAST(CAST(LEAST(10.0, GREATEST(0.0, {_sround('CAST(cur_va AS DOUBLE) + (noise - 0.5) * 0.15 - 0.02 * CAST(months_ago AS DOUBLE)', 2)}))
-            AS DECIMAL(4,2)) AS DOUBLE) AS vote_average,
-       CAST(ROUND(GREATEST(0.0, CAST(cur_vc AS DOUBLE) * (1.0 - 0.004 * CAST(months_ago AS DOUBLE))
-            * (0.998 + 0.004 * noise))) AS BIGINT) AS vote_count,
-       CAST(ROUND(CAST(cur_rev AS DOUBLE) * (0.997 + 0.006 * noise)) AS BIGINT) AS revenue
-FROM g
+      FROM m CROSS JOIN spine p WHERE m.cur_pop IS NOT NULL),
+h AS ({_history_sql('g')})
+SELECT movie_id, strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date, popularity,
+       CAST(vote_average AS DOUBLE) AS vote_average, vote_count, revenue FROM h
 """)
 def q_synthetic_history(spark, d):
     return history.synthetic_history_from(supplier_movies(spark, d), _anchor(spark, d), "today")

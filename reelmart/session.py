@@ -23,6 +23,7 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.pushVariantIntoScan": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
