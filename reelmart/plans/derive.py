@@ -51,9 +51,11 @@ def with_document_part(li: DataFrame) -> DataFrame:
     per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__lines"))
     chunk = F.greatest(F.lit(MIN_CHUNK), F.ceil(F.col("__lines") / F.lit(MAX_PARTS)))
     n_parts = F.ceil(F.col("__lines") / chunk)
+    # orders that fit one document skip the hash (same result: bucket 0)
     out = li.join(per_order, "l_orderkey", "inner").withColumn(
-        "part", md5_bucket(n_parts, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                           "l_extendedprice"))
+        "part", F.when(F.col("__lines") <= F.lit(MIN_CHUNK), F.lit(0).cast("bigint")).otherwise(
+            md5_bucket(n_parts, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                       "l_extendedprice")))
     return out.withColumn("movie_id", F.col("l_orderkey") + F.col("part") * F.lit(PART_STRIDE))
 
 

@@ -90,11 +90,20 @@ CREW_FIELDS = [
 ]
 
 
+def _payload_hash(raw: DataFrame) -> Column:
+    """Tiebreak among loads stamped at the same time.
+
+    VARIANT values cannot be ordered or hashed directly, so the payload text
+    is hashed to 64 bits: only 8 bytes travel through the dedup shuffle.
+    """
+    return F.xxhash64(F.to_json(as_variant(raw, "raw_payload")))
+
+
 # --- staging ---------------------------------------------------------------
 
 def stg_movie_details(raw: DataFrame, cfg: MartConfig = DEFAULT) -> DataFrame:
     """M1: one row per movie (latest load), 19 typed fields + ingested_at."""
-    typed = extract(raw.withColumn("__tb", F.to_json(as_variant(raw, "raw_payload"))),
+    typed = extract(raw.withColumn("__tb", _payload_hash(raw)),
                     "raw_payload", DETAIL_FIELDS, keep=["ingested_at", "__tb"], on_error=cfg.on_error)
     latest = latest_per_key(typed, ["movie_id"],
                             [sort_key("ingested_at", desc=True, nulls_first=cfg.desc_nulls_first)],
@@ -105,7 +114,7 @@ def stg_movie_details(raw: DataFrame, cfg: MartConfig = DEFAULT) -> DataFrame:
 
 def stg_credits(raw: DataFrame, cfg: MartConfig = DEFAULT) -> DataFrame:
     """M2: one row per movie (latest load): cast and crew kept as VARIANT."""
-    typed = extract(raw.withColumn("__tb", F.to_json(as_variant(raw, "raw_payload"))),
+    typed = extract(raw.withColumn("__tb", _payload_hash(raw)),
                     "raw_payload", CREDIT_FIELDS, keep=["ingested_at", "__tb"], on_error=cfg.on_error)
     latest = latest_per_key(typed, ["movie_id"],
                             [sort_key("ingested_at", desc=True, nulls_first=cfg.desc_nulls_first)],
@@ -257,7 +266,7 @@ OBSERVED_FIELDS = [
 
 def observed_snapshots(raw: DataFrame, cfg: MartConfig = DEFAULT) -> DataFrame:
     """M12 input: one candidate row per load, dated by its load day."""
-    typed = extract(raw.withColumn("__tb", F.to_json(as_variant(raw, "raw_payload"))),
+    typed = extract(raw.withColumn("__tb", _payload_hash(raw)),
                     "raw_payload", OBSERVED_FIELDS, keep=["ingested_at", "__tb"],
                     on_error=cfg.on_error)
     return typed.select(
@@ -288,7 +297,7 @@ def fact_movie_snapshot(raw: DataFrame, target: DataFrame | None = None,
             F.col("vote_average").cast("decimal(4,2)").alias("vote_average"),
             F.col("vote_count").cast("bigint").alias("vote_count"),
             F.col("revenue").cast("bigint").alias("revenue"),
-            F.lit(True).alias("is_synthetic"), F.lit(None).cast("string").alias("__tb"))
+            F.lit(True).alias("is_synthetic"), F.lit(None).cast("bigint").alias("__tb"))
         obs = obs.unionByName(syn)
     if target is not None:
         obs = new_rows(obs, "snapshot_date", target, cfg.historic_start_date)
@@ -303,7 +312,7 @@ def fact_movie_snapshot(raw: DataFrame, target: DataFrame | None = None,
 
 
 def _current_values(raw: DataFrame, cfg: MartConfig) -> DataFrame:
-    cur = extract(raw.withColumn("__tb", F.to_json(as_variant(raw, "raw_payload"))),
+    cur = extract(raw.withColumn("__tb", _payload_hash(raw)),
                   "raw_payload", OBSERVED_FIELDS, keep=["ingested_at", "__tb"],
                   on_error=cfg.on_error)
     return latest_per_key(cur, ["movie_id"],

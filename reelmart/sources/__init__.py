@@ -1 +1,7 @@
-"""sources."""
+"""Sources and sinks: landing files, raw tables, seeds, views, tables."""
+
+from reelmart.sources.landing import (SEED_SCHEMA, append_raw, append_snapshot_days, as_table,
+                                      as_view, land_payloads, load_raw, raw, read_seed)
+
+__all__ = ["SEED_SCHEMA", "append_raw", "append_snapshot_days", "as_table", "as_view",
+           "land_payloads", "load_raw", "raw", "read_seed"]

@@ -1 +1,5 @@
-"""streaming."""
+"""Structured Streaming form of the landing -> fact load (foreachBatch merge)."""
+
+from reelmart.streaming.landing_stream import latest_version, start_fact_stream
+
+__all__ = ["latest_version", "start_fact_stream"]

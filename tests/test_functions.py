@@ -1,0 +1,71 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from reelmart.functions.columns import (bayes_rating, blank_to_null, greatest_strict, has_both,
+                                        ieq, margin, md5_bucket, profit, safe_ratio, tier,
+                                        zero_to_null)
+from reelmart.functions.payload import FieldSpec, extract
+
+
+def test_financial_guards(spark):
+    # FIXTURES 4.1 / 4.2
+    df = spark.createDataFrame([(0, 5), (10, 25), (None, 7)], "budget long, revenue long")
+    df = df.select(zero_to_null("budget").alias("budget"), "revenue")
+    rows = df.select(has_both("budget", "revenue").alias("f"),
+                     safe_ratio("revenue", "budget").alias("r"),
+                     margin("revenue", "budget").alias("m"),
+                     profit("revenue", "budget").alias("p")).collect()
+    assert [tuple(r) for r in rows] == [(False, None, None, None), (True, 2.5, 1.5, 15),
+                                        (False, None, None, None)]
+
+
+def test_tier_bounds(spark):
+    # FIXTURES 4.3: bounds are strict upper limits; NULL falls to the last label
+    df = spark.createDataFrame([(24_999_999,), (25_000_000,), (50_000_000,), (100_000_000,),
+                                (None,)], "b long")
+    got = [r[0] for r in df.select(tier("b")).collect()]
+    assert got == ["1: <$25M", "2: $25M-$50M", "3: $50M-$100M", "4: >$100M", "4: >$100M"]
+
+
+def test_blank_ieq_greatest(spark):
+    df = spark.createDataFrame([("", "DIRECTOR"), ("US", "Director "), (None, "director")],
+                               "c string, j string")
+    got = df.select(blank_to_null("c"), ieq("j", "director")).collect()
+    assert [tuple(r) for r in got] == [(None, True), ("US", False), (None, True)]
+    g = spark.createDataFrame([(1.0, None), (1.0, 3.0)], "a double, b double")
+    assert [r[0] for r in g.select(greatest_strict("a", "b")).collect()] == [None, 3.0]
+
+
+def test_bayes_rating(spark):
+    df = spark.createDataFrame([(8.0, 100, 6.0)], "v double, c long, m double")
+    assert df.select(bayes_rating("v", "c", "m", 50)).first()[0] == pytest.approx(
+        (8.0 * 100 + 6.0 * 50) / 150)
+
+
+def test_md5_bucket_deterministic(spark):
+    df = spark.range(1000).select(md5_bucket(1000, "id").alias("b"))
+    vals = [r[0] for r in df.collect()]
+    assert min(vals) >= 0 and max(vals) < 1000
+    assert vals == [r[0] for r in df.collect()]
+    assert len(set(vals)) > 500
+
+
+def test_extract_strict_and_lenient(spark):
+    # FIXTURES 4.4 (revenue beyond 2^31) and 4.12 (empty release date)
+    df = spark.createDataFrame([('{"id": 1, "revenue": 2923706026, "d": "", "v": 7.345}',)],
+                               "raw_payload string")
+    spec = [FieldSpec("id", "$.id", "int"), FieldSpec("revenue", "$.revenue", "number"),
+            FieldSpec("d", "$.d", "date"), FieldSpec("v", "$.v", "decimal(4,2)")]
+    lenient = extract(df, "raw_payload", spec, on_error="null").first()
+    assert lenient["revenue"] == 2923706026 and lenient["d"] is None
+    assert lenient["v"] == Decimal("7.35")
+    with pytest.raises(Exception):
+        extract(df, "raw_payload", spec, on_error="fail").collect()
+
+
+def test_number_rounds(spark):
+    df = spark.createDataFrame([('{"x": 7.6}',)], "raw_payload string")
+    assert extract(df, "raw_payload", [FieldSpec("x", "$.x", "number")]).first()[0] == 8
+    assert extract(df, "raw_payload", [FieldSpec("x", "$.x", "double")]).first()[0] == 7.6
