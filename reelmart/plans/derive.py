@@ -14,6 +14,9 @@ them onto that shape; every payload grows with the tables:
 * cast = one member per line (person = supplier, billing order = line
   number, popularity = quantity / 10); crew = the order's customer, whose job
   depends on the market segment ('Director' in three spellings, or other).
+* payloads are VARIANT objects built directly from structs
+  (``to_variant_object``); the JSON-string landing path (S1/S2) is covered by
+  ``payload_explode`` and the source tests.
 * loads: every order is loaded one hour after its order date; open orders
   ('O') are re-loaded six hours later the same day and again the next day
   with higher popularity and votes (exercises dedup and daily snapshots).
@@ -137,7 +140,7 @@ def raw_movie_details(spark, sf_dir: str) -> DataFrame:
         F.concat(F.lit("tt"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0")).alias("imdb_id"),
         F.col("genres"), F.col("production_companies"))
     return m.select(
-        F.parse_json(F.to_json(doc)).alias("raw_payload"),
+        F.to_variant_object(doc).alias("raw_payload"),
         (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.col("__load.hours")))
         .cast("timestamp_ntz").alias("ingested_at"))
 
@@ -173,6 +176,6 @@ def raw_credits(spark, sf_dir: str) -> DataFrame:
          .join(cust, F.col("o_custkey") == F.col("c_custkey"), "inner"))
     doc = F.struct(F.col("movie_id").alias("id"), F.col("cast"),
                    F.array(crew_member).alias("crew"))
-    return j.select(F.parse_json(F.to_json(doc)).alias("raw_payload"),
+    return j.select(F.to_variant_object(doc).alias("raw_payload"),
                     (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(1)))
                     .cast("timestamp_ntz").alias("ingested_at"))

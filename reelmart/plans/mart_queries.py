@@ -18,6 +18,12 @@ from reelmart.plans import derive, marts, serve
 from reelmart.plans.queries import TS, _history_sql, _iround_avg, _md5_sql, _sround, register
 
 
+def _table(df: DataFrame) -> DataFrame:
+    if df.sparkSession.sparkContext.getCheckpointDir():
+        return df.checkpoint(eager=True)
+    return df
+
+
 class World:
     """The marts over the derived payloads, built lazily on first use (only
     the lineage a query needs is analysed). The seed is dated by the last
@@ -29,21 +35,24 @@ class World:
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    # Raw and staging models are tables in the modelled pipeline: they are
+    # materialised once (reliable checkpoint in the shared checkpoint folder)
+    # and every downstream mart reads them instead of recomputing them.
     @cached_property
     def raw_movie_details(self):
-        return derive.raw_movie_details(self.spark, self.d)
+        return _table(derive.raw_movie_details(self.spark, self.d))
 
     @cached_property
     def raw_credits(self):
-        return derive.raw_credits(self.spark, self.d)
+        return _table(derive.raw_credits(self.spark, self.d))
 
     @cached_property
     def stg_movie_details(self):
-        return marts.stg_movie_details(self.raw_movie_details, self.cfg)
+        return _table(marts.stg_movie_details(self.raw_movie_details, self.cfg))
 
     @cached_property
     def stg_credits(self):
-        return marts.stg_credits(self.raw_credits, self.cfg)
+        return _table(marts.stg_credits(self.raw_credits, self.cfg))
 
     @cached_property
     def int_movie_genre(self):

@@ -33,7 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", os.environ.get("REELMART_DRIVER_MEMORY", "16g")))
-    for k, v in {**SCALE_CONF, **(extra or {})}.items():
+    # small local shuffles still spread over all cores (cluster: default 1MB)
+    local = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB"}
+    for k, v in {**SCALE_CONF, **local, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
