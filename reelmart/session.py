@@ -27,6 +27,23 @@ SCALE_CONF = {
 }
 
 
+# Suggested settings for a large cluster (100 TB inputs). Start with many
+# shuffle partitions and let AQE coalesce them to ~256 MB; split skewed
+# partitions above 5x the median; read files in 512 MB splits. Broadcasts
+# stay behind the 64 MB threshold (checked from runtime sizes by AQE).
+CLUSTER_CONF = {
+    **SCALE_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    "spark.sql.files.maxPartitionBytes": "512MB",
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "reelmart", extra: dict | None = None) -> SparkSession:
     """Local session for tests/bench; sets a scratch checkpoint dir if unset."""
