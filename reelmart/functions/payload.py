@@ -74,3 +74,8 @@ def extract(df: DataFrame, col: str, spec: Sequence[FieldSpec], keep: Iterable[s
     """
     v = as_variant(df, col, on_error)
     return df.select(*[F.col(k) for k in keep], *[field_column(v, s, on_error) for s in spec])
+
+
+def array_size(v: Column, path: str = "$") -> Column:
+    """Length of the JSON array at ``path`` (NULL when absent or not an array)."""
+    return F.size(F.try_variant_get(v, path, "array<variant>"))

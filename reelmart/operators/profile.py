@@ -90,3 +90,18 @@ def fanout_stats(pairs: DataFrame, parent: str, value: str, other: DataFrame,
     b = per_parent.agg(F.round(F.avg("__g"), 2).alias("avg_per_parent"))
     c = other.agg(F.countDistinct(other_col).alias("distinct_other"))
     return a.crossJoin(b).crossJoin(c)
+
+
+def list_sizes(df: DataFrame, lists: Mapping[str, Column]) -> DataFrame:
+    """F4 for several lists at once: per list ``min_size, median_size
+    (truncated), max_size, parents``. A missing list counts as empty."""
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("list"), F.coalesce(col, F.lit(0)).cast("long").alias("size"))
+        for name, col in lists.items()])))
+    base = long.groupBy("list").agg(F.min("size").alias("min_size"),
+                                    F.max("size").alias("max_size"),
+                                    F.count(F.lit(1)).alias("parents"))
+    med = exact_median(long, ["list"], "size", "__med")
+    return base.join(med, "list", "inner").select(
+        "list", "min_size", F.floor("__med").cast("bigint").alias("median_size"), "max_size",
+        "parents")

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmart.config import MartConfig
+from reelmart.functions.payload import array_size
+from reelmart.operators import profile
+from reelmart.operators.windows import top_values
 from reelmart.plans import derive, marts, serve
 from reelmart.plans.queries import TS, _history_sql, _iround_avg, _md5_sql, _sround, register
 
@@ -489,3 +492,74 @@ def q_serve_genre_by_year(spark, d):
     # presentation precision: 6 decimals hide summation-order bits, no ties
     return out.select("genre_name", F.col("release_year").cast("bigint").alias("release_year"),
                       F.round("avg_pop", 6).alias("avg_pop"))
+
+
+# --- profiling of the staged movies (F1-F5 with the profiler's own rules) -----------
+
+@_reg("mart_profile_coverage", """
+SELECT rule, k, n, CASE WHEN n = 0 THEN 0.0 ELSE CAST(k AS DOUBLE) / n END AS rate FROM (
+  SELECT 'budget > 0' AS rule, COUNT(*) FILTER (WHERE budget > 0) AS k, COUNT(*) AS n FROM stg
+  UNION ALL SELECT 'revenue > 0', COUNT(*) FILTER (WHERE revenue > 0), COUNT(*) FROM stg
+  UNION ALL SELECT 'runtime present', COUNT(*) FILTER (WHERE runtime <> 0), COUNT(*) FROM stg
+  UNION ALL SELECT 'vote_count > 0', COUNT(*) FILTER (WHERE vote_count > 0), COUNT(*) FROM stg
+  UNION ALL SELECT 'popularity present', COUNT(*) FILTER (WHERE popularity <> 0), COUNT(*) FROM stg
+  UNION ALL SELECT 'overview present', COUNT(*) FILTER (WHERE o_orderpriority IS NOT NULL), COUNT(*) FROM stg
+) t
+""")
+def q_profile_coverage(spark, d):
+    stg = world(spark, d).stg_movie_details
+    return profile.coverage(stg, {
+        "budget > 0": F.col("budget") > 0,
+        "revenue > 0": F.col("revenue") > 0,
+        "runtime present": profile.truthy("runtime_min"),
+        "vote_count > 0": F.col("vote_count") > 0,
+        "popularity present": profile.truthy("popularity"),
+        "overview present": profile.truthy("overview"),
+    })
+
+
+@_reg("mart_profile_numeric", f"""
+SELECT field, MIN(v) AS min, MAX(v) AS max, {_sround('AVG(v)', 1)} AS mean,
+       {_sround('median(v)', 1)} AS median, COUNT(v) AS n
+FROM (SELECT 'budget' AS field, NULLIF(CAST(budget AS DOUBLE), 0) AS v FROM stg
+      UNION ALL SELECT 'revenue', NULLIF(CAST(revenue AS DOUBLE), 0) FROM stg
+      UNION ALL SELECT 'runtime_min', NULLIF(CAST(runtime AS DOUBLE), 0) FROM stg
+      UNION ALL SELECT 'vote_average', NULLIF(CAST(vote_average AS DOUBLE), 0) FROM stg
+      UNION ALL SELECT 'vote_count', NULLIF(CAST(vote_count AS DOUBLE), 0) FROM stg
+      UNION ALL SELECT 'popularity', NULLIF(popularity, 0) FROM stg) t
+GROUP BY 1
+""")
+def q_profile_numeric(spark, d):
+    stg = world(spark, d).stg_movie_details
+    return profile.numeric_stats(stg, ["budget", "revenue", "runtime_min", "vote_average",
+                                       "vote_count", "popularity"])
+
+
+@_reg("mart_profile_fanout", """
+, sizes AS (
+  SELECT m.movie_id, COALESCE(c.n, 0) AS cast_size, 1 AS crew_size
+  FROM (SELECT DISTINCT movie_id FROM lp) m
+  LEFT JOIN (SELECT movie_id, COUNT(*) AS n FROM cred_cast GROUP BY 1) c ON m.movie_id = c.movie_id)
+SELECT 'cast' AS list, MIN(cast_size) AS min_size, CAST(FLOOR(median(cast_size)) AS BIGINT) AS median_size,
+       MAX(cast_size) AS max_size, COUNT(*) AS parents FROM sizes
+UNION ALL
+SELECT 'crew', MIN(crew_size), CAST(FLOOR(median(crew_size)) AS BIGINT), MAX(crew_size), COUNT(*) FROM sizes
+""")
+def q_profile_fanout(spark, d):
+    cr = world(spark, d).stg_credits
+    return profile.list_sizes(cr, {"cast": array_size(F.col("cast_list")),
+                                   "crew": array_size(F.col("crew_list"))})
+
+
+@_reg("mart_top_genres", """
+SELECT genre_name, COUNT(*) AS n FROM int_genre GROUP BY 1 ORDER BY n DESC, genre_name LIMIT 10
+""")
+def q_top_genres(spark, d):
+    return top_values(world(spark, d).int_movie_genre, "genre_name", 10)
+
+
+@_reg("mart_top_companies", """
+SELECT company_name, COUNT(*) AS n FROM int_company GROUP BY 1 ORDER BY n DESC, company_name LIMIT 10
+""")
+def q_top_companies(spark, d):
+    return top_values(world(spark, d).int_movie_company, "company_name", 10)

@@ -28,8 +28,9 @@ from reelmart.operators.explode import explode_payload
 from reelmart.operators.joins import union_distinct
 from reelmart.operators.median import exact_median
 from reelmart.operators.setops import reaggregate_mean
-from reelmart.operators.windows import (choices, dense_top_n, latest_per_key, sort_key,
-                                        top_n_per_key, top_values, with_rank, yearly_catalogue)
+from reelmart.operators.windows import (choices, dense_top_n, latest_per_key, sample_first,
+                                        sort_key, top_n_per_key, top_values, with_rank,
+                                        yearly_catalogue)
 from reelmart.plans import derive, marts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -669,6 +670,31 @@ def q_yearly_cap(spark, d):
                             100, [F.col("o_orderkey").asc()])
 
 
+@register("sample_ids", """
+SELECT o_orderkey FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 150
+""")
+def q_sample_ids(spark, d):
+    # T4: the profiler's first-n sample (the limit is the feature)
+    o = T(spark, d, "orders")
+    return sample_first(o, [F.col("o_orderdate").asc(), F.col("o_orderkey").asc()], 150).select(
+        "o_orderkey")
+
+
+@register("json_roundtrip", """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment
+FROM customer
+""")
+def q_json_roundtrip(spark, d):
+    # S1 + S2 + P1: records -> JSON strings -> VARIANT -> typed fields
+    c = T(spark, d, "customer")
+    landed = c.select(F.to_json(F.struct(*[F.col(x) for x in c.columns])).alias("raw_payload"))
+    return extract(landed, "raw_payload", [
+        FieldSpec("c_custkey", "$.c_custkey", "int"), FieldSpec("c_name", "$.c_name", "string"),
+        FieldSpec("c_nationkey", "$.c_nationkey", "int"),
+        FieldSpec("c_acctbal", "$.c_acctbal", "double"),
+        FieldSpec("c_mktsegment", "$.c_mktsegment", "string")])
+
+
 @register("choices", "SELECT DISTINCT n_name FROM nation")
 def q_choices(spark, d):
     return choices(T(spark, d, "nation"), "n_name")
