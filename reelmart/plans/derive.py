@@ -73,9 +73,9 @@ def line_parts(spark, sf_dir: str) -> DataFrame:
             .join(part, F.col("l_partkey") == F.col("p_partkey"), "inner"))
 
 
-def _movie_parts(spark, sf_dir: str) -> DataFrame:
+def _movie_parts(spark, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """One row per (order, part) with line aggregates and bounded arrays."""
-    lines = line_parts(spark, sf_dir)
+    lines = line_parts(spark, sf_dir) if lines is None else lines
     brand_no = F.substring_index("p_brand", "#", -1).cast("bigint")
     company = F.struct(brand_no.alias("id"), F.col("p_brand").alias("name"),
                        F.when(brand_no < 5, F.lit("")).otherwise(F.lit("US")).alias("origin_country"))
@@ -106,13 +106,13 @@ def _movie_parts(spark, sf_dir: str) -> DataFrame:
 LOADS = [(1, 1.0, 0, False), (7, 1.5, 10, True), (25, 2.0, 20, True)]
 
 
-def raw_movie_details(spark, sf_dir: str) -> DataFrame:
+def raw_movie_details(spark, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Raw table (raw_payload VARIANT, ingested_at TIMESTAMP_NTZ).
 
     The loads are generated in one pass (``explode`` over the fixed load
     schedule), so the line aggregation is computed once.
     """
-    m = _movie_parts(spark, sf_dir)
+    m = _movie_parts(spark, sf_dir, lines)
     schedule = F.array(*[F.struct(F.lit(h).alias("hours"), F.lit(f).alias("factor"),
                                   F.lit(e).alias("extra"), F.lit(o).alias("open_only"))
                          for h, f, e, o in LOADS])
@@ -142,12 +142,13 @@ def raw_movie_details(spark, sf_dir: str) -> DataFrame:
     return m.select(
         F.to_variant_object(doc).alias("raw_payload"),
         (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.col("__load.hours")))
-        .cast("timestamp_ntz").alias("ingested_at"))
+        .cast("timestamp_ntz").alias("ingested_at"),
+        F.xxhash64(doc).alias("payload_hash"))
 
 
-def raw_credits(spark, sf_dir: str) -> DataFrame:
+def raw_credits(spark, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Raw credits table: cast = the lines of the document part, crew = customer."""
-    lines = line_parts(spark, sf_dir)
+    lines = line_parts(spark, sf_dir) if lines is None else lines
     member = F.struct(
         F.col("l_suppkey").alias("id"), F.col("s_name").alias("name"),
         F.concat(F.lit("Line "), F.col("l_linenumber").cast("string")).alias("character"),
@@ -178,4 +179,5 @@ def raw_credits(spark, sf_dir: str) -> DataFrame:
                    F.array(crew_member).alias("crew"))
     return j.select(F.to_variant_object(doc).alias("raw_payload"),
                     (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(1)))
-                    .cast("timestamp_ntz").alias("ingested_at"))
+                    .cast("timestamp_ntz").alias("ingested_at"),
+                    F.xxhash64(doc).alias("payload_hash"))

@@ -93,9 +93,13 @@ CREW_FIELDS = [
 def _payload_hash(raw: DataFrame) -> Column:
     """Tiebreak among loads stamped at the same time.
 
-    VARIANT values cannot be ordered or hashed directly, so the payload text
-    is hashed to 64 bits: only 8 bytes travel through the dedup shuffle.
+    Raw tables written by ``load_raw`` carry ``payload_hash`` (xxhash64 of
+    the landed JSON text, computed once at load). Otherwise the payload is
+    serialised and hashed here: VARIANT values cannot be ordered or hashed
+    directly. Either way only 8 bytes travel through the dedup shuffle.
     """
+    if "payload_hash" in raw.columns:
+        return F.col("payload_hash")
     return F.xxhash64(F.to_json(as_variant(raw, "raw_payload")))
 
 

@@ -3,7 +3,8 @@
 * S1 ``land_payloads``: records -> one-column JSON-string Parquet, partitioned
   by run date (the dated file name of a landing drop).
 * S2 ``load_raw`` / ``append_raw``: landing Parquet -> VARIANT payload
-  stamped with its load time -> appended to the raw table.
+  stamped with its load time (plus a 64-bit hash of the landed text, the
+  dedup tiebreak) -> appended to the raw table.
 * S3 ``raw``: a raw table; S4 ``read_seed``: typed CSV with a fixed schema.
 * S6 ``as_view``; S7 ``as_table`` (full rebuild) which refuses to overwrite a
   path its own plan reads (overwriting an input empties it before the read).
@@ -58,7 +59,8 @@ def load_raw(spark: SparkSession, path: str, ingested_at: dt.datetime | None = N
     stamp = (F.lit(ingested_at).cast("timestamp_ntz") if ingested_at is not None
              else F.localtimestamp())
     return landed.select(as_variant(landed, "raw_payload", on_error).alias("raw_payload"),
-                         stamp.alias("ingested_at"))
+                         stamp.alias("ingested_at"),
+                         F.xxhash64("raw_payload").alias("payload_hash"))
 
 
 def append_raw(raw_batch: DataFrame, table_path: str) -> None:
