@@ -24,6 +24,8 @@ SCALE_CONF = {
     "spark.sql.variant.pushVariantIntoScan": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of unreferenced datasets are removed by the cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -51,7 +53,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", os.environ.get("REELMART_DRIVER_MEMORY", "16g")))
     # small local shuffles still spread over all cores (cluster: default 1MB)
-    local = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB"}
+    local = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB"}
     for k, v in {**SCALE_CONF, **local, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
