@@ -16,6 +16,22 @@ from pyspark.sql import functions as F
 
 from reelmart.functions.columns import greatest_strict, least_strict, md5_bucket
 
+# The synthetic history formulas.
+# popularity = max(0, p * (0.70 + 0.45 * sin(2 pi (months_ago / 6 + phase)))
+#                      * (0.90 + 0.20 * noise) * spike), spike = 1.6 + noise
+#              when the spike bucket (of 100) is below 8, else 1; round 3
+# rating     = clamp(0, 10, round(v + (noise - 0.5) * 0.15 - 0.02 * months_ago, 2))
+# votes      = round(max(0, c * (1 - 0.004 * months_ago) * (0.998 + 0.004 * noise)))
+# revenue    = round(r * (0.997 + 0.006 * noise))
+# phase and noise are buckets of 1000 divided by 1000; the spike bucket salt is 7.
+CURVE_BASE, CURVE_AMPLITUDE, CURVE_PERIOD = 0.70, 0.45, 6.0
+NOISE_BASE, NOISE_SPAN = 0.90, 0.20
+SPIKE_BUCKETS, SPIKE_CUT, SPIKE_BASE, SPIKE_SALT = 100, 8, 1.6, 7
+RATING_NOISE, RATING_DRIFT, RATING_MIN, RATING_MAX = "0.15", "0.02", "0", "10"
+VOTE_DECAY, VOTE_BASE, VOTE_SPAN = "0.004", "0.998", "0.004"
+REVENUE_BASE, REVENUE_SPAN = "0.997", "0.006"
+NOISE_BUCKETS = 1000
+
 
 def month_spine_from(anchor: DataFrame, col: str, start_months: int = 6,
                      end_months: int = 1) -> DataFrame:
@@ -71,32 +87,36 @@ def _history(movies: DataFrame, spine: DataFrame) -> DataFrame:
                     F.col("vote_average").alias("cur_va"), F.col("vote_count").alias("cur_vc"),
                     F.col("revenue").alias("cur_rev"))
             .crossJoin(spine))
-    phase = md5_bucket(1000, F.col("movie_id")) / F.lit(1000.0)
-    noise_k = md5_bucket(1000, F.col("movie_id"), F.col("months_ago"))
-    spike_bucket = md5_bucket(100, F.col("movie_id"), F.col("months_ago"), F.lit(7))
+    phase = md5_bucket(NOISE_BUCKETS, F.col("movie_id")) / F.lit(float(NOISE_BUCKETS))
+    noise_k = md5_bucket(NOISE_BUCKETS, F.col("movie_id"), F.col("months_ago"))
+    spike_bucket = md5_bucket(SPIKE_BUCKETS, F.col("movie_id"), F.col("months_ago"),
+                              F.lit(SPIKE_SALT))
     g = base.select("*", phase.alias("phase"), noise_k.alias("noise_k"),
                     spike_bucket.alias("spike_bucket"))
     # popularity is a float curve; rating, votes and revenue are computed in
     # exact decimals (the source numbers are decimals), then rounded half up
-    noise = F.col("noise_k") / F.lit(1000.0)
+    noise = F.col("noise_k") / F.lit(float(NOISE_BUCKETS))
     ago = F.col("months_ago").cast("double")
-    spike = F.when(F.col("spike_bucket") < 8, F.lit(1.6) + noise).otherwise(F.lit(1.0))
+    spike = (F.when(F.col("spike_bucket") < SPIKE_CUT, F.lit(SPIKE_BASE) + noise)
+             .otherwise(F.lit(1.0)))
+    wave = F.sin(F.lit(2.0) * F.pi() * (ago / F.lit(CURVE_PERIOD) + F.col("phase")))
     curve = (F.col("cur_pop")
-             * (F.lit(0.70) + F.lit(0.45) * F.sin(F.lit(2.0) * F.pi() * (ago / F.lit(6.0) + F.col("phase"))))
-             * (F.lit(0.90) + F.lit(0.20) * noise)
+             * (F.lit(CURVE_BASE) + F.lit(CURVE_AMPLITUDE) * wave)
+             * (F.lit(NOISE_BASE) + F.lit(NOISE_SPAN) * noise)
              * spike)
     popularity = _round(greatest_strict(F.lit(0.0), curve), 3)
     nx = F.col("noise_k").cast("decimal(18,0)") * _d("0.001")
     agox = F.col("months_ago").cast("decimal(9,0)")
-    drift = _round(F.col("cur_va").cast("decimal(4,2)") + (nx - _d("0.5")) * _d("0.15")
-                   - _d("0.02") * agox, 2)
-    vote_average = least_strict(_d("10"), greatest_strict(_d("0"), drift)).cast("decimal(4,2)")
+    drift = _round(F.col("cur_va").cast("decimal(4,2)") + (nx - _d("0.5")) * _d(RATING_NOISE)
+                   - _d(RATING_DRIFT) * agox, 2)
+    vote_average = least_strict(_d(RATING_MAX), greatest_strict(_d(RATING_MIN), drift)).cast(
+        "decimal(4,2)")
     votes = greatest_strict(_d("0"), F.col("cur_vc").cast("decimal(20,0)")
-                            * (_d("1") - _d("0.004") * agox)
-                            * (_d("0.998") + _d("0.004") * nx))
+                            * (_d("1") - _d(VOTE_DECAY) * agox)
+                            * (_d(VOTE_BASE) + _d(VOTE_SPAN) * nx))
     vote_count = _round(votes, 0).cast("bigint")
-    revenue = _round(F.col("cur_rev").cast("decimal(20,0)") * (_d("0.997") + _d("0.006") * nx),
-                     0).cast("bigint")
+    revenue = _round(F.col("cur_rev").cast("decimal(20,0)")
+                     * (_d(REVENUE_BASE) + _d(REVENUE_SPAN) * nx), 0).cast("bigint")
     return g.select("movie_id", "snapshot_date", popularity.alias("popularity"),
                     vote_average.alias("vote_average"), vote_count.alias("vote_count"),
                     revenue.alias("revenue"))

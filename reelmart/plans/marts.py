@@ -51,6 +51,7 @@ DETAIL_FIELDS = [
     FieldSpec("production_companies", "$.production_companies", "variant"),
 ]
 
+# The staged fields of a credits payload and of its list elements.
 CREDIT_FIELDS = [
     FieldSpec("movie_id", "$.id", "int"),
     FieldSpec("cast_list", "$.cast", "variant"),
