@@ -8,7 +8,9 @@ by one executor. This operator selects the middle value(s) by narrowing:
    ``k_hi = n div 2 + 1`` (algebraic, partial aggregation);
 2. the candidate set is the multiset of (group, value, count) after a
    ``groupBy(group, value)`` (hot groups are spread over all partitions by
-   the value hash);
+   the value hash); per-group tables are attached through salted joins
+   (candidate side salted by a value hash, small side replicated), so no
+   join funnels a hot group into one task;
 3. while some group still has more than ``bucket_rows`` distinct candidate
    values: split each group's candidates at ``fanout`` approximate quantile
    pivots (mergeable sketches, bounded memory), count values per slice
@@ -32,13 +34,19 @@ from pyspark.sql import functions as F
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median",
-                 bucket_rows: int = 200_000, fanout: int = 256,
+                 bucket_rows: int = 200_000, fanout: int = 256, salt: int = 64,
                  max_rounds: int = 16) -> DataFrame:
-    """One row per group of ``keys`` (groups with only NULLs included)."""
+    """One row per group of ``keys`` (groups with only NULLs included).
+
+    Per-group tables (target ranks, pivots, kept slices) are small; they are
+    joined to the candidates on ``keys + salt`` after replicating them
+    ``salt`` times, so a hot group's candidates stay spread over ``salt``
+    tasks instead of meeting in one.
+    """
     keys = list(keys)
     if not keys:  # one global group
         return exact_median(df.withColumn("__all", F.lit(0)), ["__all"], value, name,
-                            bucket_rows, fanout, max_rounds).drop("__all")
+                            bucket_rows, fanout, salt, max_rounds).drop("__all")
     v = F.col(value).cast("double")
     base = df.select(*keys, v.alias("__v"))
 
@@ -49,17 +57,19 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
     targets = groups.filter(F.col("__n") > 0).select(
         *keys,
         ((F.col("__n") + 1) / 2).cast("long").alias("__klo"),
-        (F.col("__n") / 2).cast("long").alias("__khi0"))
-    targets = targets.select(*keys, "__klo", (F.col("__khi0") + 1).alias("__khi"))
+        ((F.col("__n") / 2).cast("long") + 1).alias("__khi"))
 
-    cand = _materialize(counts.join(targets, keys, "inner"))
+    cand = _materialize(_salted_join(counts, targets, keys, salt))
     for _ in range(max_rounds):
         distinct_vals = cand.groupBy(*keys).agg(F.count(F.lit(1)).alias("__d"))
         big = distinct_vals.filter(F.col("__d") > bucket_rows).select(*keys)
         if big.limit(1).count() == 0:
             break
-        cand = _materialize(_narrow(cand.join(big, keys, "left_semi"), keys, fanout).unionByName(
-            cand.join(big, keys, "left_anti")))
+        flagged = _salted_join(cand, big.withColumn("__big", F.lit(True)), keys, salt, "left")
+        narrowed = _narrow(flagged.filter(F.col("__big").isNotNull()).drop("__big"),
+                           keys, fanout, salt)
+        cand = _materialize(narrowed.unionByName(
+            flagged.filter(F.col("__big").isNull()).drop("__big")))
 
     # Final exact pick: running count over <= bucket_rows distinct values/group.
     w = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
@@ -74,6 +84,19 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
     return groups.select(*keys).join(med, keys, "left")
 
 
+def _salted_join(big: DataFrame, small: DataFrame, keys: list[str], salt: int,
+                 how: str = "inner", extra: Sequence[str] = ()) -> DataFrame:
+    """Join a per-group table to candidate rows without funnelling a group.
+
+    The candidate side is salted by a hash of its value; the small side is
+    replicated once per salt value (``salt`` times a per-group table).
+    """
+    on = [*keys, *extra, "__salt"]
+    b = big.withColumn("__salt", F.pmod(F.xxhash64("__v"), F.lit(salt)))
+    sm = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    return b.join(sm, on, how).drop("__salt")
+
+
 def exact_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str]) -> DataFrame:
     """Several exact medians per group in one pass: the value columns are
     unpivoted (``inline`` in the scan stage) and selected together.
@@ -99,26 +122,35 @@ def _materialize(df: DataFrame) -> DataFrame:
     return df
 
 
-def _narrow(cand: DataFrame, keys: list[str], fanout: int) -> DataFrame:
-    """Keep only the slice(s) of each group that contain the target ranks."""
+def _narrow(cand: DataFrame, keys: list[str], fanout: int, salt: int) -> DataFrame:
+    """Keep only the slice(s) of each group that contain the target ranks.
+
+    Pivots, slice counts and the kept-slice bookkeeping live on small
+    per-group (or per-group-and-slice) tables; the candidates only meet them
+    through salted joins.
+    """
     probs = [i / fanout for i in range(1, fanout)]
     pivots = cand.groupBy(*keys).agg(
         F.percentile_approx("__v", probs, 10 * fanout).alias("__piv"))
     # slice id = number of pivots strictly below the value (pivots are data
     # values, so every slice boundary sits on a distinct value)
-    sliced = cand.join(pivots, keys, "inner").withColumn(
+    sliced = _salted_join(cand, pivots, keys, salt).withColumn(
         "__s", F.size(F.filter("__piv", lambda p: p < F.col("__v")))).drop("__piv")
+    targets = cand.groupBy(*keys).agg(F.first("__klo").alias("__klo"),
+                                      F.first("__khi").alias("__khi"))
     per_slice = sliced.groupBy(*keys, "__s").agg(F.sum("__c").alias("__sc"))
     w = Window.partitionBy(*keys).orderBy("__s").rowsBetween(Window.unboundedPreceding, 0)
     bounds = (per_slice.withColumn("__hi_c", F.sum("__sc").over(w))
-              .withColumn("__lo_c", F.col("__hi_c") - F.col("__sc")))
-    sliced = sliced.join(bounds.select(*keys, "__s", "__lo_c", "__hi_c"), [*keys, "__s"], "inner")
+              .withColumn("__lo_c", F.col("__hi_c") - F.col("__sc"))
+              .join(targets, keys, "inner"))
     keep_lo = (F.col("__lo_c") < F.col("__klo")) & (F.col("__klo") <= F.col("__hi_c"))
     keep_hi = (F.col("__lo_c") < F.col("__khi")) & (F.col("__khi") <= F.col("__hi_c"))
-    kept = sliced.filter(keep_lo | keep_hi)
-    # ranks are shifted by the count below the lowest kept slice of the group
+    kept = bounds.filter(keep_lo | keep_hi)
+    # ranks shift by the count below the lowest kept slice of the group
     shift = kept.groupBy(*keys).agg(F.min("__lo_c").alias("__shift"))
-    kept = kept.join(shift, keys, "inner")
-    return kept.select(*keys, "__v", "__c",
-                       (F.col("__klo") - F.col("__shift")).alias("__klo"),
-                       (F.col("__khi") - F.col("__shift")).alias("__khi"))
+    kept = kept.join(shift, keys, "inner").select(
+        *keys, "__s", (F.col("__klo") - F.col("__shift")).alias("__klo2"),
+        (F.col("__khi") - F.col("__shift")).alias("__khi2"))
+    out = _salted_join(sliced.drop("__klo", "__khi"), kept, keys, salt, extra=["__s"])
+    return out.select(*keys, "__v", "__c", F.col("__klo2").alias("__klo"),
+                      F.col("__khi2").alias("__khi"))
