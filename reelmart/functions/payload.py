@@ -5,8 +5,8 @@ Field specs are fixed (name, JSON path, type); nothing is inferred.
 
 Type names follow the warehouse casts of the modelled pipeline:
 
-``int`` / ``bigint``  -> BIGINT (box-office numbers exceed 2^31)
-``number``            -> DECIMAL(38,0) then BIGINT (rounds 7.6 to 8)
+``int`` / ``number``  -> DECIMAL(38,0) then BIGINT (rounds 7.6 to 8; box-office
+                         numbers exceed 2^31, so never INT)
 ``decimal(p,s)``      -> DECIMAL(p,s) (rounds half up)
 ``double``/``float``  -> DOUBLE
 ``string``, ``boolean``, ``date``, ``timestamp_ntz``
@@ -46,9 +46,8 @@ def get_field(v: Column, path: str, typ: str, on_error: str = "fail") -> Column:
     """One typed value out of a VARIANT; strict or lenient cast."""
     get = F.variant_get if on_error == "fail" else F.try_variant_get
     t = typ.lower().replace(" ", "")
-    if t in ("int", "integer", "bigint", "long"):
-        return get(v, path, "bigint")
-    if t == "number":
+    if t in ("int", "integer", "bigint", "long", "number"):
+        # the warehouse's integer is NUMBER(38,0): a fraction rounds (7.6 -> 8)
         return get(v, path, "decimal(38,0)").cast("bigint")
     if t in ("float", "double"):
         return get(v, path, "double")

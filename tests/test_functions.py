@@ -68,4 +68,5 @@ def test_extract_strict_and_lenient(spark):
 def test_number_rounds(spark):
     df = spark.createDataFrame([('{"x": 7.6}',)], "raw_payload string")
     assert extract(df, "raw_payload", [FieldSpec("x", "$.x", "number")]).first()[0] == 8
+    assert extract(df, "raw_payload", [FieldSpec("x", "$.x", "int")]).first()[0] == 8
     assert extract(df, "raw_payload", [FieldSpec("x", "$.x", "double")]).first()[0] == 7.6
