@@ -48,15 +48,17 @@ def _t(spark, sf_dir: str, name: str) -> DataFrame:
 def with_document_part(li: DataFrame) -> DataFrame:
     """Lines with ``part`` and ``movie_id`` (see the module notes).
 
-    The per-order line count is an algebraic aggregate; joining it back is
-    a shuffle join whose hot keys AQE splits.
+    Only orders above ``MIN_CHUNK`` lines are split, and there are at most
+    ``lines / MIN_CHUNK`` of them: just that set of hot orders (with their
+    line counts) is joined back, so AQE broadcasts it when it is small and
+    the lines of ordinary orders are never shuffled for this step.
     """
     per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__lines"))
+    hot = per_order.filter(F.col("__lines") > F.lit(MIN_CHUNK))
     chunk = F.greatest(F.lit(MIN_CHUNK), F.ceil(F.col("__lines") / F.lit(MAX_PARTS)))
     n_parts = F.ceil(F.col("__lines") / chunk)
-    # orders that fit one document skip the hash (same result: bucket 0)
-    out = li.join(per_order, "l_orderkey", "inner").withColumn(
-        "part", F.when(F.col("__lines") <= F.lit(MIN_CHUNK), F.lit(0).cast("bigint")).otherwise(
+    out = li.join(hot, "l_orderkey", "left").withColumn(
+        "part", F.when(F.col("__lines").isNull(), F.lit(0).cast("bigint")).otherwise(
             md5_bucket(n_parts, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                        "l_extendedprice")))
     return out.withColumn("movie_id", F.col("l_orderkey") + F.col("part") * F.lit(PART_STRIDE))
