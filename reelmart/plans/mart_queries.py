@@ -38,9 +38,10 @@ class World:
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    # Raw and staging models are tables in the modelled pipeline: they are
-    # materialised once (reliable checkpoint in the shared checkpoint folder)
-    # and every downstream mart reads them instead of recomputing them.
+    # Raw, staging and intermediate models are tables in the modelled
+    # pipeline: they are materialised once (reliable checkpoint in the shared
+    # checkpoint folder) and every downstream mart reads them instead of
+    # recomputing them. Bridges stay views (lazy), as there.
     @cached_property
     def raw_movie_details(self):
         return _table(derive.raw_movie_details(self.spark, self.d))
@@ -59,19 +60,19 @@ class World:
 
     @cached_property
     def int_movie_genre(self):
-        return marts.int_movie_genre(self.stg_movie_details, self.cfg)
+        return _table(marts.int_movie_genre(self.stg_movie_details, self.cfg))
 
     @cached_property
     def int_movie_company(self):
-        return marts.int_movie_company(self.stg_movie_details, self.cfg)
+        return _table(marts.int_movie_company(self.stg_movie_details, self.cfg))
 
     @cached_property
     def int_movie_cast(self):
-        return marts.int_movie_cast(self.stg_credits, self.cfg)
+        return _table(marts.int_movie_cast(self.stg_credits, self.cfg))
 
     @cached_property
     def int_movie_director(self):
-        return marts.int_movie_director(self.stg_credits, self.cfg)
+        return _table(marts.int_movie_director(self.stg_credits, self.cfg))
 
     @cached_property
     def dim_genre(self):
