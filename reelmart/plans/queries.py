@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
-from reelmart.config import MartConfig
-from reelmart.functions.columns import md5_bucket, tier, zero_to_null
+from reelmart.functions.columns import md5_bucket, zero_to_null
 from reelmart.functions.payload import FieldSpec, extract
 from reelmart.operators import history, incremental, quality, profile
 from reelmart.operators.explode import explode_payload
