@@ -18,6 +18,7 @@ from reelmart.functions.payload import array_size
 from reelmart.operators import profile
 from reelmart.operators.windows import top_values
 from reelmart.plans import derive, marts, serve
+from reelmart.plans.data_tests import DECLARED, run_declared
 from reelmart.plans.queries import TS, _history_sql, _iround_avg, _md5_sql, _sround, register
 
 
@@ -564,3 +565,55 @@ SELECT company_name, COUNT(*) AS n FROM int_company GROUP BY 1 ORDER BY n DESC,
 """)
 def q_top_companies(spark, d):
     return top_values(world(spark, d).int_movie_company, "company_name", 10)
+
+
+# --- the declared data tests (D1-D7) over our own marts --------------------------------
+
+# oracle CTE holding each model
+_ORACLE_TABLE = {
+    "stg_movie_details": "stg", "stg_credits": "stg_credits_o", "int_movie_genre": "int_genre",
+    "int_movie_company": "int_company", "int_movie_cast": "int_cast",
+    "int_movie_director": "int_dir", "dim_genre": "dim_genre", "dim_company": "dim_company_o",
+    "dim_person": "dim_person", "fact_movie": "fact", "fact_movie_snapshot": "snapshot",
+    "bridge_movie_genre": "bridge_genre", "bridge_movie_cast": "bridge_cast",
+    "bridge_movie_director": "bridge_dir", "bridge_movie_company": "bridge_company_o",
+    "daily_movie_trends": "trends", "agg_talented_cast_member": "talent", "agg_genre_roi": "roi",
+    "agg_budget_outcomes": "outcomes", "agg_genre_evolution": "evolution",
+}
+
+
+def _check_sql(model, kind, column, arg) -> str:
+    t = _ORACLE_TABLE[model]
+    col = ",".join(column) if isinstance(column, tuple) else column
+    if kind == "not_null":
+        n = f"SELECT COUNT(*) FROM {t} WHERE {col} IS NULL"
+    elif kind == "unique":
+        n = (f"SELECT COUNT(*) FROM (SELECT {col} FROM {t} WHERE {col} IS NOT NULL "
+             f"GROUP BY {col} HAVING COUNT(*) > 1)")
+    elif kind == "unique_combination":
+        n = f"SELECT COUNT(*) FROM (SELECT 1 FROM {t} GROUP BY {col} HAVING COUNT(*) > 1)"
+    elif kind == "accepted_values":
+        vals = ", ".join("'" + v.replace("'", "''") + "'" for v in arg)
+        n = f"SELECT COUNT(*) FROM {t} WHERE {col} IS NOT NULL AND {col} NOT IN ({vals})"
+    elif kind == "accepted_range":
+        n = f"SELECT COUNT(*) FROM {t} WHERE NOT ({col} >= {arg[0]} AND {col} <= {arg[1]})"
+    elif kind == "non_negative":
+        n = f"SELECT COUNT(*) FROM {t} WHERE {col} < 0"
+    else:  # relationships
+        p, pc = _ORACLE_TABLE[arg[0]], arg[1]
+        n = (f"SELECT COUNT(*) FROM {t} WHERE {col} IS NOT NULL AND {col} NOT IN "
+             f"(SELECT {pc} FROM {p} WHERE {pc} IS NOT NULL)")
+    return (f"SELECT '{kind}' AS check_name, '{model}' AS table_name, '{col}' AS column_name, "
+            f"({n}) AS failures")
+
+
+_DATA_TESTS_SQL = """
+, stg_credits_o AS (SELECT DISTINCT movie_id, 1 AS cast_list, 1 AS crew_list FROM lp),
+dim_company_o AS (SELECT DISTINCT company_id, company_name, origin_country FROM int_company),
+bridge_company_o AS (SELECT DISTINCT movie_id, company_id FROM int_company)
+""" + "\nUNION ALL ".join(_check_sql(*d) for d in DECLARED)
+
+
+@_reg("mart_data_tests", _DATA_TESTS_SQL)
+def q_data_tests(spark, d):
+    return run_declared(world(spark, d))
