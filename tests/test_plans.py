@@ -42,3 +42,13 @@ def test_dense_rank_is_bounded_top_k(spark):
 def test_partial_aggregation(spark):
     plan = _plan(E.queries()["nation_year_star"](spark, SF001))
     assert "HashAggregate" in plan and "partial_" in plan
+
+
+def test_upsert_broadcasts_small_updates(spark):
+    from pyspark.sql import functions as F
+
+    from reelmart.operators.incremental import upsert
+    big = spark.range(0, 200_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    small = spark.range(0, 100).select((F.col("id") * 7).alias("k"), F.lit(-1).alias("v"))
+    plan = _plan(upsert(big, small, ["k"]))
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan  # target scanned, not shuffled
