@@ -77,3 +77,13 @@ def test_empty_input(spark):
 def test_top_values(spark):
     df = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), ("c",), (None,)], "x string")
     assert [tuple(r) for r in top_values(df, "x", 2).collect()] == [("b", 2), ("c", 2)]
+
+
+def test_ordered_multi_key_nulls_last(spark):
+    # Order by year asc, ratio desc nulls last
+    from reelmart.operators.windows import ordered
+    df = spark.createDataFrame([(2020, None), (2019, 1.0), (2020, 3.0), (2020, 2.0)],
+                               "y long, r double")
+    got = [tuple(r) for r in ordered(df, sort_key("y"), sort_key("r", desc=True,
+                                                                 nulls_first=False)).collect()]
+    assert got == [(2019, 1.0), (2020, 3.0), (2020, 2.0), (2020, None)]
