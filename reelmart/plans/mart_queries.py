@@ -39,10 +39,10 @@ class World:
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    # Raw, staging and intermediate models are tables in the modelled
-    # pipeline: they are materialised once (reliable checkpoint in the shared
-    # checkpoint folder) and every downstream mart reads them instead of
-    # recomputing them. Bridges stay views (lazy), as there.
+    # Raw, staging, intermediate, dimension and fact models are tables in
+    # the modelled pipeline: they are materialised once (reliable checkpoint
+    # in the shared checkpoint folder) and every downstream mart reads them
+    # instead of recomputing them. Bridges stay views (lazy), as there.
     @cached_property
     def raw_movie_details(self):
         return _table(derive.raw_movie_details(self.spark, self.d))
@@ -77,15 +77,15 @@ class World:
 
     @cached_property
     def dim_genre(self):
-        return marts.dim_genre(self.int_movie_genre)
+        return _table(marts.dim_genre(self.int_movie_genre))
 
     @cached_property
     def dim_company(self):
-        return marts.dim_company(self.int_movie_company)
+        return _table(marts.dim_company(self.int_movie_company))
 
     @cached_property
     def dim_person(self):
-        return marts.dim_person(self.int_movie_cast, self.int_movie_director, self.cfg)
+        return _table(marts.dim_person(self.int_movie_cast, self.int_movie_director, self.cfg))
 
     @cached_property
     def bridge_movie_genre(self):
@@ -105,7 +105,7 @@ class World:
 
     @cached_property
     def fact_movie(self):
-        return marts.fact_movie(self.stg_movie_details, None, self.cfg)
+        return _table(marts.fact_movie(self.stg_movie_details, None, self.cfg))
 
     @cached_property
     def snapshot_seed(self):
@@ -114,7 +114,7 @@ class World:
 
     @cached_property
     def fact_movie_snapshot(self):
-        return marts.fact_movie_snapshot(self.raw_movie_details, None, self.snapshot_seed, self.cfg)
+        return _table(marts.fact_movie_snapshot(self.raw_movie_details, None, self.snapshot_seed, self.cfg))
 
     @cached_property
     def daily_movie_trends(self):
