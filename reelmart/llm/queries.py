@@ -27,6 +27,30 @@ def query(name: str, sql: str | None = None):
     return put
 
 
+@query("op4_simhash_fingerprint")
+def op4_simhash_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts.
+
+    ``n_within``: for every id divisible by 50, how many other documents lie
+    within 6 bits (null for the rest).
+    """
+    from reelmart.llm import fingerprint as f
+    from reelmart.llm._common import Shared
+    out = Shared(spark, "prints").table(f.compare_next(table(spark, sf_dir, "documents")), "prints")
+    asked = F.col("id") % 50 == 0
+    copies = out.groupBy("fp1", "fp2").agg(F.count(F.lit(1)).alias("n"))
+    hits = f.within_radius(out.filter(asked), copies, radius=6, spare=2)
+    copies = copies.withColumnsRenamed({"fp1": "hit1", "fp2": "hit2"})
+    near = (hits.join(copies, ["hit1", "hit2"]).groupBy("fp1", "fp2")
+            .agg(F.sum("n").alias("n_all")))
+    return out.join(near, ["fp1", "fp2"], "left").select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
+        f.hex128("fp2", "fp1").alias("fingerprint"),
+        f.hex128("edited_fp2", "edited_fp1").alias("edited_fingerprint"),
+        "near_edited", "near_next",
+        F.when(asked, F.col("n_all") - 1).alias("n_within"))
+
+
 @query("op7_byte_bpe")
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every document and its decoding."""
@@ -47,3 +71,42 @@ def op8_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"),
                       F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                       F.col("component").alias("component_id"))
+
+
+@query("op10_curriculum_mix", r"""
+WITH d AS (
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+  FROM d GROUP BY source),
+o AS (
+  SELECT *, source_size::HUGEINT * 4 *
+              sum(w) OVER (ORDER BY source_size / w, source NULLS LAST
+                           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+            <= w * (3 * sum(source_size) OVER () - 4 * coalesce(sum(source_size) OVER (
+                 ORDER BY source_size / w, source NULLS LAST
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS filled
+  FROM s),
+t AS (
+  SELECT source, source_size,
+         CASE WHEN filled THEN (2 * source_size)::DOUBLE ELSE w::DOUBLE * (
+           (3 * sum(source_size) OVER () - 4 * coalesce(sum(source_size) FILTER (filled) OVER (), 0))::DOUBLE
+           / (2 * sum(w) FILTER (NOT filled) OVER ())::DOUBLE) END AS target
+  FROM o),
+c AS (
+  SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY h, size
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+  FROM d)
+SELECT doc_id, size, source_size, target,
+       (greatest(0, least(size, floor(target)::BIGINT - begins))
+        + greatest(0, least(size, floor(target)::BIGINT - begins - source_size)))::BIGINT AS taken
+FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source
+""")
+def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents, in the order of their training positions."""
+    from reelmart.llm import mixing
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
