@@ -51,6 +51,27 @@ def op4_simhash_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(asked, F.col("n_all") - 1).alias("n_within"))
 
 
+@query("op5_pii")
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    from reelmart.llm import pii
+    out = pii.find(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone",
+                      "base_sha256", "spans")
+
+
+@query("op6_secret_ledger")
+def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, through a ledger that starts empty."""
+    from reelmart.llm import secrets
+    from reelmart.llm._common import Shared
+    ledger = secrets.Ledger(spark, Shared(spark, "ledger").root)
+    docs = table(spark, sf_dir, "documents")
+    secrets.scan(docs, ledger)
+    return secrets.report(docs, ledger).select(
+        F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 @query("op7_byte_bpe")
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every document and its decoding."""
