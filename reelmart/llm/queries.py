@@ -131,3 +131,14 @@ def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelmart.llm import mixing
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query("op9_ordinal_quality")
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, tail probability and decision for every document."""
+    from reelmart.llm import quality as q
+    docs = table(spark, sf_dir, "documents")
+    model = q.fit(docs, q.grades_of(table(spark, sf_dir, "labels")), grades=3)
+    return q.score(docs, model, grades=3).select(
+        F.col("id").alias("doc_id"), "expected_grade", F.get("tails", F.lit(1)).alias("p_good"),
+        (F.get("tails", F.lit(1)) >= 0.5).alias("kept"))
