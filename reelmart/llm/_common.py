@@ -8,6 +8,7 @@ cached frame, keep column pruning and size statistics.
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from its place.
+
+    A cluster gets the package as any other (``--py-files`` or installed).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -36,6 +48,10 @@ def words_of(text: Column) -> Column:
         F.split(body, r"[\x20\x09-\x0D]+"))
 
 
+#: Lets a finished write remove the shuffle files that only it has read.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Shared:
     """Tables written once to the shared folder and read back.
 
@@ -51,7 +67,12 @@ class Shared:
     def table(self, df: DataFrame, name: str, observe=None) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
         out = df.observe(observe[0], *observe[1]) if observe else df
-        out.write.parquet(path)
+        before = self.spark.conf.get(CLEAN, "false")
+        self.spark.conf.set(CLEAN, "true")
+        try:
+            out.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEAN, before)
         back = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(back)] = path
         return back

@@ -8,11 +8,12 @@ table and derives the digest columns from the operator's own output.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmart.llm._common import table
+from reelmart.llm._common import find_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -20,7 +21,12 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def put(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            find_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -142,3 +148,12 @@ def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.score(docs, model, grades=3).select(
         F.col("id").alias("doc_id"), "expected_grade", F.get("tails", F.lit(1)).alias("p_good"),
         (F.get("tails", F.lit(1)) >= 0.5).alias("kept"))
+
+
+@query("op2_fuzzy_lines")
+def op2_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and decision of every line that has a word."""
+    from reelmart.llm import line_dedup as d
+    return d.line_classes(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), F.col("pos").cast("bigint").alias("line_no"),
+        F.col("first_id").alias("first_doc_id"), F.col("first_pos").cast("bigint").alias("first_line_no"), "kept")
