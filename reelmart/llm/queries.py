@@ -157,3 +157,11 @@ def op2_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.line_classes(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), F.col("pos").cast("bigint").alias("line_no"),
         F.col("first_id").alias("first_doc_id"), F.col("first_pos").cast("bigint").alias("first_line_no"), "kept")
+
+
+@query("op3_rotated_codes")
+def op3_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and class of every embedding, whatever its label."""
+    from reelmart.llm import embedding_neardup as e
+    return e.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95).select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").cast("bigint").alias("component_id"), "kept")
