@@ -51,7 +51,7 @@ class ByteBPE:
         merges = [(show(t[:i]), show(t[i:])) for t in by_rank
                   for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         self.tokenizer = Tokenizer(models.BPE(
-            vocab={show(t): r for t, r in ranks.items()}, merges=merges))
+            vocab={show(t): r for t, r in ranks.items()}, merges=merges, cache_capacity=100_000))
         self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.Split(Regex(pattern), "isolated"),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
@@ -147,15 +147,15 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """``id, n_tokens, ids_sha256, decoded_sha256`` per row.
+               text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """``id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``) per row.
 
     Encodes each text and decodes its ids again in the same pass, so token
     lists need not be shuffled or stored. ``ids_sha256`` is over the ids as
-    little-endian unsigned 32-bit integers.
+    little-endian unsigned 32-bit integers. Null texts count as empty.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    schema = f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
     def batches(it):
         bpe = load(path, pattern)
@@ -165,11 +165,15 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
             for run in _runs(b.column(1).to_pylist()):
                 keys = b.column(0).slice(at, len(run))
                 at += len(run)
-                ids = bpe.ids(run)
-                yield pa.RecordBatch.from_arrays([
-                    keys, pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([sha(np.asarray(x, "<u4").tobytes()) for x in ids]),
-                    pa.array([sha(bpe.decode_bytes(x)) for x in ids])], names)
+                ids = [np.asarray(x, "<u4") for x in bpe.ids(run)]
+                cols = {"id": keys, "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
+                        "ids_sha256": pa.array([sha(x.tobytes()) for x in ids]),
+                        "decoded_sha256": pa.array([sha(bpe.decode_bytes(x.tolist())) for x in ids])}
+                if with_ids:
+                    cols["ids"] = pa.ListArray.from_arrays(
+                        pa.array(np.cumsum([0] + [len(x) for x in ids]), pa.int32()),
+                        pa.array(np.concatenate(ids).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
 
     return (docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-            .mapInArrow(batches, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"))
+            .mapInArrow(batches, schema + ", ids array<int>" * with_ids))

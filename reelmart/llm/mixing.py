@@ -31,6 +31,10 @@ SCHEDULES = ((1.0, 1.0), (0.5, 1.5), (1.5, 0.5))
 BIG = "decimal(38,0)"
 
 
+def word_count(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(WORD)).cast("bigint")
+
+
 def demand_time(share: Column, schedule: Sequence[float]) -> Column:
     """The training time at which ``share`` (0..1) of the demand is consumed.
 
@@ -90,12 +94,12 @@ def targets(sizes: DataFrame, share: tuple[int, int], cap: int, weights: Sequenc
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
         text_col: str = "text", share: tuple[int, int] = (3, 2), cap: int = 2,
-        weights: Sequence[int] = WEIGHTS, schedules: Sequence[Sequence[float]] = SCHEDULES,
-        keep: Sequence[str] = ()) -> DataFrame:
+        weights: Sequence[int] = WEIGHTS,
+        schedules: Sequence[Sequence[float]] = SCHEDULES) -> DataFrame:
     """One row per document, range-sorted by its first position.
 
-    Columns: ``id, source, size, source_size, target, taken, passes, position``
-    and those of ``keep``. ``size`` counts words (null text: 0); ``taken`` is
+    Columns: ``id, source, size, source_size, target, taken, passes, position``.
+    ``size`` counts words (null text: 0); ``taken`` is
     the number of words the mix takes, repeats counted; the last document of a
     source's demand is taken in part, so a source's taken words add up to its
     target rounded down. ``passes``: array of (pass, position, words), empty
@@ -108,8 +112,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     rank = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-        F.regexp_count(text_of(text_col), F.lit(WORD)).cast("bigint").alias("size"),
-        rank.alias("h"), *[F.col(c).alias(f"keep_{c}") for c in keep])
+        word_count(text_of(text_col)).alias("size"),
+        rank.alias("h"))
     rows = shared.table(rows.withColumn("slice", F.substring("h", 1, 4)), "sizes")
 
     slices = rows.groupBy("source", "slice").agg(F.sum("size").alias("n"))
@@ -148,6 +152,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     taken = sum((words(k) for k in range(1, cap)), words(0))
     return (placed.withColumn("passes", passes).select(
         "id", "source", "size", "source_size", "target", taken.alias("taken"), "passes",
-        F.get("passes", F.lit(0))["position"].alias("position"), "h",
-        *[F.col(f"keep_{c}").alias(c) for c in keep])
+        F.get("passes", F.lit(0))["position"].alias("position"), "h")
         .orderBy(F.col("position").asc_nulls_last(), "h").drop("h"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
+                    text_col: str = "text", **options) -> DataFrame:
+    """The documents of the mix in training order, whole, once per pass.
+
+    A pass that takes less than half of a document's words leaves it out. Rows
+    equal in id, source and size share one decision. Empty documents are left
+    out, as they add no words.
+    """
+    plan = mix(docs, id_col, source_col, text_col, **options).filter(F.size("passes") > 0)
+    plan = plan.groupBy("id", "source", "size").agg(F.max("passes").alias("passes"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("row_id"),
+                       F.col(source_col).alias("row_source"), word_count(text_of(text_col)).alias("row_size"))
+    on = F.col("row_id").eqNullSafe(F.col("id")) & F.col("row_source").eqNullSafe(F.col("source")) \
+        & (F.col("row_size") == F.col("size"))
+    out = rows.join(plan, on).select("row", "size", F.explode("passes").alias("p"))
+    return (out.filter(F.col("p.words") * 2 >= F.col("size")).orderBy("p.position", "row." + id_col)
+            .select(*[F.col("row")[c].alias(c) for c in docs.columns]))

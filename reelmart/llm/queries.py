@@ -165,3 +165,73 @@ def op3_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelmart.llm import embedding_neardup as e
     return e.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95).select(
         F.col("id").alias("vec_id"), "n_links", F.col("component").cast("bigint").alias("component_id"), "kept")
+
+
+#: Declared parameters of the tools that the conversations are read as using.
+TOOLS = [("search", "query", "string", True), ("search", "limit", "integer", False),
+         ("search", "exact", "boolean", False),
+         ("fetch", "query", "string", True), ("fetch", "limit", "number", True),
+         ("note", "query", "string", False), ("note", "exact", "boolean", True)]
+
+
+@query("op1_tool_calls", r"""
+WITH q AS (
+  SELECT *, length(coalesce(text, '')) AS n, 'c' || conv_id || '-' || turn AS id,
+         turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run
+  FROM conversations WHERE role = 'user'),
+u AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS depth,
+         CASE WHEN n % 17 = 0 THEN 'other' ELSE ['search', 'fetch', 'note'][n % 3 + 1] END AS name,
+         n % 5 = 0 AS worded, n % 7 = 0 AS silent, n % 11 = 0 AS broken, to_json(coalesce(text, '')) AS words
+  FROM q),
+a AS (SELECT conv_id, 'c' || conv_id || '-' || (turn - 1) AS id, turn, text
+      FROM conversations WHERE role = 'assistant'),
+c AS (
+  SELECT u.*, a.text AS result, a.id IS NOT NULL AS answered,
+         CASE WHEN broken THEN 'not an object' WHEN name = 'other' THEN 'tool' ELSE concat_ws(',',
+           CASE WHEN name <> 'note' AND silent THEN 'missing:query' END,
+           CASE WHEN name <> 'note' AND worded THEN 'type:limit' END,
+           CASE name WHEN 'fetch' THEN 'unknown:exact' WHEN 'note' THEN 'unknown:limit' END) END AS problems
+  FROM u LEFT JOIN a USING (conv_id, id))
+SELECT conv_id, id AS call_id, turn AS sort_turn, depth::BIGINT AS depth, turn,
+       CASE WHEN answered THEN 'linked' ELSE 'pending' END AS status, answered::BIGINT AS n_results,
+       CASE WHEN name = 'other' THEN 'tool' ELSE problems END AS problems,
+       '{' || CASE WHEN broken THEN '' ELSE '"arguments":{"exact":true,"limit":'
+         || CASE WHEN worded THEN '"' || n || '"' ELSE n::VARCHAR END
+         || CASE WHEN silent THEN '' ELSE ',"query":' || words END || '},' END
+       || '"call_id":"' || id || '","conv_id":' || conv_id || ',"name":"' || name || '"'
+       || CASE WHEN broken THEN ',"raw_arguments":"{limit"' ELSE '' END
+       || CASE WHEN result IS NULL THEN '' ELSE ',"result":' || to_json(result) END
+       || ',"turn":' || turn || '}' AS message
+FROM c
+UNION ALL
+SELECT a.conv_id, a.id, a.turn, 0, a.turn, 'orphan', 1, '',
+       '{"call_id":"' || a.id || '","conv_id":' || a.conv_id
+       || CASE WHEN a.text IS NULL THEN '' ELSE ',"result":' || to_json(a.text) END || ',"turn":' || a.turn || '}'
+FROM a ANTI JOIN u USING (conv_id, id)
+""")
+def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tool calls and results read from every conversation.
+
+    A user turn is a call that depends on the user turn two before it, an
+    assistant turn the result of the turn before it. Arguments come from the
+    text; some lack a parameter, have a wrong type or are broken, by the
+    text's length.
+    """
+    from reelmart.llm import tool_calls as t
+    turns = table(spark, sf_dir, "conversations")
+    n = F.length(F.coalesce("text", F.lit("")))
+    quoted = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("query")))
+    call_id = lambda k: F.concat(F.lit("c"), "conv_id", F.lit("-"), F.col("turn") - k)
+    limit = F.when(n % 5 == 0, F.concat(F.lit('"'), n, F.lit('"'))).otherwise(n.cast("string"))
+    arguments = F.when(n % 11 == 0, F.lit("{limit")).otherwise(F.concat(
+        F.when(n % 7 == 0, F.lit("{")).otherwise(F.concat(F.expr("left(q, length(q) - 1)"), F.lit(", "))),
+        F.lit('"limit": '), limit, F.lit(', "exact": true}')))
+    calls = turns.filter("role = 'user'").withColumn("q", quoted).select(
+        "conv_id", "turn", call_id(0).alias("call_id"),
+        F.when(n % 17 == 0, "other").otherwise(F.element_at(F.lit(["search", "fetch", "note"]), n % 3 + 1)).alias("name"),
+        arguments.alias("arguments"), call_id(2).alias("after"))
+    results = turns.filter("role = 'assistant'").select(
+        "conv_id", "turn", call_id(1).alias("call_id"), F.col("text").alias("content"))
+    tools = spark.createDataFrame(TOOLS, "name string, param string, type string, required boolean")
+    return t.link(calls, results, tools)

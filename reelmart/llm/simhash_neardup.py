@@ -158,3 +158,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         shared.drop(new)
     return (fps.join(classes.select("fp", F.col("class").alias("component")), "fp", "left")
             .select("id", "fp", "component"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         shingle: int = 3, radius: int = 3) -> DataFrame:
+    """``docs`` with one document of each near-duplicate class, unchanged.
+
+    The row with the class's smallest id stays; of rows that repeat an id, one.
+    A row without an id stays only where no row of its fingerprint has one, one
+    row per text.
+    """
+    shared = Shared(docs.sparkSession, "simhash")
+    found = shared.table(near_duplicates(docs, id_col, text_col, shingle, radius), "found")
+    gone = found.filter("id <> component").select("id").distinct()
+    many = shared.table(found.filter("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+                        .filter("n > 1").select("id"), "many")
+    key = F.col(id_col)
+    kept = docs.filter(key.isNotNull()).join(gone, key == F.col("id"), "left_anti")
+    if not many.isEmpty():
+        kept = kept.join(many, key == F.col("id"), "left_anti").unionByName(
+            kept.join(many, key == F.col("id"), "left_semi").dropDuplicates([id_col]))
+    if not found.filter("id IS NULL AND component IS NULL").isEmpty():
+        loose = docs.filter(key.isNull())
+        text = text_of(text_col)
+        prints = fingerprints(loose.withColumn(id_col, F.md5(text)), id_col, text_col, shingle).distinct()
+        alone = prints.join(found.filter("component IS NULL").select("fp").distinct(), "fp", "left_semi")
+        kept = kept.unionByName(loose.join(alone, F.md5(text) == F.col("id"), "left_semi").dropDuplicates([text_col]))
+    return kept
