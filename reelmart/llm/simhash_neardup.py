@@ -170,18 +170,19 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     shared = Shared(docs.sparkSession, "simhash")
     found = shared.table(near_duplicates(docs, id_col, text_col, shingle, radius), "found")
-    gone = found.filter("id <> component").select("id").distinct()
-    many = shared.table(found.filter("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-                        .filter("n > 1").select("id"), "many")
+    near = "__near_id"  # a name that the documents do not have
+    gone = found.filter("id <> component").select(F.col("id").alias(near)).distinct()
+    many = shared.table(found.filter("id IS NOT NULL").groupBy(F.col("id").alias(near))
+                        .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(near), "many")
     key = F.col(id_col)
-    kept = docs.filter(key.isNotNull()).join(gone, key == F.col("id"), "left_anti")
+    kept = docs.filter(key.isNotNull()).join(gone, key == F.col(near), "left_anti")
     if not many.isEmpty():
-        kept = kept.join(many, key == F.col("id"), "left_anti").unionByName(
-            kept.join(many, key == F.col("id"), "left_semi").dropDuplicates([id_col]))
+        kept = kept.join(many, key == F.col(near), "left_anti").unionByName(
+            kept.join(many, key == F.col(near), "left_semi").dropDuplicates([id_col]))
     if not found.filter("id IS NULL AND component IS NULL").isEmpty():
-        loose = docs.filter(key.isNull())
-        text = text_of(text_col)
-        prints = fingerprints(loose.withColumn(id_col, F.md5(text)), id_col, text_col, shingle).distinct()
-        alone = prints.join(found.filter("component IS NULL").select("fp").distinct(), "fp", "left_semi")
-        kept = kept.unionByName(loose.join(alone, F.md5(text) == F.col("id"), "left_semi").dropDuplicates([text_col]))
+        loose, text = docs.filter(key.isNull()), text_of(text_col)
+        prints = fingerprints(loose.select(F.md5(text).alias("id"), text.alias("text")), "id", "text", shingle)
+        alone = prints.join(found.filter("component IS NULL").select("fp").distinct(), "fp", "left_semi").select(
+            F.col("id").alias(near)).distinct()
+        kept = kept.unionByName(loose.join(alone, F.md5(text) == F.col(near), "left_semi").dropDuplicates([text_col]))
     return kept

@@ -1,0 +1,100 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from conftest import documents  # noqa: F401
+
+from reelmart.llm import simhash_neardup as s
+
+
+def slow_fingerprint(text, k=3):
+    import re
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + k]) for i in range(len(words) - k + 1)] or [" ".join(words)]
+    hs = [xxhash.xxh64(x.encode(), seed=42).intdigest() for x in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hs) * 2 > len(hs))
+
+
+def classes(rows, radius=3):
+    """Brute force over rows of (id, fp): the component of each row."""
+    nodes = {}
+    for i, fp in rows:
+        if i is not None:
+            nodes[fp] = min(i, nodes.get(fp, i))
+    fps = list(nodes)
+    low = dict(nodes)
+    changed = True
+    while changed:
+        changed = False
+        for x, fp in enumerate(fps):
+            for other in fps[:x]:
+                near = bin(fp ^ other).count("1") <= radius or nodes[fp] == nodes[other]
+                if near and low[fp] != low[other]:
+                    low[fp] = low[other] = min(low[fp], low[other])
+                    changed = True
+    return [low.get(fp) for _, fp in rows]
+
+
+def test_fingerprints_on_edge_rows(edge_docs, edge_rows):
+    got = s.fingerprints(edge_docs).collect()
+    want = sorted(((r[0] is not None, r[0] or 0, slow_fingerprint(r[1] or "")) for r in edge_rows))
+    assert sorted((r.id is not None, r.id or 0, r.fp % 2 ** 64) for r in got) == want
+
+
+def test_a_z_only_is_lowered():
+    assert s.fingerprint_of("ÀB c d") == slow_fingerprint("ÀB c d") != slow_fingerprint("àb c d")
+    assert s.fingerprint_of("A b C") == s.fingerprint_of("a B\tc")
+
+
+def test_near_duplicates_on_edge_rows(edge_docs, edge_rows):
+    rows = [(r[0], slow_fingerprint(r[1] or "")) for r in edge_rows]
+    want = sorted(zip([str(i) for i, _ in rows], [f for _, f in rows], map(str, classes(rows))))
+    got = sorted((str(r.id), r.fp % 2 ** 64, str(r.component)) for r in s.near_duplicates(edge_docs).collect())
+    assert got == want
+
+
+def test_empty_table(no_docs):
+    assert s.near_duplicates(no_docs).count() == 0
+    assert s.drop_near_duplicates(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("radius", [1, 2, 3, 5, 7])
+def test_pigeonring_finds_every_pair(spark, radius):
+    rnd = random.Random(radius)
+    seeds = [rnd.getrandbits(64) for _ in range(60)]
+    fps = set(seeds)
+    for x in seeds:
+        for _ in range(6):
+            y = x
+            for b in rnd.sample(range(64), rnd.randint(1, radius + 2)):
+                y ^= 1 << b
+            fps.add(y)
+    fps = sorted(fps)
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame([(f, i, i) for i, f in enumerate(signed)], "fp long, node long, class long")
+    got = {tuple(sorted((r.u, r.v))) for r in s.links(df, radius).collect()}
+    want = {(i, j) for j in range(len(fps)) for i in range(j) if bin(fps[i] ^ fps[j]).count("1") <= radius}
+    assert got == want and want
+
+
+def test_links_skip_pairs_of_one_class(spark):
+    df = spark.createDataFrame([(0, 1, 1), (1, 2, 1), (3, 3, 3)], "fp long, node long, class long")
+    assert {tuple(sorted((r.u, r.v))) for r in s.links(df, 3).collect()} == {(1, 3), (2, 3)}
+
+
+def test_whole_table_against_brute_force(spark):
+    docs = documents(spark)
+    got = {r.id: (r.fp % 2 ** 64, r.component) for r in s.near_duplicates(docs).collect()}
+    rows = [(r.doc_id, slow_fingerprint(r.text or "")) for r in docs.collect()]
+    assert {i: (f, c) for (i, f), c in zip(rows, classes(rows))} == got
+
+
+def test_one_document_per_class_stays(edge_docs, edge_rows):
+    kept = s.drop_near_duplicates(edge_docs).select("doc_id", "text").collect()
+    ids = [r.doc_id for r in kept]
+    assert ids.count(6) == 1 and 7 not in ids and ids.count(None) == 1
+    assert {4, 5, 8} <= set(ids) and len([i for i in ids if i in (1, 2, 3)]) == 1
+    assert set(ids) >= {1}
