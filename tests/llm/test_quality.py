@@ -1,0 +1,93 @@
+import random
+
+import numpy as np
+from conftest import documents
+
+from reelmart.llm import quality as q
+
+
+def graded(n, seed):
+    rnd = random.Random(seed)
+    plain = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(n):
+        g = rnd.choice([0, 1, 2, 2, 2])
+        words = rnd.choices(plain, k=rnd.randint(5, 300))
+        if g == 0:
+            words = [w.upper() + "!!" for w in words]
+        if g == 1:
+            words[rnd.randrange(len(words))] = rnd.choice(["nasty", "awful", "vile"])
+        rows.append((i, " ".join(words), g))
+    return rows
+
+
+def test_fit_recovers_grades(spark):
+    rows, held = graded(1500, 1), graded(400, 2)
+    schema = "doc_id long, text string, grade int"
+    df = spark.createDataFrame(rows, schema)
+    m = q.fit(df, df.select("doc_id", "grade"), 3)
+    assert (np.diff(m.thresholds) > 0).all()
+    got = {r.id: r for r in q.score(spark.createDataFrame(held, schema), m, 3).collect()}
+    right = sum((got[i].tails[0] >= 0.5) == (g >= 1) and (got[i].tails[1] >= 0.5) == (g >= 2) for i, _, g in held)
+    assert right / len(held) > 0.95
+    for r in got.values():
+        assert 0 <= r.tails[1] <= r.tails[0] <= 1 and abs(r.expected_grade - sum(r.tails)) < 1e-12
+
+
+def test_gradient():
+    rnd = np.random.default_rng(3)
+    rows = [np.unique(rnd.integers(0, 30, 8)) for _ in range(40)]
+    counts = np.array([len(r) for r in rows])
+    flat, starts = np.concatenate(rows), np.concatenate(([0], np.cumsum(counts)[:-1]))
+    y, scale = rnd.integers(0, 4, 40), rnd.random(30)
+    x = rnd.standard_normal(33) * 0.3
+    value = lambda x: q._loss(x[:-3], x[-3:], flat, scale, starts, counts, y, 0.01)
+    f, g = value(x)
+    for i in range(33):
+        step = np.zeros(33)
+        step[i] = 1e-5
+        assert abs((value(x + step)[0] - value(x - step)[0]) / 2e-5 - g[i]) < 1e-6
+
+
+def test_held_out_accuracy_on_the_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")
+    rated = q.grades_of(labels)
+    m = q.fit(docs, rated.filter("doc_id % 4 <> 1"), 3)
+    held = {r.doc_id: r.grade for r in rated.filter("doc_id % 4 = 1").collect()}
+    got = {r.id: r.tails[1] >= 0.5 for r in q.score(docs, m, 3).collect()}
+    good = [got[i] for i, g in held.items() if g == 2]
+    poor = [got[i] for i, g in held.items() if g == 0]
+    toxic = [got[i] for i, g in held.items() if g == 1]
+    assert np.mean(good) > 0.97 and np.mean(poor) < 0.05 and np.mean(toxic) < 0.25
+
+
+def test_edge_rows(spark, edge_docs, edge_rows, no_docs):
+    labels = spark.createDataFrame([(4, 1, 0), (4, 0, 0), (5, 1, 1), (6, 1, 0), (9, None, 0), (None, 1, 0), (99, 1, 1)],
+                                   "doc_id long, quality int, toxic int")
+    m = q.fit(edge_docs, q.grades_of(labels), 3)
+    out = q.score(edge_docs, m, 3).collect()
+    assert sorted(str(r.id) for r in out) == sorted(str(r[0]) for r in edge_rows)
+    assert all(np.isfinite(r.expected_grade) for r in out)
+    kept = q.select(edge_docs, m, 3, 2)
+    assert kept.schema == edge_docs.schema
+    assert kept.count() == sum(r.tails[1] >= 0.5 for r in out)
+    assert q.score(no_docs, m, 3).count() == 0 and q.select(no_docs, m, 3, 2).count() == 0
+
+
+def test_without_ratings_all_stay(edge_docs, spark):
+    none = spark.createDataFrame([], "doc_id long, grade int")
+    assert q.fit(edge_docs, none, 3) is None
+    assert q.select(edge_docs, None, 3, 2).count() == edge_docs.count()
+    assert all(r.tails == [1.0, 1.0] for r in q.score(edge_docs, None, 3).collect())
+
+
+def test_one_grade_only(spark):
+    df = spark.createDataFrame([(i, f"word{i} x", 2) for i in range(20)], "doc_id long, text string, grade int")
+    m = q.fit(df, df, 3)
+    assert all(r.tails[1] >= 0.5 for r in q.score(df, m, 3).collect())
+
+
+def test_grades_of_labels(spark):
+    df = spark.createDataFrame([(1, 0, 1), (2, 1, 1), (3, 1, 0), (4, None, 0), (5, 1, None)], "doc_id long, quality int, toxic int")
+    assert {r.doc_id: r.grade for r in q.grades_of(df).collect()} == {1: 0, 2: 1, 3: 2, 4: None, 5: None}

@@ -1,0 +1,36 @@
+"""The registered queries: names, oracles and contract columns."""
+import pytest
+from conftest import SF001, SF01
+from oracle_check import compare, duck
+
+import __spark_entry__ as E
+from reelmart.llm import queries as q
+
+CONTRACT = {
+    "op3": ["vec_id", "n_links", "component_id", "kept"],
+    "op4": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+    "op5": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
+    "op6": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    "op7": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op8": ["doc_id", "fingerprint", "component_id"],
+    "op10": ["doc_id", "size", "source_size", "target", "taken"]}
+
+
+def test_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in q.QUERIES) == list(range(1, 11))
+    assert set(q.QUERIES) | {"pipeline"} == set(E.LLM)
+
+
+@pytest.mark.parametrize("name", sorted(q.ORACLE))
+def test_matches_oracle(spark, name):
+    r = compare(spark, duck(SF01), name, q.QUERIES[name], q.ORACLE[name], SF01)
+    assert r["schema"] and r["exact"], r
+
+
+@pytest.mark.parametrize("name", sorted(set(q.QUERIES) - {"op1_tool_calls"}))
+def test_contract_columns_and_rows(spark, name):
+    df = q.QUERIES[name](spark, SF001)
+    assert df.columns[:len(CONTRACT.get(name.split("_")[0], []))] == CONTRACT.get(name.split("_")[0], [])
+    table = "embeddings" if name.startswith("op3") else "documents"
+    if not name.startswith("op2"):
+        assert df.count() == spark.read.parquet(f"{SF001}/{table}.parquet").count()
