@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmart.llm import spans as sp
-from reelmart.llm._common import text_of
+from reelmart.llm._common import Shared, text_of
 
 
 @dataclass(frozen=True)
@@ -97,7 +97,6 @@ def scan(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES,
     blob with a third of all rows is scanned once. A blob that some rules have
     seen is scanned by the others only. Null texts are the empty blob.
     """
-    from reelmart.llm._common import Shared
     run, shared = uuid.uuid4().hex, Shared(ledger.spark, "secrets")
     blobs = (versions.select(blob_of(text_col).alias("blob"), text_of(text_col).alias("text"))
              .groupBy("blob").agg(F.first("text").alias("text")))
@@ -146,4 +145,6 @@ def report(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES,
     current = F.concat_ws("@", "kind", "version").isin([f"{r.kind}@{r.version}" for r in rules])
     found = ledger.findings().filter(current).dropDuplicates(["blob", "kind", "start", "end"])
     paths = versions.select(F.col(id_col).alias("id"), blob_of(text_col).alias("blob"))
-    return sp.with_digest(paths, sp.digest(found, "blob", base, order), "blob", base)
+    # a table of its own, so that the join may split a blob with many paths
+    digests = Shared(ledger.spark, "secrets").table(sp.digest(found, "blob", base, order), "digests")
+    return sp.with_digest(paths, digests, "blob", base)
