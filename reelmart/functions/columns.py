@@ -84,6 +84,22 @@ def ieq(col, value: str) -> Column:
     return F.lower(_c(col)) == F.lit(value.lower())
 
 
+def exact_mean(col: str, scale: int) -> Column:
+    """Aggregate: mean of a DECIMAL of ``scale`` digits as a DOUBLE, rounded
+    once (the built-in mean of a DECIMAL is cut to four more digits first)."""
+    units = F.sum((F.col(col) * F.lit(10 ** scale)).cast("decimal(38,0)")).cast("double")
+    return units / F.nullif(F.count(col) * F.lit(10 ** scale), F.lit(0)).cast("double")
+
+
+def rounded_mean(col: str, scale: int) -> Column:
+    """Aggregate: mean of a DECIMAL of ``scale`` digits, rounded half up to
+    ``scale`` digits in one exact step; a DOUBLE."""
+    units = F.sum((F.col(col) * F.lit(10 ** scale)).cast("decimal(38,0)"))
+    n = F.count(col).cast("decimal(38,0)")
+    half_up = F.call_function("div", F.abs(units) * 2 + n, F.nullif(n * 2, F.lit(0).cast("decimal(38,0)")))
+    return F.signum(units) * half_up.cast("double") / F.lit(float(10 ** scale))
+
+
 def bayes_rating(v, c, mean, m) -> Column:
     """Bayesian weighted rating ``(v*c + mean*m) / (c + m)`` as DOUBLE."""
     v, c, mean = _c(v).cast("double"), _c(c).cast("double"), _c(mean).cast("double")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -49,20 +49,19 @@ def new_rows(df: DataFrame, col: str, target: DataFrame | None,
 def assert_unique(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``updates`` unchanged, but evaluation raises on a duplicate key.
 
-    The check is part of the plan (an aggregate on the keys with partial
-    aggregation, whose only possible rows call ``raise_error``), so it costs
-    no separate job and fires whenever the result is computed.
+    The check is part of the plan: a row's predecessor within its key (one row
+    of look-back, nothing is gathered) calls ``raise_error``. It costs no
+    separate job, reads ``updates`` once and fires whenever the result is
+    computed.
     """
     keys = list(keys)
-    dups = (updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-            .filter(F.col("__n") > 1))
+    w = Window.partitionBy(*keys).orderBy(*keys)
     msg = F.concat(F.lit(f"upsert: duplicate key in updates on {keys}: "),
                    F.to_json(F.struct(*keys)))
-    # the raise depends on the count, so no inferred filter on the key
-    # columns can be pushed below the aggregate and fire on clean rows
-    fire = F.when(F.col("__n") > 1, F.raise_error(msg))
-    boom = dups.select(*[fire.cast(f.dataType).alias(f.name) for f in updates.schema.fields])
-    return updates.unionByName(boom)
+    # the filter needs the row number, so it cannot be pushed below the window
+    # and fire on clean rows
+    clean = F.when(F.row_number().over(w) == 1, F.lit(True)).otherwise(F.raise_error(msg).cast("boolean"))
+    return updates.withColumn("__clean", clean).filter("__clean").drop("__clean")
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],

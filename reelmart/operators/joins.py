@@ -1,8 +1,7 @@
-"""Join helpers (J3, J7 and size-checked broadcast).
+"""Join helpers.
 
-Broadcast is used only where the size is proven: a one-row aggregate (J3),
-or a side whose row count was checked against a bound. Everything else is
-left to Catalyst/AQE, which picks broadcast from runtime sizes and splits
+Broadcast is used only where the size is proven: a one-row aggregate (J3).
+Everything else is left to Catalyst/AQE, which picks broadcast from runtime sizes and splits
 skewed shuffle partitions (``spark.sql.adaptive.skewJoin.enabled``).
 """
 
@@ -10,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
+
+from reelmart.functions.columns import exact_mean
 
 
 def with_global_mean(df: DataFrame, value: str, where: Column, name: str) -> DataFrame:
@@ -19,20 +21,12 @@ def with_global_mean(df: DataFrame, value: str, where: Column, name: str) -> Dat
     broadcast nested-loop join is over exactly one row. An empty input gives
     a NULL mean and keeps every row.
     """
-    mean = df.filter(where).agg(F.avg(value).alias(name))
+    kind = df.schema[value].dataType
+    mean = exact_mean(value, kind.scale) if isinstance(kind, DecimalType) else F.avg(value)
+    mean = df.filter(where).agg(mean.alias(name))
     return df.crossJoin(F.broadcast(mean))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check is one small job (``limit(max_rows + 1).count()``); above the
-    bound the frame is returned as is and the join stays a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def orphans(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """Child rows whose non-NULL ``col`` has no parent row.
 

@@ -1,28 +1,23 @@
-"""A5: exact median per group that stays skew-safe.
+"""A5: exact median per group that stays skew-safe and lazy.
 
 Spark's built-in ``median`` merges, for each group, a map of every distinct
 value in one task: a group holding a third of the rows would be held whole
-by one executor. This operator selects the middle value(s) by narrowing:
-
-1. per group: ``n`` and the target ranks ``k_lo = (n+1) div 2``,
-   ``k_hi = n div 2 + 1`` (algebraic, partial aggregation);
-2. the candidate set is the multiset of (group, value, count) after a
-   ``groupBy(group, value)`` (hot groups are spread over all partitions by
-   the value hash); per-group tables are attached through salted joins
-   (candidate side salted by a value hash, small side replicated), so no
-   join funnels a hot group into one task;
-3. while some group still has more than ``bucket_rows`` distinct candidate
-   values: split each group's candidates at ``fanout`` approximate quantile
-   pivots (mergeable sketches, bounded memory), count values per slice
-   (algebraic), keep only the slice(s) holding ``k_lo``/``k_hi`` and shift the
-   ranks. Each round shrinks every group's candidates by about ``fanout``;
-4. the remaining groups hold at most ``bucket_rows`` distinct values, so a
-   running count over them (one small sorted group per task) pins the two
-   middle values exactly.
-
-The result equals the interpolated median (``(lo + hi) / 2`` style, written
-as ``lo + (hi - lo) * 0.5``); NULL values are ignored and a group with only
-NULLs gets NULL.
+by one executor. This operator finds the middle value(s) in one lazy plan:
+
+1. (group, value) pairs are counted, which spreads a hot group over all
+   partitions by the value;
+2. per group: the number of values, hence the middle ranks, and up to
+   ``fanout`` approximate quantiles (a mergeable sketch of bounded size);
+3. the quantiles cut a group's values into slices; slice counts are algebraic
+   and tell which one or two slices hold the middle ranks;
+4. only the values of those slices are ordered, about one in ``fanout`` of a
+   group's distinct values, with a running count that pins both middles.
+
+The result is exact whatever the sketch returned, since its quantiles only
+choose where to cut. It equals the interpolated median, written as
+``lo + (hi - lo) * 0.5``; NULL values are ignored, a group with only NULLs gets
+NULL, and NULL keys are a group like any other (groups travel as one struct,
+whose equality takes NULL fields as equal).
 """
 
 from __future__ import annotations
@@ -34,67 +29,41 @@ from pyspark.sql import functions as F
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median",
-                 bucket_rows: int = 200_000, fanout: int = 256, salt: int = 64,
-                 max_rounds: int = 16) -> DataFrame:
+                 fanout: int = 256) -> DataFrame:
     """One row per group of ``keys`` (groups with only NULLs included).
 
-    Per-group tables (target ranks, pivots, kept slices) are small; they are
-    joined to the candidates on ``keys + salt`` after replicating them
-    ``salt`` times, so a hot group's candidates stay spread over ``salt``
-    tasks instead of meeting in one.
+    Without keys there is one group; an empty ``df`` then gives no row.
     """
     keys = list(keys)
-    if not keys:  # one global group
-        return exact_median(df.withColumn("__all", F.lit(0)), ["__all"], value, name,
-                            bucket_rows, fanout, salt, max_rounds).drop("__all")
-    v = F.col(value).cast("double")
-    base = df.select(*keys, v.alias("__v"))
-
-    groups = base.groupBy(*keys).agg(F.count("__v").alias("__n"))
-    counts = (base.filter(F.col("__v").isNotNull())
-              .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")))
-
-    targets = groups.filter(F.col("__n") > 0).select(
-        *keys,
-        ((F.col("__n") + 1) / 2).cast("long").alias("__klo"),
-        ((F.col("__n") / 2).cast("long") + 1).alias("__khi"))
-
-    cand = _materialize(_salted_join(counts, targets, keys, salt))
-    for _ in range(max_rounds):
-        distinct_vals = cand.groupBy(*keys).agg(F.count(F.lit(1)).alias("__d"))
-        big = distinct_vals.filter(F.col("__d") > bucket_rows).select(*keys)
-        if big.limit(1).count() == 0:
-            break
-        flagged = _salted_join(cand, big.withColumn("__big", F.lit(True)), keys, salt, "left")
-        narrowed = _narrow(flagged.filter(F.col("__big").isNotNull()).drop("__big"),
-                           keys, fanout, salt)
-        cand = _materialize(narrowed.unionByName(
-            flagged.filter(F.col("__big").isNull()).drop("__big")))
-
-    # Final exact pick: running count over <= bucket_rows distinct values/group.
-    w = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    run = cand.withColumn("__cum", F.sum("__c").over(w))
-    run = run.withColumn("__prev", F.col("__cum") - F.col("__c"))
-    hit_lo = (F.col("__prev") < F.col("__klo")) & (F.col("__klo") <= F.col("__cum"))
-    hit_hi = (F.col("__prev") < F.col("__khi")) & (F.col("__khi") <= F.col("__cum"))
-    picked = run.groupBy(*keys).agg(
-        F.max(F.when(hit_lo, F.col("__v"))).alias("__lo"),
-        F.max(F.when(hit_hi, F.col("__v"))).alias("__hi"))
-    med = picked.select(*keys, (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.lit(0.5)).alias(name))
-    return groups.select(*keys).join(med, keys, "left")
-
-
-def _salted_join(big: DataFrame, small: DataFrame, keys: list[str], salt: int,
-                 how: str = "inner", extra: Sequence[str] = ()) -> DataFrame:
-    """Join a per-group table to candidate rows without funnelling a group.
-
-    The candidate side is salted by a hash of its value; the small side is
-    replicated once per salt value (``salt`` times a per-group table).
-    """
-    on = [*keys, *extra, "__salt"]
-    b = big.withColumn("__salt", F.pmod(F.xxhash64("__v"), F.lit(salt)))
-    sm = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return b.join(sm, on, how).drop("__salt")
+    group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("__all"))
+    counts = (df.select(group.alias("__g"), F.col(value).cast("double").alias("__v"))
+              .groupBy("__g", "__v").agg(F.count(F.lit(1)).alias("__c")))
+    known = F.col("__v").isNotNull()
+    probs = [i / fanout for i in range(1, fanout)]
+    groups = counts.groupBy("__g").agg(
+        F.coalesce(F.sum(F.when(known, F.col("__c"))), F.lit(0)).alias("__n"),
+        F.percentile_approx("__v", probs, 10 * fanout).alias("__cuts"))
+    # slice: how many cuts lie below the value
+    sliced = (counts.filter(known).join(groups, "__g")
+              .select("__g", "__v", "__c", "__n",
+                      F.size(F.filter("__cuts", lambda p: p < F.col("__v"))).alias("__s")))
+    slices = sliced.groupBy("__g", "__s").agg(F.sum("__c").alias("__sc"), F.max("__n").alias("__n"))
+    upto = Window.partitionBy("__g").orderBy("__s").rowsBetween(Window.unboundedPreceding, 0)
+    lo, hi = F.expr("(__n + 1) div 2"), F.expr("__n div 2 + 1")
+    slices = (slices.withColumn("__end", F.sum("__sc").over(upto))
+              .withColumn("__start", F.col("__end") - F.col("__sc")))
+    holds = lambda k: (F.col("__start") < k) & (k <= F.col("__end"))
+    kept = slices.filter(holds(lo) | holds(hi)).select(
+        F.col("__g").alias("__kg"), F.col("__s").alias("__ks"), "__start")
+    within = Window.partitionBy("__g", "__s").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    run = (sliced.join(kept, (F.col("__g") == F.col("__kg")) & (F.col("__s") == F.col("__ks")))
+           .withColumn("__end", F.col("__start") + F.sum("__c").over(within))
+           .withColumn("__start", F.col("__end") - F.col("__c")))
+    picked = run.groupBy("__g").agg(F.max(F.when(holds(lo), F.col("__v"))).alias("__lo"),
+                                    F.max(F.when(holds(hi), F.col("__v"))).alias("__hi"))
+    median = (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.lit(0.5)).alias(name)
+    out = groups.select("__g").join(picked, "__g", "left")
+    return out.select(*[F.col("__g")[k].alias(k) for k in keys], median)
 
 
 def exact_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str]) -> DataFrame:
@@ -110,47 +79,3 @@ def exact_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str]) ->
     med = exact_median(long, [*keys, "__m"], "__x", "__med")
     return med.groupBy(*keys).agg(*[
         F.max(F.when(F.col("__m") == name, F.col("__med"))).alias(name) for name in values])
-
-
-def _materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the session's shared
-    checkpoint folder (never a local checkpoint); the size check of each
-    round then reads the saved candidates instead of recomputing the input.
-    Without a checkpoint folder the plan is left as is."""
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint(eager=True)
-    return df
-
-
-def _narrow(cand: DataFrame, keys: list[str], fanout: int, salt: int) -> DataFrame:
-    """Keep only the slice(s) of each group that contain the target ranks.
-
-    Pivots, slice counts and the kept-slice bookkeeping live on small
-    per-group (or per-group-and-slice) tables; the candidates only meet them
-    through salted joins.
-    """
-    probs = [i / fanout for i in range(1, fanout)]
-    pivots = cand.groupBy(*keys).agg(
-        F.percentile_approx("__v", probs, 10 * fanout).alias("__piv"))
-    # slice id = number of pivots strictly below the value (pivots are data
-    # values, so every slice boundary sits on a distinct value)
-    sliced = _salted_join(cand, pivots, keys, salt).withColumn(
-        "__s", F.size(F.filter("__piv", lambda p: p < F.col("__v")))).drop("__piv")
-    targets = cand.groupBy(*keys).agg(F.first("__klo").alias("__klo"),
-                                      F.first("__khi").alias("__khi"))
-    per_slice = sliced.groupBy(*keys, "__s").agg(F.sum("__c").alias("__sc"))
-    w = Window.partitionBy(*keys).orderBy("__s").rowsBetween(Window.unboundedPreceding, 0)
-    bounds = (per_slice.withColumn("__hi_c", F.sum("__sc").over(w))
-              .withColumn("__lo_c", F.col("__hi_c") - F.col("__sc"))
-              .join(targets, keys, "inner"))
-    keep_lo = (F.col("__lo_c") < F.col("__klo")) & (F.col("__klo") <= F.col("__hi_c"))
-    keep_hi = (F.col("__lo_c") < F.col("__khi")) & (F.col("__khi") <= F.col("__hi_c"))
-    kept = bounds.filter(keep_lo | keep_hi)
-    # ranks shift by the count below the lowest kept slice of the group
-    shift = kept.groupBy(*keys).agg(F.min("__lo_c").alias("__shift"))
-    kept = kept.join(shift, keys, "inner").select(
-        *keys, "__s", (F.col("__klo") - F.col("__shift")).alias("__klo2"),
-        (F.col("__khi") - F.col("__shift")).alias("__khi2"))
-    out = _salted_join(sliced.drop("__klo", "__khi"), kept, keys, salt, extra=["__s"])
-    return out.select(*keys, "__v", "__c", F.col("__klo2").alias("__klo"),
-                      F.col("__khi2").alias("__khi"))

@@ -1,4 +1,4 @@
-"""Set operations and re-aggregation."""
+"""Set operations and re-aggregation (U3, A10; U1/U2 are ``unionByName``)."""
 
 from __future__ import annotations
 
@@ -9,15 +9,7 @@ from pyspark.sql import functions as F
 
 from reelmart.operators.joins import union_distinct
 
-__all__ = ["union_all", "union_distinct", "reaggregate_mean"]
-
-
-def union_all(*frames: DataFrame) -> DataFrame:
-    """UNION ALL by column name."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+__all__ = ["union_distinct", "reaggregate_mean"]
 
 
 def reaggregate_mean(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

@@ -70,10 +70,12 @@ def _threshold_filter(df: DataFrame, col: str, top: DataFrame, desc: bool,
 
 
 def dense_top_n(df: DataFrame, col: str, n: int, desc: bool = True,
-                nulls_first: bool | None = None) -> DataFrame:
-    """Rows whose ``dense_rank()`` over ``col`` is <= n (ties all kept)."""
+                nulls_first: bool | None = None, among: DataFrame | None = None) -> DataFrame:
+    """Rows whose ``dense_rank()`` over ``col`` is <= n (ties all kept).
+
+    ``among``: the rows that are ranked, where they are not those of ``df``."""
     nulls_first = desc if nulls_first is None else nulls_first
-    top = df.select(col).distinct().orderBy(sort_key(col, desc, nulls_first)).limit(n)
+    top = (df if among is None else among).select(col).distinct().orderBy(sort_key(col, desc, nulls_first)).limit(n)
     return _threshold_filter(df, col, top, desc, nulls_first)
 
 

@@ -4,29 +4,27 @@ The mart pipeline consumes semi-structured payloads (one JSON document per
 movie per load). The supplied tables hold no movies, so this adapter maps
 them onto that shape; every payload grows with the tables:
 
-* movie = an order (document part, see below); release date = order date;
-  revenue = total price in cents; budget = sum of line prices in cents (0
-  when the order has no lines, so it reads as unknown); popularity =
-  total / 1000;
-  votes = sum of line quantities; rating = 100 x the largest line discount.
-* genres = distinct nations of the order's suppliers (at most 25 values);
-  production companies = distinct part brands (at most 25 values).
-* cast = one member per line (person = supplier, billing order = line
-  number, popularity = quantity / 10); crew = the order's customer, whose job
-  depends on the market segment ('Director' in three spellings, or other).
+* movie = an order, whatever its size; release date = order date; revenue =
+  total price in cents; budget = sum of line prices in cents (0 when the order
+  has no lines, so it reads as unknown); popularity = total / 1000; votes = sum
+  of line quantities; rating = 100 x the largest line discount; runtime = lines.
+* An order's lines are first summed by cell, its (part brand, supplier nation)
+  pairs. The schema has 25 brands and 25 nations, so an order of any number of
+  lines has at most 625 cells, and no list is longer. A hot order is summed on
+  the map side and meets as cells only.
+* genres = nations of the cells; production companies = brands of the cells;
+  collection = the order's priority class, for orders of customers whose key
+  is even.
+* cast = one member per cell (person = brand and nation, billing order = lowest
+  line number, popularity = largest quantity / 10), so larger orders list more
+  than the ten members that the marts keep; crew = the order's customer, whose
+  job depends on the market segment ('Director' in three spellings, or other).
 * payloads are VARIANT objects built directly from structs
   (``to_variant_object``); the JSON-string landing path (S1/S2) is covered by
-  ``payload_explode`` and the source tests.
+  ``payload_explode``, ``source_round_trip`` and the source tests.
 * loads: every order is loaded one hour after its order date; open orders
   ('O') are re-loaded six hours later the same day and again the next day
   with higher popularity and votes (exercises dedup and daily snapshots).
-
-Document parts: the lines of one order are never gathered whole into one
-task. Each order is split into ``ceil(lines / chunk)`` parts with
-``chunk = max(4096, ceil(lines / 2^19))`` by an md5 bucket of the line,
-so a hot order is spread over many tasks. Part ``p`` of order ``o`` has
-movie id ``o + p * 2^43``; every order below 4,097 lines is a single part
-with movie id = order key.
 """
 
 from __future__ import annotations
@@ -34,72 +32,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmart.functions.columns import md5_bucket
-
-PART_STRIDE = 1 << 43
-MIN_CHUNK = 4096
-MAX_PARTS = 1 << 19
-
 
 def _t(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def with_document_part(li: DataFrame) -> DataFrame:
-    """Lines with ``part`` and ``movie_id`` (see the module notes).
-
-    Only orders above ``MIN_CHUNK`` lines are split, and there are at most
-    ``lines / MIN_CHUNK`` of them: just that set of hot orders (with their
-    line counts) is joined back, so AQE broadcasts it when it is small and
-    the lines of ordinary orders are never shuffled for this step.
-    """
-    per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__lines"))
-    hot = per_order.filter(F.col("__lines") > F.lit(MIN_CHUNK))
-    chunk = F.greatest(F.lit(MIN_CHUNK), F.ceil(F.col("__lines") / F.lit(MAX_PARTS)))
-    n_parts = F.ceil(F.col("__lines") / chunk)
-    out = li.join(hot, "l_orderkey", "left").withColumn(
-        "part", F.when(F.col("__lines").isNull(), F.lit(0).cast("bigint")).otherwise(
-            md5_bucket(n_parts, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                       "l_extendedprice")))
-    return out.withColumn("movie_id", F.col("l_orderkey") + F.col("part") * F.lit(PART_STRIDE))
-
-
-def line_parts(spark, sf_dir: str) -> DataFrame:
-    """Lineitem joined to supplier/nation/part, with a document part id."""
-    li = with_document_part(_t(spark, sf_dir, "lineitem"))
-    sup = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+def order_cells(spark, sf_dir: str) -> DataFrame:
+    """Lines summed by (order, brand, nation)."""
+    sup = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nat = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = _t(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    return (li.join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "inner")
-            .join(F.broadcast(nat), F.col("s_nationkey") == F.col("n_nationkey"), "inner")
-            .join(part, F.col("l_partkey") == F.col("p_partkey"), "inner"))
-
-
-def _movie_parts(spark, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    """One row per (order, part) with line aggregates and bounded arrays."""
-    lines = line_parts(spark, sf_dir) if lines is None else lines
-    brand_no = F.substring_index("p_brand", "#", -1).cast("bigint")
-    company = F.struct(brand_no.alias("id"), F.col("p_brand").alias("name"),
-                       F.when(brand_no < 5, F.lit("")).otherwise(F.lit("US")).alias("origin_country"))
+    lines = (_t(spark, sf_dir, "lineitem")
+             .join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
+             .join(nat, F.col("s_nationkey") == F.col("n_nationkey"))
+             .join(part, F.col("l_partkey") == F.col("p_partkey")))
+    return lines.groupBy("l_orderkey", "p_brand", "n_nationkey", "n_name").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(F.round(F.col("l_extendedprice") * F.lit(100.0)).cast("bigint")).alias("cents"),
+        F.sum("l_quantity").alias("quantity"), F.max("l_quantity").alias("most"),
+        F.max("l_discount").alias("discount"),
+        F.min("l_linenumber").cast("bigint").alias("first_line"))
+
+
+def brand_no() -> F.Column:
+    return F.substring_index("p_brand", "#", -1).cast("bigint")
+
+
+def _movies(spark, sf_dir: str) -> DataFrame:
+    """One row per order with its sums and bounded, sorted lists."""
+    company = F.struct(brand_no().alias("id"), F.col("p_brand").alias("name"),
+                       F.when(brand_no() < 5, F.lit("")).otherwise(F.lit("US")).alias("origin_country"))
     genre = F.struct(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"))
-    agg = lines.groupBy("l_orderkey", "movie_id").agg(
-        F.count(F.lit(1)).alias("runtime"),
-        F.sum(F.round(F.col("l_extendedprice") * F.lit(100.0)).cast("bigint")).alias("__ext"),
-        F.sum("l_quantity").alias("__qty"),
-        F.max("l_discount").alias("__maxdisc"),
-        F.collect_set(genre).alias("genres"),
-        F.collect_set(company).alias("production_companies"))
-    orders = _t(spark, sf_dir, "orders")
-    # orders without lines keep one document (part 0) with empty lists
-    return orders.join(agg, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
-        F.coalesce("movie_id", "o_orderkey").alias("movie_id"), "o_orderkey", "o_orderstatus",
-        "o_totalprice", "o_orderdate", "o_orderpriority",
-        F.coalesce("runtime", F.lit(0)).alias("runtime"),
-        F.coalesce(F.col("__ext"), F.lit(0)).cast("bigint").alias("budget"),
-        F.coalesce(F.col("__qty"), F.lit(0.0)).cast("bigint").alias("vote_count0"),
-        F.round(F.col("__maxdisc") * F.lit(100.0), 2).alias("vote_average"),
-        F.coalesce("genres", F.array()).alias("genres"),
-        F.coalesce("production_companies", F.array()).alias("production_companies"))
+    agg = order_cells(spark, sf_dir).groupBy("l_orderkey").agg(
+        F.sum("lines").alias("runtime"), F.sum("cents").alias("budget"),
+        F.sum("quantity").cast("bigint").alias("votes"), F.max("discount").alias("discount"),
+        F.array_sort(F.collect_set(genre)).alias("genres"),
+        F.array_sort(F.collect_set(company)).alias("production_companies"))
+    none = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)
+    return (_t(spark, sf_dir, "orders").join(agg, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+            .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+                    none("runtime"), none("budget"), none("votes"),
+                    F.round(F.col("discount") * F.lit(100.0), 2).alias("vote_average"),
+                    F.coalesce("genres", F.array()).alias("genres"),
+                    F.coalesce("production_companies", F.array()).alias("production_companies")))
 
 
 # Load schedule of the derived payloads (hours after the
@@ -108,25 +83,29 @@ def _movie_parts(spark, sf_dir: str, lines: DataFrame | None = None) -> DataFram
 LOADS = [(1, 1.0, 0, False), (7, 1.5, 10, True), (25, 2.0, 20, True)]
 
 
-def raw_movie_details(spark, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+def _stamped(hours) -> F.Column:
+    return (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hours)).cast("timestamp_ntz").alias("ingested_at")
+
+
+def raw_movie_details(spark, sf_dir: str) -> DataFrame:
     """Raw table (raw_payload VARIANT, ingested_at TIMESTAMP_NTZ).
 
     The loads are generated in one pass (``explode`` over the fixed load
     schedule), so the line aggregation is computed once.
     """
-    m = _movie_parts(spark, sf_dir, lines)
     schedule = F.array(*[F.struct(F.lit(h).alias("hours"), F.lit(f).alias("factor"),
                                   F.lit(e).alias("extra"), F.lit(o).alias("open_only"))
                          for h, f, e, o in LOADS])
-    m = (m.select("*", F.explode(schedule).alias("__load"))
+    m = (_movies(spark, sf_dir).select("*", F.explode(schedule).alias("__load"))
          .filter(~F.col("__load.open_only") | (F.col("o_orderstatus") == "O")))
     status = (F.when(F.col("o_orderstatus") == "F", F.lit("Released"))
               .when(F.col("o_orderstatus") == "O", F.lit("Post Production"))
               .otherwise(F.lit("In Production")))
+    key = F.col("o_orderkey").cast("string")
     doc = F.struct(
-        F.col("movie_id").alias("id"),
-        F.concat(F.lit("Title "), F.col("movie_id").cast("string")).alias("title"),
-        F.concat(F.lit("Original "), F.col("movie_id").cast("string")).alias("original_title"),
+        F.col("o_orderkey").alias("id"),
+        F.concat(F.lit("Title "), key).alias("title"),
+        F.concat(F.lit("Original "), key).alias("original_title"),
         F.lower("o_orderstatus").alias("original_language"),
         status.alias("status"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("release_date"),
@@ -134,34 +113,35 @@ def raw_movie_details(spark, sf_dir: str, lines: DataFrame | None = None) -> Dat
         F.col("budget"),
         F.round(F.col("o_totalprice") * F.lit(100.0)).cast("bigint").alias("revenue"),
         F.col("vote_average"),
-        (F.col("vote_count0") + F.col("__load.extra")).alias("vote_count"),
+        (F.col("votes") + F.col("__load.extra")).alias("vote_count"),
         (F.col("o_totalprice") / F.lit(1000.0) * F.col("__load.factor")).alias("popularity"),
         F.concat(F.lit("Ordered with priority "), F.col("o_orderpriority")).alias("overview"),
         F.lit(False).alias("video"),
         (F.col("o_orderpriority") == F.lit("1-URGENT")).alias("adult"),
-        F.concat(F.lit("tt"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0")).alias("imdb_id"),
+        F.concat(F.lit("tt"), key).alias("imdb_id"),
+        F.when(F.col("o_custkey") % 2 == 0, F.struct(
+            F.substring("o_orderpriority", 1, 1).cast("bigint").alias("id"),
+            F.col("o_orderpriority").alias("name"))).alias("belongs_to_collection"),
         F.col("genres"), F.col("production_companies"))
-    return m.select(
-        F.to_variant_object(doc).alias("raw_payload"),
-        (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.col("__load.hours")))
-        .cast("timestamp_ntz").alias("ingested_at"),
-        F.xxhash64(doc).alias("payload_hash"))
+    return m.select(F.to_variant_object(doc).alias("raw_payload"), _stamped(F.col("__load.hours")),
+                    F.xxhash64(doc).alias("payload_hash"))
 
 
-def raw_credits(spark, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
-    """Raw credits table: cast = the lines of the document part, crew = customer."""
-    lines = line_parts(spark, sf_dir) if lines is None else lines
+def raw_credits(spark, sf_dir: str) -> DataFrame:
+    """Raw credits table: cast = the order's cells, crew = its customer."""
+    person = brand_no() * 1000 + F.col("n_nationkey")
     member = F.struct(
-        F.col("l_suppkey").alias("id"), F.col("s_name").alias("name"),
-        F.concat(F.lit("Line "), F.col("l_linenumber").cast("string")).alias("character"),
-        F.col("l_linenumber").cast("bigint").alias("order"),
+        person.cast("bigint").alias("id"), F.concat_ws(" of ", "p_brand", "n_name").alias("name"),
+        F.concat(F.lit("Line "), F.col("first_line").cast("string")).alias("character"),
+        F.col("first_line").alias("order"),
         F.lit(False).alias("adult"),
-        F.pmod(F.col("s_nationkey"), F.lit(3)).cast("bigint").alias("gender"),
+        F.pmod(F.col("n_nationkey"), F.lit(3)).cast("bigint").alias("gender"),
         F.lit("Acting").alias("known_for_department"),
-        (F.col("l_quantity") / F.lit(10.0)).alias("popularity"),
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("credit_id"),
+        (F.col("most") / F.lit(10.0)).alias("popularity"),
+        F.concat_ws("-", "l_orderkey", person.cast("string")).alias("credit_id"),
         F.lit("Acting").alias("department"), F.lit("Actor").alias("job"))
-    cast = lines.groupBy("l_orderkey", "movie_id").agg(F.collect_list(member).alias("cast"))
+    cast = order_cells(spark, sf_dir).groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(member)).alias("cast"))  # at most 625 cells
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
                                                  "c_acctbal", "c_mktsegment")
@@ -177,9 +157,6 @@ def raw_credits(spark, sf_dir: str, lines: DataFrame | None = None) -> DataFrame
         F.pmod(F.col("c_nationkey"), F.lit(3)).cast("bigint").alias("gender"))
     j = (cast.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
          .join(cust, F.col("o_custkey") == F.col("c_custkey"), "inner"))
-    doc = F.struct(F.col("movie_id").alias("id"), F.col("cast"),
-                   F.array(crew_member).alias("crew"))
-    return j.select(F.to_variant_object(doc).alias("raw_payload"),
-                    (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(1)))
-                    .cast("timestamp_ntz").alias("ingested_at"),
+    doc = F.struct(F.col("o_orderkey").alias("id"), F.col("cast"), F.array(crew_member).alias("crew"))
+    return j.select(F.to_variant_object(doc).alias("raw_payload"), _stamped(F.lit(1)),
                     F.xxhash64(doc).alias("payload_hash"))

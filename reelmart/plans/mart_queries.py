@@ -8,139 +8,89 @@ the base tables (no JSON), so each entry checks the pipeline end to end.
 
 from __future__ import annotations
 
-from functools import cached_property
+import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reelmart.config import MartConfig
-from reelmart.functions.payload import array_size
+from reelmart.functions.payload import FieldSpec, array_size, extract
 from reelmart.operators import profile
 from reelmart.operators.windows import top_values
 from reelmart.plans import derive, marts, serve
 from reelmart.plans.data_tests import DECLARED, run_declared
+from reelmart.session import checkpoint_dir
+from reelmart.sources import (append_raw, append_snapshot_days, as_table, as_view, land_payloads, load_raw,
+                              merge_fact, raw, read_seed)
+from reelmart.sources.tables import write_once
 from reelmart.plans.queries import TS, _history_sql, _iround_avg, _md5_sql, _sround, register
 
 
-def _table(df: DataFrame) -> DataFrame:
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint(eager=True)
-    return df
-
-
 class World:
-    """The marts over the derived payloads, built lazily on first use (only
-    the lineage a query needs is analysed). The seed is dated by the last
-    load, read from the data as a one-row frame."""
-
-    def __init__(self, spark, d: str, cfg: MartConfig = marts.DEFAULT):
-        self.spark, self.d, self.cfg = spark, d, cfg
-
-    def __getitem__(self, name: str) -> DataFrame:
-        return getattr(self, name)
-
-    # Raw, staging, intermediate, dimension and fact models are tables in
-    # the modelled pipeline: they are materialised once (reliable checkpoint
-    # in the shared checkpoint folder) and every downstream mart reads them
-    # instead of recomputing them. Bridges stay views (lazy), as there.
-    @cached_property
-    def raw_movie_details(self):
-        return _table(derive.raw_movie_details(self.spark, self.d))
-
-    @cached_property
-    def raw_credits(self):
-        return _table(derive.raw_credits(self.spark, self.d))
-
-    @cached_property
-    def stg_movie_details(self):
-        return _table(marts.stg_movie_details(self.raw_movie_details, self.cfg))
-
-    @cached_property
-    def stg_credits(self):
-        return _table(marts.stg_credits(self.raw_credits, self.cfg))
-
-    @cached_property
-    def int_movie_genre(self):
-        return _table(marts.int_movie_genre(self.stg_movie_details, self.cfg))
-
-    @cached_property
-    def int_movie_company(self):
-        return _table(marts.int_movie_company(self.stg_movie_details, self.cfg))
-
-    @cached_property
-    def int_movie_cast(self):
-        return _table(marts.int_movie_cast(self.stg_credits, self.cfg))
-
-    @cached_property
-    def int_movie_director(self):
-        return _table(marts.int_movie_director(self.stg_credits, self.cfg))
-
-    @cached_property
-    def dim_genre(self):
-        return _table(marts.dim_genre(self.int_movie_genre))
-
-    @cached_property
-    def dim_company(self):
-        return _table(marts.dim_company(self.int_movie_company))
-
-    @cached_property
-    def dim_person(self):
-        return _table(marts.dim_person(self.int_movie_cast, self.int_movie_director, self.cfg))
-
-    @cached_property
-    def bridge_movie_genre(self):
-        return marts.bridge_movie_genre(self.int_movie_genre)
-
-    @cached_property
-    def bridge_movie_company(self):
-        return marts.bridge_movie_company(self.int_movie_company)
-
-    @cached_property
-    def bridge_movie_cast(self):
-        return marts.bridge_movie_cast(self.int_movie_cast, self.cfg)
-
-    @cached_property
-    def bridge_movie_director(self):
-        return marts.bridge_movie_director(self.int_movie_director)
+    """The marts over the derived payloads, lazy frames built on first use.
 
-    @cached_property
-    def fact_movie(self):
-        return _table(marts.fact_movie(self.stg_movie_details, None, self.cfg))
+    ``store`` names the models that several plans of one query read: those are
+    written once as Parquet in the shared folder. The seed is dated by the last
+    load, read from the data as a one-row frame.
+    """
 
-    @cached_property
-    def snapshot_seed(self):
-        anchor = self.raw_movie_details.agg(F.to_date(F.max("ingested_at")).alias("today"))
-        return marts.snapshot_seed_from(self.raw_movie_details, anchor, "today", self.cfg)
+    def __init__(self, spark, d: str, store: tuple[str, ...] = (), cfg: MartConfig = marts.DEFAULT):
+        self.spark, self.d, self.store, self.cfg = spark, d, set(store), cfg
+        self.built: dict[str, DataFrame] = {}
 
-    @cached_property
-    def fact_movie_snapshot(self):
-        return _table(marts.fact_movie_snapshot(self.raw_movie_details, None, self.snapshot_seed, self.cfg))
-
-    @cached_property
-    def daily_movie_trends(self):
-        return marts.daily_movie_trends(self.fact_movie, self.fact_movie_snapshot, self.cfg)
-
-    @cached_property
-    def agg_genre_roi(self):
-        return marts.agg_genre_roi(self.fact_movie, self.bridge_movie_genre, self.dim_genre)
-
-    @cached_property
-    def agg_budget_outcomes(self):
-        return marts.agg_budget_outcomes(self.fact_movie)
-
-    @cached_property
-    def agg_talented_cast_member(self):
-        return marts.agg_talented_cast_member(self.fact_movie, self.bridge_movie_cast,
-                                              self.bridge_movie_director, self.dim_person,
-                                              self.cfg)
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.built:
+            df = MODELS[name](self)
+            self.built[name] = write_once(df, name) if name in self.store else df
+        return self.built[name]
+
+
+def _seed(w: World) -> DataFrame:
+    raw = w["raw_movie_details"]
+    anchor = raw.agg(F.to_date(F.max("ingested_at")).alias("today"))
+    return marts.snapshot_seed_from(raw, anchor, "today", w.cfg)
+
+
+MODELS = {
+    "raw_movie_details": lambda w: derive.raw_movie_details(w.spark, w.d),
+    "raw_credits": lambda w: derive.raw_credits(w.spark, w.d),
+    "stg_movie_details": lambda w: marts.stg_movie_details(w["raw_movie_details"], w.cfg),
+    "stg_credits": lambda w: marts.stg_credits(w["raw_credits"], w.cfg),
+    "int_movie_genre": lambda w: marts.int_movie_genre(w["stg_movie_details"], w.cfg),
+    "int_movie_company": lambda w: marts.int_movie_company(w["stg_movie_details"], w.cfg),
+    "int_movie_cast": lambda w: marts.int_movie_cast(w["stg_credits"], w.cfg),
+    "int_movie_director": lambda w: marts.int_movie_director(w["stg_credits"], w.cfg),
+    "dim_genre": lambda w: marts.dim_genre(w["int_movie_genre"]),
+    "dim_company": lambda w: marts.dim_company(w["int_movie_company"]),
+    "dim_person": lambda w: marts.dim_person(w["int_movie_cast"], w["int_movie_director"], w.cfg),
+    "bridge_movie_genre": lambda w: marts.bridge_movie_genre(w["int_movie_genre"]),
+    "bridge_movie_company": lambda w: marts.bridge_movie_company(w["int_movie_company"]),
+    "bridge_movie_cast": lambda w: marts.bridge_movie_cast(w["int_movie_cast"], w.cfg),
+    "bridge_movie_director": lambda w: marts.bridge_movie_director(w["int_movie_director"]),
+    "fact_movie": lambda w: marts.fact_movie(w["stg_movie_details"], None, w.cfg),
+    "snapshot_seed": _seed,
+    "fact_movie_snapshot": lambda w: marts.fact_movie_snapshot(w["raw_movie_details"], None, w["snapshot_seed"], w.cfg),
+    "daily_movie_trends": lambda w: marts.daily_movie_trends(w["fact_movie"], w["fact_movie_snapshot"], w.cfg),
+    "agg_genre_roi": lambda w: marts.agg_genre_roi(w["fact_movie"], w["bridge_movie_genre"], w["dim_genre"]),
+    "agg_budget_outcomes": lambda w: marts.agg_budget_outcomes(w["fact_movie"]),
+    "agg_talented_cast_member": lambda w: marts.agg_talented_cast_member(
+        w["fact_movie"], w["bridge_movie_cast"], w["bridge_movie_director"], w["dim_person"], w.cfg),
+    "agg_genre_evolution": lambda w: marts.agg_genre_evolution(
+        w["fact_movie"], w["bridge_movie_genre"], w["dim_genre"]),
+}
 
-    @cached_property
-    def agg_genre_evolution(self):
-        return marts.agg_genre_evolution(self.fact_movie, self.bridge_movie_genre, self.dim_genre)
+#: What each mart's plans read more than once.
+GENRE = ("stg_movie_details",)
+SNAPSHOT = ("raw_movie_details",)
+TRENDS = ("raw_movie_details", "fact_movie", "fact_movie_snapshot")
+TALENT = ("fact_movie", "int_movie_cast", "int_movie_director")
+EVERY = tuple(m for m in MODELS if m != "snapshot_seed")
 
 
-def world(spark, d) -> World:
-    return World(spark, d)
+def world(spark, d, *store: str) -> World:
+    return World(spark, d, store)
 
 
 _W = f"""
@@ -151,30 +101,28 @@ WITH lines AS (
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN nation n ON s.s_nationkey = n.n_nationkey
   JOIN part p ON l.l_partkey = p.p_partkey),
-lcnt AS (SELECT l_orderkey, COUNT(*) AS n FROM lineitem GROUP BY 1),
-lp AS (
-  SELECT lines.*, lines.l_orderkey
-         + ({_md5_sql("concat_ws('|', lines.l_orderkey, lines.l_linenumber, lines.l_partkey, lines.l_suppkey, lines.l_extendedprice)", "CAST(ceil(c.n / greatest(4096, ceil(c.n / 524288.0))) AS BIGINT)")})
-           * 8796093022208 AS movie_id
-  FROM lines JOIN lcnt c ON lines.l_orderkey = c.l_orderkey),
+cells AS (
+  SELECT l_orderkey AS movie_id, p_brand, brand_no, s_nationkey, n_name, COUNT(*) AS n,
+         SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS cents, SUM(l_quantity) AS quantity,
+         MAX(l_quantity) AS most, MAX(l_discount) AS disc, CAST(MIN(l_linenumber) AS BIGINT) AS first_line
+  FROM lines GROUP BY ALL),
 agg AS (
-  SELECT l_orderkey, movie_id, COUNT(*) AS runtime,
-         SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS budget0,
-         CAST(SUM(l_quantity) AS BIGINT) AS votes0, MAX(l_discount) AS maxdisc
-  FROM lp GROUP BY 1, 2),
+  SELECT movie_id, CAST(SUM(n) AS BIGINT) AS runtime, CAST(SUM(cents) AS BIGINT) AS budget0,
+         CAST(SUM(quantity) AS BIGINT) AS votes0, MAX(disc) AS maxdisc
+  FROM cells GROUP BY 1),
 mv AS (
-  SELECT COALESCE(a.movie_id, o.o_orderkey) AS movie_id, o.o_orderkey, o.o_orderstatus,
-         o.o_totalprice, o.o_orderdate, o.o_orderpriority, COALESCE(a.runtime, 0) AS runtime,
+  SELECT o.o_orderkey AS movie_id, o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice,
+         o.o_orderdate, o.o_orderpriority, COALESCE(a.runtime, 0) AS runtime,
          COALESCE(a.budget0, 0) AS budget0, COALESCE(a.votes0, 0) AS votes0,
          ROUND(a.maxdisc * 100.0, 2) AS va
-  FROM orders o LEFT JOIN agg a ON o.o_orderkey = a.l_orderkey),
+  FROM orders o LEFT JOIN agg a ON o.o_orderkey = a.movie_id),
 loads AS (
   SELECT mv.*, h.hours, h.factor, h.extra, mv.o_orderdate + to_hours(h.hours) AS ingested_at
   FROM mv JOIN (VALUES (1, CAST(1.0 AS DOUBLE), 0, false), (7, CAST(1.5 AS DOUBLE), 10, true),
                        (25, CAST(2.0 AS DOUBLE), 20, true)) h(hours, factor, extra, open_only)
     ON (NOT h.open_only) OR mv.o_orderstatus = 'O'),
 det AS (
-  SELECT movie_id, o_orderkey, o_orderstatus, o_orderpriority, ingested_at,
+  SELECT movie_id, o_orderkey, o_custkey, o_orderstatus, o_orderpriority, ingested_at,
          CAST(o_orderdate AS DATE) AS release_date, runtime,
          NULLIF(budget0, 0) AS budget,
          NULLIF(CAST(ROUND(o_totalprice * 100) AS BIGINT), 0) AS revenue,
@@ -201,16 +149,16 @@ fact AS (
          CASE WHEN budget IS NOT NULL AND revenue IS NOT NULL THEN revenue - budget END AS profit,
          vote_count, popularity, 'Ordered with priority ' || o_orderpriority AS overview,
          false AS video, o_orderpriority = '1-URGENT' AS adult,
-         'tt' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS imdb_id, ingested_at
+         'tt' || CAST(o_orderkey AS VARCHAR) AS imdb_id, ingested_at
   FROM stg),
 cred_cast AS (
-  SELECT lp.movie_id, lp.l_suppkey AS person_id, lp.s_name AS person_name,
-         'Line ' || CAST(lp.l_linenumber AS VARCHAR) AS character, false AS adult,
-         CAST(lp.s_nationkey % 3 AS BIGINT) AS gender, 'Acting' AS known_for_department,
-         'Acting' AS department, lp.l_quantity / CAST(10 AS DOUBLE) AS popularity,
-         concat_ws('-', lp.l_orderkey, lp.l_linenumber, lp.l_partkey, lp.l_suppkey) AS credit_id,
-         'Actor' AS job, CAST(lp.l_linenumber AS BIGINT) AS cast_order
-  FROM lp JOIN orders o ON lp.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey),
+  SELECT x.movie_id, x.brand_no * 1000 + x.s_nationkey AS person_id, x.p_brand || ' of ' || x.n_name AS person_name,
+         'Line ' || CAST(x.first_line AS VARCHAR) AS character, false AS adult,
+         CAST(x.s_nationkey % 3 AS BIGINT) AS gender, 'Acting' AS known_for_department,
+         'Acting' AS department, x.most / CAST(10 AS DOUBLE) AS popularity,
+         CAST(x.movie_id AS VARCHAR) || '-' || CAST(x.brand_no * 1000 + x.s_nationkey AS VARCHAR) AS credit_id,
+         'Actor' AS job, x.first_line AS cast_order
+  FROM cells x JOIN orders o ON x.movie_id = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey),
 int_cast AS (
   SELECT movie_id, person_id, person_name, character, adult, gender, known_for_department,
          department, popularity, credit_id, job FROM (
@@ -226,13 +174,13 @@ crew AS (
               ELSE 'Writer' END AS job,
          'Directing' AS department, 'Directing' AS known_for_department,
          c.c_acctbal / CAST(1000 AS DOUBLE) AS popularity, CAST(c.c_nationkey % 3 AS BIGINT) AS gender
-  FROM (SELECT DISTINCT l_orderkey, movie_id FROM lp) cm
-  JOIN orders o ON cm.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey),
+  FROM (SELECT DISTINCT movie_id FROM cells) cm
+  JOIN orders o ON cm.movie_id = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey),
 int_dir AS (SELECT * FROM crew WHERE lower(job) = 'director'),
-int_genre AS (SELECT DISTINCT movie_id, CAST(s_nationkey AS BIGINT) AS genre_id, n_name AS genre_name FROM lp),
+int_genre AS (SELECT DISTINCT movie_id, CAST(s_nationkey AS BIGINT) AS genre_id, n_name AS genre_name FROM cells),
 int_company AS (SELECT DISTINCT movie_id, brand_no AS company_id, p_brand AS company_name,
                        NULLIF(CASE WHEN brand_no < 5 THEN '' ELSE 'US' END, '') AS origin_country
-                FROM lp),
+                FROM cells),
 dim_genre AS (SELECT DISTINCT genre_id, genre_name FROM int_genre),
 bridge_genre AS (SELECT DISTINCT movie_id, genre_id FROM int_genre),
 people AS (SELECT person_id, person_name, known_for_department, popularity, gender FROM int_cast
@@ -267,7 +215,8 @@ snapshot AS (
     SELECT *, row_number() OVER (PARTITION BY movie_id, snapshot_date
                                  ORDER BY ordering_ts DESC NULLS FIRST, is_synthetic ASC) rn
     FROM combined) WHERE rn = 1),
-gm AS (SELECT CAST(CAST(AVG(vote_average) AS DECIMAL(38,6)) AS DOUBLE) AS g FROM fact WHERE vote_count > 50),
+gm AS (SELECT CAST(SUM(CAST(vote_average * 100 AS BIGINT)) AS DOUBLE)
+              / CAST(100 * COUNT(vote_average) AS DOUBLE) AS g FROM fact WHERE vote_count > 50),
 weighted AS (
   SELECT f.movie_id, f.revenue,
          (CAST(f.vote_average AS DOUBLE) * CAST(f.vote_count AS DOUBLE) + gm.g * 50.0)
@@ -307,8 +256,8 @@ outcomes AS (
               WHEN budget < 100000000 THEN '3: $50M-$100M' ELSE '4: >$100M' END AS budget_tier,
          COUNT(*) AS movie_count, CAST(SUM(COALESCE(revenue, 0)) AS BIGINT) AS total_revenue,
          {_iround_avg('revenue')} AS average_revenue, {_iround_avg('profit')} AS average_profit,
-         CAST(((2 * ((2 * 10000 * SUM(va_x100) + COUNT(va_x100)) // NULLIF(2 * COUNT(va_x100), 0))
-               + 10000) // 20000) AS DOUBLE) / 100.0 AS average_rating
+         CAST((2 * SUM(va_x100) + COUNT(va_x100)) // NULLIF(2 * COUNT(va_x100), 0) AS DOUBLE) / 100.0
+           AS average_rating
   FROM va100 WHERE has_financial_data = true GROUP BY 1),
 trends AS (
   SELECT movie_id, snapshot_date, title, budget, latest_popularity, popularity, vote_average,
@@ -394,7 +343,7 @@ SELECT movie_id, strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date, popularit
        CAST(vote_average AS DOUBLE) AS vote_average, vote_count, revenue FROM seed
 """)
 def q_snapshot_seed(spark, d):
-    return world(spark, d)["snapshot_seed"]
+    return world(spark, d, *SNAPSHOT)["snapshot_seed"]
 
 
 @_reg("mart_fact_movie_snapshot", """
@@ -403,7 +352,7 @@ SELECT movie_id, strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date, popularit
 FROM snapshot
 """)
 def q_fact_movie_snapshot(spark, d):
-    return world(spark, d)["fact_movie_snapshot"]
+    return world(spark, d, *SNAPSHOT)["fact_movie_snapshot"]
 
 
 @_reg("mart_daily_movie_trends", """
@@ -412,12 +361,12 @@ SELECT movie_id, strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date, title, bu
        revenue, is_synthetic FROM trends
 """)
 def q_daily_movie_trends(spark, d):
-    return world(spark, d)["daily_movie_trends"]
+    return world(spark, d, *TRENDS)["daily_movie_trends"]
 
 
 @_reg("mart_agg_genre_roi", "SELECT * FROM roi")
 def q_agg_genre_roi(spark, d):
-    out = world(spark, d)["agg_genre_roi"]
+    out = world(spark, d, *GENRE)["agg_genre_roi"]
     return out.withColumn("release_year", F.col("release_year").cast("bigint"))
 
 
@@ -428,12 +377,12 @@ def q_agg_budget_outcomes(spark, d):
 
 @_reg("mart_agg_talented_cast_member", "SELECT * FROM talent")
 def q_agg_talented_cast_member(spark, d):
-    return world(spark, d)["agg_talented_cast_member"]
+    return world(spark, d, *TALENT)["agg_talented_cast_member"]
 
 
 @_reg("mart_agg_genre_evolution", "SELECT * FROM evolution")
 def q_agg_genre_evolution(spark, d):
-    out = world(spark, d)["agg_genre_evolution"]
+    out = world(spark, d, *GENRE)["agg_genre_evolution"]
     return out.select("genre_name", F.col("release_year").cast("bigint").alias("release_year"),
                       F.col("release_month").cast("bigint").alias("release_month"),
                       "average_popularity")
@@ -446,7 +395,7 @@ SELECT title, strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date, popularity,
 FROM trends
 """)
 def q_serve_trending(spark, d):
-    return serve.trending(world(spark, d)["daily_movie_trends"])
+    return serve.trending(world(spark, d, *TRENDS)["daily_movie_trends"])
 
 
 @_reg("serve_genre_roi", """
@@ -454,7 +403,7 @@ SELECT genre_name, release_year, average_revenue_to_budget_ratio AS avg_roi, mov
 FROM roi WHERE average_revenue_to_budget_ratio IS NOT NULL
 """)
 def q_serve_genre_roi(spark, d):
-    out = serve.genre_roi(world(spark, d)["agg_genre_roi"], genres=None)
+    out = serve.genre_roi(world(spark, d, *GENRE)["agg_genre_roi"], genres=None)
     return out.withColumn("release_year", F.col("release_year").cast("bigint"))
 
 
@@ -465,7 +414,7 @@ FROM roi WHERE average_profit_margin IS NOT NULL
 """)
 def q_serve_genre_margin(spark, d):
     genres = ("NATION_1", "NATION_2", "NATION_3", "NATION_4")
-    out = serve.genre_margin(world(spark, d)["agg_genre_roi"], genres=genres)
+    out = serve.genre_margin(world(spark, d, *GENRE)["agg_genre_roi"], genres=genres)
     return out.withColumn("release_year", F.col("release_year").cast("bigint"))
 
 
@@ -475,7 +424,7 @@ SELECT person_name, role_type, movie_count, average_vote_rating, average_revenue
 FROM talent WHERE average_revenue > 0 AND role_type IN ('actor', 'director')
 """)
 def q_serve_talent(spark, d):
-    return serve.talent(world(spark, d)["agg_talented_cast_member"])
+    return serve.talent(world(spark, d, *TALENT, "agg_talented_cast_member")["agg_talented_cast_member"])
 
 
 @_reg("serve_budget_tiers", """
@@ -490,7 +439,7 @@ SELECT genre_name, release_year, ROUND(AVG(average_popularity), 6) AS avg_pop
 FROM evolution GROUP BY 1, 2
 """)
 def q_serve_genre_by_year(spark, d):
-    out = serve.genre_by_year(world(spark, d)["agg_genre_evolution"])
+    out = serve.genre_by_year(world(spark, d, *GENRE)["agg_genre_evolution"])
     # presentation precision: 6 decimals hide summation-order bits, no ties
     return out.select("genre_name", F.col("release_year").cast("bigint").alias("release_year"),
                       F.round("avg_pop", 6).alias("avg_pop"))
@@ -509,7 +458,7 @@ SELECT rule, k, n, CASE WHEN n = 0 THEN 0.0 ELSE CAST(k AS DOUBLE) / n END AS ra
 ) t
 """)
 def q_profile_coverage(spark, d):
-    stg = world(spark, d).stg_movie_details
+    stg = world(spark, d)["stg_movie_details"]
     return profile.coverage(stg, {
         "budget > 0": F.col("budget") > 0,
         "revenue > 0": F.col("revenue") > 0,
@@ -532,7 +481,7 @@ FROM (SELECT 'budget' AS field, NULLIF(CAST(budget AS DOUBLE), 0) AS v FROM stg
 GROUP BY 1
 """)
 def q_profile_numeric(spark, d):
-    stg = world(spark, d).stg_movie_details
+    stg = world(spark, d)["stg_movie_details"]
     return profile.numeric_stats(stg, ["budget", "revenue", "runtime_min", "vote_average",
                                        "vote_count", "popularity"])
 
@@ -540,7 +489,7 @@ def q_profile_numeric(spark, d):
 @_reg("mart_profile_fanout", """
 , sizes AS (
   SELECT m.movie_id, COALESCE(c.n, 0) AS cast_size, 1 AS crew_size
-  FROM (SELECT DISTINCT movie_id FROM lp) m
+  FROM (SELECT DISTINCT movie_id FROM cells) m
   LEFT JOIN (SELECT movie_id, COUNT(*) AS n FROM cred_cast GROUP BY 1) c ON m.movie_id = c.movie_id)
 SELECT 'cast' AS list, MIN(cast_size) AS min_size, CAST(FLOOR(median(cast_size)) AS BIGINT) AS median_size,
        MAX(cast_size) AS max_size, COUNT(*) AS parents FROM sizes
@@ -548,7 +497,7 @@ UNION ALL
 SELECT 'crew', MIN(crew_size), CAST(FLOOR(median(crew_size)) AS BIGINT), MAX(crew_size), COUNT(*) FROM sizes
 """)
 def q_profile_fanout(spark, d):
-    cr = world(spark, d).stg_credits
+    cr = world(spark, d)["stg_credits"]
     return profile.list_sizes(cr, {"cast": array_size(F.col("cast_list")),
                                    "crew": array_size(F.col("crew_list"))})
 
@@ -557,14 +506,14 @@ def q_profile_fanout(spark, d):
 SELECT genre_name, COUNT(*) AS n FROM int_genre GROUP BY 1 ORDER BY n DESC, genre_name LIMIT 10
 """)
 def q_top_genres(spark, d):
-    return top_values(world(spark, d).int_movie_genre, "genre_name", 10)
+    return top_values(world(spark, d)["int_movie_genre"], "genre_name", 10)
 
 
 @_reg("mart_top_companies", """
 SELECT company_name, COUNT(*) AS n FROM int_company GROUP BY 1 ORDER BY n DESC, company_name LIMIT 10
 """)
 def q_top_companies(spark, d):
-    return top_values(world(spark, d).int_movie_company, "company_name", 10)
+    return top_values(world(spark, d)["int_movie_company"], "company_name", 10)
 
 
 # --- the declared data tests (D1-D7) over our own marts --------------------------------
@@ -608,7 +557,9 @@ def _check_sql(model, kind, column, arg) -> str:
 
 
 _DATA_TESTS_SQL = """
-, stg_credits_o AS (SELECT DISTINCT movie_id, 1 AS cast_list, 1 AS crew_list FROM lp),
+, stg_credits_o AS (SELECT cr.movie_id, ca.names AS cast_list, cr.names AS crew_list
+  FROM (SELECT movie_id, list(person_name) AS names FROM crew GROUP BY 1) cr
+  LEFT JOIN (SELECT movie_id, list(person_name) AS names FROM cred_cast GROUP BY 1) ca USING (movie_id)),
 dim_company_o AS (SELECT DISTINCT company_id, company_name, origin_country FROM int_company),
 bridge_company_o AS (SELECT DISTINCT movie_id, company_id FROM int_company)
 """ + "\nUNION ALL ".join(_check_sql(*d) for d in DECLARED)
@@ -616,4 +567,124 @@ bridge_company_o AS (SELECT DISTINCT movie_id, company_id FROM int_company)
 
 @_reg("mart_data_tests", _DATA_TESTS_SQL)
 def q_data_tests(spark, d):
-    return run_declared(world(spark, d))
+    return run_declared(world(spark, d, *EVERY))
+
+
+# --- staging and intermediate models on their own (M1-M3) ------------------------------
+
+@_reg("mart_stg_movie_details", f"""
+, lists AS (
+  SELECT movie_id,
+         to_json(list(DISTINCT {{'id': CAST(s_nationkey AS BIGINT), 'name': n_name}}
+                      ORDER BY {{'id': CAST(s_nationkey AS BIGINT), 'name': n_name}})) AS genres,
+         to_json(list(DISTINCT {{'id': brand_no, 'name': p_brand,
+                                 'origin_country': CASE WHEN brand_no < 5 THEN '' ELSE 'US' END}}
+                      ORDER BY {{'id': brand_no, 'name': p_brand,
+                                 'origin_country': CASE WHEN brand_no < 5 THEN '' ELSE 'US' END}})) AS companies
+  FROM cells GROUP BY 1)
+SELECT s.movie_id, strftime(s.release_date, '%Y-%m-%d') AS release_date, s.budget, s.revenue,
+       CAST(s.vote_average AS DOUBLE) AS vote_average, s.vote_count, s.popularity,
+       COALESCE(CAST(l.genres AS VARCHAR), '[]') AS genres,
+       COALESCE(CAST(l.companies AS VARCHAR), '[]') AS production_companies,
+       CASE WHEN s.o_custkey % 2 = 0 THEN '{{"id":' || substr(s.o_orderpriority, 1, 1) || ',"name":"'
+            || s.o_orderpriority || '"}}' ELSE 'null' END AS movie_belongs_to_collection,
+       strftime(s.ingested_at, {TS}) AS ingested_at
+FROM stg s LEFT JOIN lists l ON s.movie_id = l.movie_id
+""")
+def q_stg_movie_details(spark, d):
+    stg = world(spark, d)["stg_movie_details"]
+    lists = ["genres", "production_companies", "movie_belongs_to_collection"]
+    return stg.select("movie_id", "release_date", "budget", "revenue", "vote_average", "vote_count", "popularity",
+                      *[F.to_json(F.col(c)).alias(c) for c in lists], "ingested_at")
+
+
+@_reg("mart_stg_credits", """
+SELECT cr.movie_id, COALESCE(c.n, 0) AS cast_members, COALESCE(c.people, 0) AS cast_ids, 1 AS crew_members,
+       cr.name AS crew_name
+FROM (SELECT movie_id, MIN(person_name) AS name FROM crew GROUP BY 1) cr
+LEFT JOIN (SELECT movie_id, COUNT(*) AS n, CAST(SUM(person_id) AS BIGINT) AS people FROM cred_cast GROUP BY 1) c
+  ON cr.movie_id = c.movie_id
+""")
+def q_stg_credits(spark, d):
+    cr = world(spark, d)["stg_credits"]
+    ids = F.aggregate(F.variant_get("cast_list", "$", "array<struct<id:bigint>>"), F.lit(0).cast("bigint"),
+                      lambda acc, m: acc + m["id"])
+    return cr.select("movie_id", array_size(F.col("cast_list")).alias("cast_members"), ids.alias("cast_ids"),
+                     array_size(F.col("crew_list")).alias("crew_members"),
+                     F.variant_get("crew_list", "$[0].name", "string").alias("crew_name"))
+
+
+@_reg("mart_int_movie_genre", "SELECT * FROM int_genre")
+def q_int_movie_genre(spark, d):
+    return world(spark, d)["int_movie_genre"]
+
+
+# --- the source path and incremental builds, on tables in the shared folder ------------
+
+def _folder(spark, label: str) -> str:
+    return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@register("source_round_trip", """
+SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment,
+       CASE WHEN c_custkey % 2 = 0 THEN '1995-01-01' ELSE '1995-01-02' END AS load_date, n_name AS nation
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+""")
+def q_source_round_trip(spark, d):
+    """Land JSON by run date, load, append by load day, read
+    back, and join a seed CSV, through a view and a versioned table."""
+    top = _folder(spark, "sources")
+    cust = spark.read.parquet(f"{d}/customer.parquet")
+    for odd, day in ((0, dt.date(1995, 1, 1)), (1, dt.date(1995, 1, 2))):
+        land_payloads(cust.filter(F.col("c_custkey") % 2 == odd), top, "landed", day)
+    for day in (dt.date(1995, 1, 1), dt.date(1995, 1, 2)):
+        append_raw(load_raw(spark, f"{top}/landed", dt.datetime(day.year, day.month, day.day, 6), run_date=day), f"{top}/raw")
+    spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey", "n_name").write.option("header", True).csv(f"{top}/seed")
+    nation = read_seed(spark, f"{top}/seed", StructType().add("n_nationkey", "long").add("n_name", "string"))
+    typed = extract(raw(spark, f"{top}/raw"), "raw_payload", [
+        FieldSpec("id", "$.c_custkey", "int"), FieldSpec("name", "$.c_name", "string"),
+        FieldSpec("balance", "$.c_acctbal", "double"), FieldSpec("segment", "$.c_mktsegment", "string"),
+        FieldSpec("nation_id", "$.c_nationkey", "int")], keep=["load_date"])
+    view = as_view(typed, "landed_customers")
+    stored = as_table(view.join(nation, F.col("nation_id") == F.col("n_nationkey")), f"{top}/customers")
+    return stored.select("id", "name", "balance", "segment", "load_date", F.col("n_name").alias("nation"))
+
+
+@_reg("fact_incremental", f"""
+SELECT movie_id, title, status, strftime(release_date, '%Y-%m-%d') AS release_date, budget, revenue,
+       vote_count, popularity, strftime(ingested_at, {TS}) AS ingested_at
+FROM fact
+""")
+def q_fact_incremental(spark, d):
+    """M11 with S8: a first build from the first load of every order, then a
+    merge of the later loads (and a repeat of it, which changes nothing)."""
+    w, path = world(spark, d, "raw_movie_details"), _folder(spark, "fact")
+    loads = w["raw_movie_details"]
+    released = F.to_timestamp_ntz(F.variant_get("raw_payload", "$.release_date", "string"))
+    first = F.col("ingested_at") < released + F.make_dt_interval(F.lit(0), F.lit(2))
+    shifted = loads.withColumn("is_first", first)
+    # the first build is stamped before every later load
+    merge_fact(shifted.filter("is_first").withColumn("ingested_at", F.lit("1900-01-01").cast("timestamp_ntz")), path)
+    merge_fact(loads, path)
+    out = merge_fact(loads, path)
+    return out.select("movie_id", "title", "status", "release_date", "budget", "revenue", "vote_count",
+                      "popularity", "ingested_at")
+
+
+@_reg("snapshot_incremental", """
+SELECT movie_id, strftime(CAST(ingested_at AS DATE), '%Y-%m-%d') AS snapshot_date, popularity,
+       CAST(vote_average AS DOUBLE) AS vote_average, vote_count, revenue, false AS is_synthetic
+FROM (SELECT *, row_number() OVER (PARTITION BY movie_id, CAST(ingested_at AS DATE)
+                                   ORDER BY ingested_at DESC) AS rn FROM det) WHERE rn = 1
+""")
+def q_snapshot_incremental(spark, d):
+    """M12 with S8: a first build of the loads up to the middle day, then the
+    later days (and a repeat, which adds nothing)."""
+    w, path = world(spark, d, "raw_movie_details"), _folder(spark, "snapshot")
+    loads = w["raw_movie_details"]
+    day = F.unix_date(F.to_date("ingested_at"))
+    middle = loads.agg(F.percentile_approx(day, 0.5).alias("m")).first()["m"]
+    append_snapshot_days(spark, loads.filter(day <= F.lit(middle)), path)
+    append_snapshot_days(spark, loads, path)
+    append_snapshot_days(spark, loads, path)
+    return spark.read.parquet(path).select(*marts.SNAPSHOT_COLUMNS)

@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 
 from reelmart.config import MartConfig
 from reelmart.functions.columns import (bayes_rating, has_both, ieq, margin, mask_unless,
-                                        profit, safe_ratio, tier)
+                                        profit, rounded_mean, safe_ratio, tier)
 from reelmart.functions.payload import FieldSpec, as_variant, extract, get_field
 from reelmart.operators.explode import explode_payload
 from reelmart.operators.history import synthetic_history, synthetic_history_from
 from reelmart.operators.incremental import new_rows, upsert
-from reelmart.operators.joins import union_distinct, with_global_mean
+from reelmart.operators.joins import with_global_mean
 from reelmart.operators.median import exact_medians
 from reelmart.operators.windows import dense_top_n, latest_per_key, sort_key, top_n_per_key
 
@@ -58,14 +58,17 @@ CREDIT_FIELDS = [
     FieldSpec("crew_list", "$.crew", "variant"),
 ]
 
+# Fixed values.
 GENRE_FIELDS = [FieldSpec("genre_id", "$.id", "int"), FieldSpec("genre_name", "$.name", "string")]
 
+# Fixed values.
 COMPANY_FIELDS = [
     FieldSpec("company_id", "$.id", "int"),
     FieldSpec("company_name", "$.name", "string"),
     FieldSpec("origin_country", "$.origin_country", "string", blank_is_null=True),
 ]
 
+# Fixed values.
 CAST_FIELDS = [
     FieldSpec("person_id", "$.id", "int"),
     FieldSpec("person_name", "$.name", "string"),
@@ -80,6 +83,7 @@ CAST_FIELDS = [
     FieldSpec("job", "$.job", "string"),
 ]
 
+# Fixed values.
 CREW_FIELDS = [
     FieldSpec("person_id", "$.id", "int"),
     FieldSpec("person_name", "$.name", "string"),
@@ -157,7 +161,9 @@ def int_movie_cast(credits: DataFrame, cfg: MartConfig = DEFAULT) -> DataFrame:
         [sort_key(rounded_pop, desc=True, nulls_first=cfg.desc_nulls_first),
          sort_key(order_num, desc=False, nulls_first=False)],
         [F.col("person_id").asc_nulls_last(), F.col("credit_id").asc_nulls_last(),
-         F.col("popularity").desc_nulls_last(), F.col("character").asc_nulls_last()],
+         F.col("popularity").desc_nulls_last(), F.col("character").asc_nulls_last(),
+         *[F.col(c).asc_nulls_last() for c in ("person_name", "adult", "gender", "known_for_department",
+                                               "department", "job")]],
         cfg.cast_top_n)
     return top.select("movie_id", "person_id", "person_name", "character", "adult", "gender",
                       "known_for_department", "department", "popularity", "credit_id", "job")
@@ -188,7 +194,8 @@ _PERSON_COLS = ["person_id", "person_name", "known_for_department", "popularity"
 def dim_person(int_cast: DataFrame, int_director: DataFrame,
                cfg: MartConfig = DEFAULT) -> DataFrame:
     """M8: one row per person, the most popular version (cast UNION directors)."""
-    people = union_distinct(int_cast.select(*_PERSON_COLS), int_director.select(*_PERSON_COLS))
+    # repeats fall to the row number below; UNION ALL saves a shuffle
+    people = int_cast.select(*_PERSON_COLS).unionByName(int_director.select(*_PERSON_COLS))
     return latest_per_key(
         people, ["person_id"],
         [sort_key("popularity", desc=True, nulls_first=cfg.desc_nulls_first)],
@@ -216,13 +223,15 @@ def bridge_movie_cast(int_cast: DataFrame, cfg: MartConfig = DEFAULT) -> DataFra
     best = latest_per_key(
         int_cast, ["movie_id", "person_id"],
         [sort_key("popularity", desc=True, nulls_first=cfg.desc_nulls_first)],
-        [F.col("character").asc_nulls_last(), F.col("credit_id").asc_nulls_last()])
+        [F.col("character").asc_nulls_last(), F.col("credit_id").asc_nulls_last(),
+         F.col("person_name").asc_nulls_last()])
     return best.select("movie_id", "person_id", "person_name",
                        F.col("character").alias("popular_character"), "popularity")
 
 
 # --- facts -------------------------------------------------------------------
 
+# The columns of the movie fact.
 FACT_COLUMNS = ["movie_id", "title", "original_title", "original_language", "status",
                 "release_date", "runtime_min", "budget", "revenue", "vote_average",
                 "has_financial_data", "profit_margin", "revenue_to_budget_ratio", "profit",
@@ -254,9 +263,11 @@ def fact_movie(stg: DataFrame, target: DataFrame | None = None,
     if target is None:
         return rows
     fresh = new_rows(rows, "ingested_at", target, cfg.historic_start_date)
-    return upsert(target.select(*FACT_COLUMNS), fresh, ["movie_id"])
+    # staging holds one row per movie, so the updates are unique
+    return upsert(target.select(*FACT_COLUMNS), fresh, ["movie_id"], check_unique=False)
 
 
+# The columns of the snapshot fact and the observed fields.
 SNAPSHOT_COLUMNS = ["movie_id", "snapshot_date", "popularity", "vote_average", "vote_count",
                     "revenue", "is_synthetic"]
 
@@ -313,7 +324,8 @@ def fact_movie_snapshot(raw: DataFrame, target: DataFrame | None = None,
     out = last.select(*SNAPSHOT_COLUMNS)
     if target is None:
         return out
-    return upsert(target.select(*SNAPSHOT_COLUMNS), out, ["movie_id", "snapshot_date"])
+    return upsert(target.select(*SNAPSHOT_COLUMNS), out, ["movie_id", "snapshot_date"],
+                  check_unique=False)
 
 
 def _current_values(raw: DataFrame, cfg: MartConfig) -> DataFrame:
@@ -350,11 +362,12 @@ def daily_movie_trends(fact: DataFrame, snapshot: DataFrame,
     movies (a bounded top-n), then the winning movies are joined to their
     snapshot rows; no rows funnel through a single window task.
     """
-    eligible = (fact.filter(F.col("vote_count") > cfg.min_vote_count)
-                .join(snapshot.select("movie_id").distinct(), "movie_id", "left_semi")
-                .select("movie_id", "title", "budget", F.col("popularity").alias("latest_popularity")))
+    eligible = fact.filter(F.col("vote_count") > cfg.min_vote_count).select(
+        "movie_id", "title", "budget", F.col("popularity").alias("latest_popularity"))
+    # only movies with a snapshot are ranked; the join below drops the others
+    ranked = eligible.join(snapshot.select("movie_id"), "movie_id", "left_semi")
     top = dense_top_n(eligible, "latest_popularity", cfg.top_n_movies, desc=True,
-                      nulls_first=cfg.desc_nulls_first)
+                      nulls_first=cfg.desc_nulls_first, among=ranked)
     return top.join(snapshot, "movie_id", "inner").select(
         "movie_id", "snapshot_date", "title", "budget", "latest_popularity", "popularity",
         "vote_average", "vote_count", "revenue", "is_synthetic")
@@ -401,7 +414,7 @@ def agg_budget_outcomes(fact: DataFrame, bounds=None, labels=None) -> DataFrame:
                 F.sum(F.coalesce(F.col("revenue"), F.lit(0))).alias("total_revenue"),
                 F.round(F.avg("revenue"), 2).alias("average_revenue"),
                 F.round(F.avg("profit"), 2).alias("average_profit"),
-                F.round(F.avg("vote_average"), 2).alias("average_rating")))
+                rounded_mean("vote_average", 2).alias("average_rating")))
 
 
 def agg_talented_cast_member(fact: DataFrame, bridge_cast: DataFrame,
@@ -422,13 +435,15 @@ def agg_talented_cast_member(fact: DataFrame, bridge_cast: DataFrame,
     roles = (bridge_cast.select("person_id", "movie_id", F.lit("actor").alias("role_type"))
              .unionByName(bridge_director.select("person_id", "movie_id",
                                                  F.lit("director").alias("role_type"))))
-    joined = (roles.join(persons.select("person_id", "person_name"), "person_id", "inner")
-              .join(weighted, "movie_id", "inner"))
-    return (joined.groupBy("person_id", "person_name", "role_type").agg(
+    # aggregate first (partial sums spread a busy person), then fetch the names
+    # of the few who stay: the person dimension has one row per person
+    busy = (roles.join(weighted, "movie_id", "inner").groupBy("person_id", "role_type").agg(
         F.count(F.lit(1)).alias("movie_count"),
         F.round(F.avg("weighted_rating_score"), 2).alias("average_vote_rating"),
         F.round(F.avg("revenue"), 2).alias("average_revenue"))
         .filter(F.col("movie_count") >= cfg.min_films))
+    return busy.join(persons.select("person_id", "person_name"), "person_id", "inner").select(
+        "person_id", "person_name", "role_type", "movie_count", "average_vote_rating", "average_revenue")
 
 
 def agg_genre_evolution(fact: DataFrame, bridge_genre: DataFrame, genres: DataFrame) -> DataFrame:
@@ -439,43 +454,3 @@ def agg_genre_evolution(fact: DataFrame, bridge_genre: DataFrame, genres: DataFr
     return (bridge_genre.join(genres, "genre_id", "inner").join(movies, "movie_id", "inner")
             .groupBy("genre_name", "release_year", "release_month")
             .agg(F.round(F.avg("popularity"), 2).alias("average_popularity")))
-
-
-# --- whole pipeline ------------------------------------------------------------
-
-def build_all(raw_details: DataFrame, raw_credits: DataFrame, cfg: MartConfig = DEFAULT,
-              today: dt.date | None = None, fact_target: DataFrame | None = None,
-              snapshot_target: DataFrame | None = None,
-              seed_anchor: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Every mart as a lazy DataFrame, keyed by model name.
-
-    The synthetic seed (first snapshot build only) is dated from ``today``
-    or from the one-row frame ``seed_anchor`` (column ``today``).
-    """
-    out: dict[str, DataFrame] = {}
-    out["stg_movie_details"] = stg = stg_movie_details(raw_details, cfg)
-    out["stg_credits"] = cr = stg_credits(raw_credits, cfg)
-    out["int_movie_genre"] = ig = int_movie_genre(stg, cfg)
-    out["int_movie_company"] = ic = int_movie_company(stg, cfg)
-    out["int_movie_cast"] = ica = int_movie_cast(cr, cfg)
-    out["int_movie_director"] = idr = int_movie_director(cr, cfg)
-    out["dim_genre"] = dg = dim_genre(ig)
-    out["dim_company"] = dim_company(ic)
-    out["dim_person"] = dp = dim_person(ica, idr, cfg)
-    out["bridge_movie_genre"] = bg = bridge_movie_genre(ig)
-    out["bridge_movie_company"] = bridge_movie_company(ic)
-    out["bridge_movie_director"] = bd = bridge_movie_director(idr)
-    out["bridge_movie_cast"] = bc = bridge_movie_cast(ica, cfg)
-    out["fact_movie"] = fact = fact_movie(stg, fact_target, cfg)
-    seed = None
-    if snapshot_target is None and seed_anchor is not None:
-        out["snapshot_seed"] = seed = snapshot_seed_from(raw_details, seed_anchor, "today", cfg)
-    elif snapshot_target is None and today is not None:
-        out["snapshot_seed"] = seed = snapshot_seed(raw_details, today, cfg)
-    out["fact_movie_snapshot"] = snap = fact_movie_snapshot(raw_details, snapshot_target, seed, cfg)
-    out["daily_movie_trends"] = daily_movie_trends(fact, snap, cfg)
-    out["agg_genre_roi"] = agg_genre_roi(fact, bg, dg)
-    out["agg_budget_outcomes"] = agg_budget_outcomes(fact)
-    out["agg_talented_cast_member"] = agg_talented_cast_member(fact, bc, bd, dp, cfg)
-    out["agg_genre_evolution"] = agg_genre_evolution(fact, bg, dg)
-    return out

@@ -130,22 +130,23 @@ def q_zero_to_null(spark, d):
 
 
 @register("payload_explode", """
-SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line_no,
-       l_partkey AS part_key, l_quantity AS quantity
-FROM lineitem
+SELECT l_orderkey AS order_id, p_brand AS brand, n_name AS nation, COUNT(*) AS n_lines,
+       SUM(l_quantity) AS quantity
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3
 """)
 def q_payload_explode(spark, d):
-    li = derive.with_document_part(T(spark, d, "lineitem"))
-    elem = F.struct(F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"),
-                    F.col("l_quantity").alias("qty"))
-    docs = li.groupBy("movie_id").agg(F.collect_list(elem).alias("lines"))
-    landed = docs.select(F.to_json(F.struct(F.col("movie_id").alias("id"), "lines"))
-                         .alias("raw_payload"))  # S1: one JSON string per document
+    cell = F.struct(F.col("p_brand").alias("brand"), F.col("n_name").alias("nation"),
+                    F.col("lines").alias("n"), F.col("quantity").alias("qty"))
+    docs = derive.order_cells(spark, d).groupBy("l_orderkey").agg(F.collect_list(cell).alias("cells"))
+    landed = docs.select(F.to_json(F.struct(F.col("l_orderkey").alias("id"), "cells"))
+                         .alias("raw_payload"))  # S1: one JSON string per order, at most 625 cells
     with_id = extract(landed, "raw_payload", [FieldSpec("order_id", "$.id", "int")],
                       keep=["raw_payload"])
-    return explode_payload(with_id, "raw_payload", "$.lines",
-                           [FieldSpec("line_no", "$.line", "int"),
-                            FieldSpec("part_key", "$.part", "int"),
+    return explode_payload(with_id, "raw_payload", "$.cells",
+                           [FieldSpec("brand", "$.brand", "string"),
+                            FieldSpec("nation", "$.nation", "string"),
+                            FieldSpec("n_lines", "$.n", "int"),
                             FieldSpec("quantity", "$.qty", "double")], keep=["order_id"])
 
 
@@ -573,8 +574,7 @@ WITH early AS (SELECT user_id, event_id, ts, value FROM (
     FROM events WHERE ts < TIMESTAMP '{EVENT_SPLIT} 00:00:00') WHERE rn = 1),
 late AS (SELECT user_id, event_id, ts, value FROM (
     SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) rn
-    FROM events WHERE ts >= TIMESTAMP '{EVENT_SPLIT} 00:00:00' AND event_type = 'purchase')
-    WHERE rn = 1)
+    FROM events WHERE ts >= TIMESTAMP '{EVENT_SPLIT} 00:00:00') WHERE rn = 1)
 SELECT COALESCE(l.user_id, e.user_id) AS user_id,
        CASE WHEN l.user_id IS NOT NULL THEN l.event_id ELSE e.event_id END AS event_id,
        strftime(CASE WHEN l.user_id IS NOT NULL THEN l.ts ELSE e.ts END, {TS}) AS ts,
@@ -587,8 +587,7 @@ def q_upsert_latest(spark, d):
     order = [sort_key("ts", desc=True)]
     tb = [F.col("event_id").desc()]
     early = latest_per_key(ev.filter(F.col("ts") < split), ["user_id"], order, tb)
-    late = latest_per_key(ev.filter((F.col("ts") >= split) & (F.col("event_type") == "purchase")),
-                          ["user_id"], order, tb)
+    late = latest_per_key(ev.filter(F.col("ts") >= split), ["user_id"], order, tb)
     cols = ["user_id", "event_id", "ts", "value"]
     return incremental.upsert(early.select(*cols), late.select(*cols), ["user_id"])
 

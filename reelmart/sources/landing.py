@@ -6,11 +6,10 @@
   stamped with its load time (plus a 64-bit hash of the landed text, the
   dedup tiebreak) -> appended to the raw table.
 * S3 ``raw``: a raw table; S4 ``read_seed``: typed CSV with a fixed schema.
-* S6 ``as_view``; S7 ``as_table`` (full rebuild) which refuses to overwrite a
-  path its own plan reads (overwriting an input empties it before the read).
-* ``append_snapshot_days``: incremental daily snapshot written with dynamic
-  partition overwrite; the day watermark is read first as a literal so the
-  writing plan never reads the target.
+* S6 ``as_view``; S7 ``as_table`` (full rebuild as a new version).
+* S8 ``merge_fact``: the movie fact merged by key; ``append_snapshot_days``:
+  the daily snapshot written with dynamic partition overwrite, its newest day
+  read first as a literal so the writing plan never reads the target.
 """
 
 from __future__ import annotations
@@ -25,6 +24,7 @@ from pyspark.sql.types import (DateType, DecimalType, DoubleType, LongType, Stru
 from reelmart.config import MartConfig
 from reelmart.functions.payload import as_variant
 from reelmart.operators.incremental import watermark_value
+from reelmart.sources.tables import Versioned, path_exists, write_counted
 
 # The typed columns of the snapshot seed CSV.
 SEED_SCHEMA = StructType([
@@ -64,13 +64,15 @@ def load_raw(spark: SparkSession, path: str, ingested_at: dt.datetime | None = N
 
 
 def append_raw(raw_batch: DataFrame, table_path: str) -> None:
-    """Append a loaded batch to the raw table (append-only)."""
-    raw_batch.write.mode("append").parquet(table_path)
+    """Append a loaded batch to the raw table, a folder per load day."""
+    (raw_batch.withColumn("load_date", F.to_date("ingested_at"))
+     .write.mode("append").partitionBy("load_date").parquet(table_path))
 
 
-def raw(spark: SparkSession, table_path: str) -> DataFrame:
-    """S3: a raw source table."""
-    return spark.read.parquet(table_path)
+def raw(spark: SparkSession, table_path: str, since: dt.date | None = None) -> DataFrame:
+    """S3: a raw source table; ``since`` reads only the folders from that day on."""
+    table = spark.read.parquet(table_path)
+    return table if since is None else table.filter(F.col("load_date") >= F.lit(since))
 
 
 def read_seed(spark: SparkSession, path: str, schema: StructType = SEED_SCHEMA) -> DataFrame:
@@ -84,29 +86,34 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def _reads_path(df: DataFrame, path: str) -> bool:
-    target = path.rstrip("/")
-    for f in df.inputFiles():
-        f = f.split("://", 1)[-1] if "://" in f else f
-        t = target.split("://", 1)[-1] if "://" in target else target
-        if f.startswith(t.rstrip("/") + "/") or f == t:
-            return True
-    return False
+def as_table(df: DataFrame, path: str) -> DataFrame:
+    """Full rebuild of a table as a new version (see ``Versioned``).
+
+    Nothing is overwritten, so ``df`` may read the table that it replaces.
+    """
+    table = Versioned(df.sparkSession, path)
+    table.replace(df)
+    return table.read()
 
 
-def as_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Full rebuild of a Parquet table.
+def merge_fact(raw_details: DataFrame, path: str, cfg: MartConfig = MartConfig(), buckets: int = 64,
+               stream: tuple[str, int] | None = None) -> DataFrame:
+    """M11 materialised: merge the newest loads into the movie fact at ``path``.
 
-    Refuses when ``df`` reads ``path`` itself: write the new version to a
-    fresh path instead (e.g. one folder per run) and switch readers to it.
+    First build: all staged movies. Later runs: rows stamped strictly after the
+    fact's newest ``ingested_at``, merged by movie; only touched key buckets are
+    rewritten.
     """
-    if _reads_path(df, path):
-        raise ValueError(f"refusing to overwrite {path}: the plan reads it")
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
+    from reelmart.plans.marts import fact_rows, stg_movie_details
+    spark = raw_details.sparkSession
+    table = Versioned(spark, path)
+    rows = fact_rows(stg_movie_details(raw_details, cfg))
+    current = table.read()
+    if current is not None:
+        newest = watermark_value(current, "ingested_at", cfg.historic_start_date)
+        rows = rows.filter(F.col("ingested_at") > F.lit(newest))
+    table.merge(rows, ["movie_id"], buckets, stream, check_unique=False)
+    return table.read()
 
 
 def append_snapshot_days(spark: SparkSession, raw_details: DataFrame, table_path: str,
@@ -120,20 +127,11 @@ def append_snapshot_days(spark: SparkSession, raw_details: DataFrame, table_path
     """
     from reelmart.plans.marts import fact_movie_snapshot
 
-    try:
-        current = spark.read.parquet(table_path)
-        wm = watermark_value(current, "snapshot_date", cfg.historic_start_date)
-    except Exception:  # no table yet: first build
-        current, wm = None, None
-    if current is None:
+    if not path_exists(spark, table_path):  # first build; a broken table raises below
         rows = fact_movie_snapshot(raw_details, None, seed, cfg)
     else:
-        rows = fact_movie_snapshot(raw_details, None, None, cfg).filter(
-            F.col("snapshot_date") > F.lit(wm))
-    rows = rows.persist()
-    n = rows.count()
-    if n:
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("snapshot_date").parquet(table_path))
-    rows.unpersist()
-    return n
+        newest = watermark_value(spark.read.parquet(table_path), "snapshot_date", cfg.historic_start_date)
+        rows = fact_movie_snapshot(raw_details, None, None, cfg).filter(F.col("snapshot_date") > F.lit(newest))
+    return write_counted(lambda df: (
+        lambda: df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("snapshot_date").parquet(table_path)), rows)

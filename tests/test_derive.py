@@ -1,24 +1,73 @@
-"""The payload adapter splits hot orders into bounded documents."""
-
-import math
+"""The payload adapter: bounded lists, whole totals, plans that prune."""
 
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from reelmart.plans import derive
+from reelmart.plans import derive, marts
+from reelmart.plans.mart_queries import world
 
 
-def test_hot_orders_split_into_parts(spark, monkeypatch):
-    monkeypatch.setattr(derive, "MIN_CHUNK", 2)
+def _hot_copy(spark, scratch):
+    """The tables with one order that holds a third of all lines."""
+    for t in ("orders", "supplier", "nation", "part", "customer"):
+        spark.read.parquet(f"{SF001}/{t}.parquet").write.parquet(f"{scratch}/{t}.parquet")
     li = spark.read.parquet(f"{SF001}/lineitem.parquet")
-    parts = derive.with_document_part(li)
-    assert parts.count() == li.count()  # every line kept exactly once
-    per_order = {r.l_orderkey: r.n for r in li.groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).alias("n")).collect()}
-    rows = parts.select("l_orderkey", "part", "movie_id").collect()
-    for r in rows:
-        n = per_order[r.l_orderkey]
-        n_parts = 1 if n <= 2 else math.ceil(n / 2)
-        assert 0 <= r.part < n_parts
-        assert r.movie_id == r.l_orderkey + r.part * derive.PART_STRIDE
-    assert any(r.part > 0 for r in rows)
+    key = li.agg(F.min("l_orderkey").alias("k")).first().k
+    li.withColumn("l_orderkey", F.when(F.pmod(F.xxhash64(*li.columns), F.lit(3)) == 0, F.lit(key))
+                  .otherwise(F.col("l_orderkey"))).write.parquet(f"{scratch}/lineitem.parquet")
+    return key
+
+
+def test_hot_order_keeps_the_totals(spark, scratch):
+    key = _hot_copy(spark, scratch)
+    li, orders = (spark.read.parquet(f"{scratch}/{t}.parquet") for t in ("lineitem", "orders"))
+    assert li.filter(F.col("l_orderkey") == key).count() > li.count() / 4
+    fact = world(spark, scratch)["fact_movie"]
+    got = fact.agg(F.count(F.lit(1)).alias("n"), F.sum("revenue").alias("rev"), F.sum("budget").alias("budget"),
+                   F.sum("runtime_min").alias("lines")).first()
+    want = orders.agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("rev")).first()
+    lines = li.agg(F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    assert (got.n, got.rev, got.budget, got.lines) == (want.n, want.rev, lines.b, lines.n)
+    sizes = derive.order_cells(spark, scratch).groupBy("l_orderkey").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 625
+    cast = world(spark, scratch)["int_movie_cast"].filter(F.col("movie_id") == key)
+    assert cast.count() == 10  # of many more cells
+
+
+def test_cast_cap_is_reached_on_the_given_tables(spark):
+    credits = world(spark, SF001)["stg_credits"]
+    from reelmart.functions.payload import array_size
+    assert credits.filter(array_size(F.col("cast_list")) > 10).count() > 0
+
+
+def _scans(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count("Relation [")
+
+
+def test_plans_are_lazy_and_prune(spark):
+    genre = world(spark, SF001)["dim_genre"]
+    plan = genre._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema" in plan and "ExistingRDD" not in plan
+    assert "l_shipdate" not in plan and "s_acctbal" not in plan and "p_retailprice" not in plan
+    roi = world(spark, SF001, "stg_movie_details")["agg_genre_roi"]
+    plan = roi._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema" in plan and "ExistingRDD" not in plan and "overview" not in plan
+
+
+def test_trends_read_fact_and_snapshot_twice_at_most(spark):
+    fact = spark.createDataFrame([(1, "a", 1, 2.0, 99)], "movie_id long, title string, budget long, popularity double, vote_count long")
+    snap = spark.createDataFrame([(1, 1.0)], "movie_id long, popularity double").selectExpr(
+        "movie_id", "date '2026-01-01' AS snapshot_date", "popularity", "1.0 AS vote_average", "1 AS vote_count",
+        "1 AS revenue", "false AS is_synthetic")
+    plan = marts.daily_movie_trends(fact, snap)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 4
+
+
+def test_imdb_ids_of_long_keys_stay_apart(spark, scratch):
+    for t in ("lineitem", "supplier", "nation", "part", "customer"):
+        spark.read.parquet(f"{SF001}/{t}.parquet").write.parquet(f"{scratch}/{t}.parquet")
+    (spark.read.parquet(f"{SF001}/orders.parquet").limit(20)
+     .withColumn("o_orderkey", F.col("o_orderkey") + F.lit(123456789000))
+     .write.parquet(f"{scratch}/orders.parquet"))
+    assert world(spark, scratch)["fact_movie"].select("imdb_id").distinct().count() == 20

@@ -30,7 +30,7 @@ def test_exact_median_narrowing_rounds(spark):
     rows += [("hot", 42.0)] * 2000 + [("cold", float(i)) for i in range(11)]
     rows += [("even", 1.0), ("even", 2.0)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m", bucket_rows=50, fanout=8).collect()}
+    got = {r.g: r.m for r in exact_median(df, ["g"], "v", "m", fanout=8).collect()}
     assert got == _brute(rows)
 
 
@@ -43,3 +43,17 @@ def test_exact_median_global_and_multi(spark):
     for g in range(3):
         xs = [float(i) for i in range(101) if i % 3 == g]
         assert multi[g] == (statistics.median(xs), -statistics.median(xs))
+
+
+def test_exact_median_null_keys(spark):
+    rows = [(None, "a", 4.0), (None, "a", 6.0), ("x", None, 1.0), (None, None, 7.0), (None, None, None), ("x", "y", None)]
+    df = spark.createDataFrame(rows, "g string, h string, v double")
+    got = {(r.g, r.h): r.m for r in exact_median(df, ["g", "h"], "v", "m").collect()}
+    assert got == {(None, "a"): 5.0, ("x", None): 1.0, (None, None): 7.0, ("x", "y"): None}
+
+
+def test_exact_median_is_lazy(spark):
+    """Building the plan runs no job, and the scan stays in it."""
+    df = spark.range(100).selectExpr("id % 3 AS g", "id * 1.0 AS v")
+    plan = exact_median(df, ["g"], "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range" in plan and "RDD" not in plan

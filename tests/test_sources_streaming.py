@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from reelmart.config import MartConfig
 from reelmart.plans import marts
-from reelmart.sources import (append_raw, append_snapshot_days, as_table, land_payloads, load_raw,
-                              raw, read_seed)
+from reelmart.sources import (Versioned, append_raw, append_snapshot_days, as_table, land_payloads,
+                              load_raw, merge_fact, raw, read_seed)
 from reelmart.streaming import latest_version, start_fact_stream
 
 
@@ -35,13 +35,72 @@ def test_read_seed_typed(spark, scratch):
     assert r.movie_id == 7 and r.snapshot_date == dt.date(2026, 1, 1) and r.revenue == 2923706026
 
 
-def test_as_table_refuses_own_input(spark, scratch):
-    p = f"{scratch}/t"
-    as_table(spark.range(3), p)
-    t = spark.read.parquet(p)
+@pytest.mark.parametrize("prefix", ["", "file:", "file://"])
+def test_as_table_may_read_what_it_replaces(spark, scratch, prefix):
+    p = f"{prefix}{scratch}/a table"
+    t = as_table(spark.range(3), p)
+    t = as_table(t.filter("id > 0"), p)
+    t = as_table(t.unionByName(t), p)
+    assert sorted(r.id for r in Versioned(spark, f"{scratch}/a table").read().collect()) == [1, 1, 2, 2]
+
+
+def test_versioned_merge_touches_only_its_buckets(spark, scratch):
+    t = Versioned(spark, f"{scratch}/t")
+    assert t.read() is None
+    t.merge(spark.createDataFrame([(i, "a") for i in range(200)], "k long, v string"), ["k"], buckets=16)
+    before = t.manifest()["folders"]
+    t.merge(spark.createDataFrame([(7, "b"), (999, "c")], "k long, v string"), ["k"])
+    after = t.manifest()["folders"]
+    assert 1 <= sum(before.get(k) != f for k, f in after.items()) <= 2
+    got = {r.k: r.v for r in t.read().collect()}
+    assert len(got) == 201 and got[7] == "b" and got[999] == "c" and got[8] == "a"
+    assert t.merge(spark.createDataFrame([], "k long, v string"), ["k"]) is None
     with pytest.raises(ValueError):
-        as_table(t.filter("id > 0"), p)
-    assert spark.read.parquet(p).count() == 3
+        t.merge(spark.createDataFrame([(1, "x")], "k long, v string"), ["v"])
+
+
+def test_concurrent_commits_do_not_undo_each_other(spark, scratch):
+    t = Versioned(spark, f"{scratch}/t")
+    t.replace(spark.range(1))
+    stale = t.manifest()
+    t.replace(spark.range(2))
+    with pytest.raises(Exception, match="(?i)exist"):
+        t._publish(stale)
+    assert t.read().count() == 2
+
+
+def test_a_broken_table_is_not_an_empty_one(spark, scratch):
+    t = Versioned(spark, f"{scratch}/t")
+    t.merge(spark.createDataFrame([(1, "a")], "k long, v string"), ["k"])
+    folder = next(iter(t.manifest()["folders"].values()))
+    for f in os.listdir(f"{scratch}/t/{folder}"):
+        if f.endswith(".parquet"):
+            with open(f"{scratch}/t/{folder}/{f}", "wb") as out:
+                out.write(b"broken")
+    with pytest.raises(Exception):
+        t.merge(spark.createDataFrame([(1, "b")], "k long, v string"), ["k"])
+    snap = f"{scratch}/snap"
+    os.makedirs(snap)
+    doc = json.dumps({"id": 1, "popularity": 1.0, "vote_average": 7.0, "vote_count": 10, "revenue": 5})
+    raw_rows = spark.createDataFrame([(doc, dt.datetime(2026, 3, 1))], "raw_payload string, ingested_at timestamp_ntz")
+    with pytest.raises(Exception):
+        append_snapshot_days(spark, raw_rows, snap)
+
+
+def test_append_raw_is_partitioned_by_load_day(spark, scratch):
+    recs = spark.createDataFrame([(1,)], "id long")
+    path = land_payloads(recs, scratch, "x", dt.date(2026, 3, 1))
+    for day in (1, 2):
+        append_raw(load_raw(spark, path, dt.datetime(2026, 3, day, 6)), f"{scratch}/raw")
+    assert raw(spark, f"{scratch}/raw").count() == 2
+    late = raw(spark, f"{scratch}/raw", since=dt.date(2026, 3, 2))
+    assert late.count() == 1 and "PartitionFilters: [isnotnull(load_date" in late._jdf.queryExecution().toString()
+
+
+def test_load_time_defaults_to_now(spark, scratch):
+    path = land_payloads(spark.createDataFrame([(1,)], "id long"), scratch, "x", dt.date(2026, 3, 1))
+    near = load_raw(spark, path).selectExpr("abs(timestampdiff(SECOND, ingested_at, localtimestamp())) < 60 AS near")
+    assert near.first().near
 
 
 def test_append_snapshot_days(spark, scratch):
@@ -58,21 +117,50 @@ def test_append_snapshot_days(spark, scratch):
     assert spark.read.parquet(path).count() == 2
 
 
-def test_fact_stream(spark, scratch):
-    landing = f"{scratch}/landing"
-    table = f"{scratch}/fact"
-    ckpt = f"{scratch}/ckpt"
+def _drop(spark, landing, docs, hour):
+    stamp = dt.datetime(2026, 3, 1, hour)
+    spark.createDataFrame([(json.dumps(d), stamp) for d in docs], "raw_payload string, ingested_at timestamp_ntz") \
+        .coalesce(1).write.mode("append").parquet(landing)
 
-    def drop(docs, name):
-        spark.createDataFrame([(json.dumps(d),) for d in docs], "raw_payload string") \
-            .coalesce(1).write.mode("append").parquet(f"{landing}")
 
-    drop([{"id": 1, "title": "a", "budget": 10, "revenue": 20},
-          {"id": 2, "title": "b", "budget": 0, "revenue": 20}], "d1")
+def test_fact_stream(spark, scratch):
+    landing, table, ckpt = f"{scratch}/landing", f"{scratch}/fact", f"{scratch}/ckpt"
+    assert latest_version(spark, table) is None
+    _drop(spark, landing, [{"id": 1, "title": "a", "budget": 10, "revenue": 20},
+                           {"id": 2, "title": "b", "budget": 0, "revenue": 20}], 1)
     start_fact_stream(spark, landing, table, ckpt).awaitTermination()
-    first = {r.movie_id: r.title for r in latest_version(spark, table).collect()}
-    assert first == {1: "a", 2: "b"}
-    drop([{"id": 2, "title": "b2", "budget": 5, "revenue": 20}], "d2")
+    assert {r.movie_id: r.title for r in latest_version(spark, table).collect()} == {1: "a", 2: "b"}
+    _drop(spark, landing, [{"id": 2, "title": "b2", "budget": 5, "revenue": 20}], 2)
     start_fact_stream(spark, landing, table, ckpt).awaitTermination()
-    second = {r.movie_id: r.title for r in latest_version(spark, table).collect()}
-    assert second == {1: "a", 2: "b2"}
+    assert {r.movie_id: r.title for r in latest_version(spark, table).collect()} == {1: "a", 2: "b2"}
+    # a new checkpoint folder reads everything again: nothing is lost or undone
+    _drop(spark, landing, [{"id": 3, "title": "c", "budget": 5, "revenue": 20}], 3)
+    start_fact_stream(spark, landing, table, f"{scratch}/ckpt2").awaitTermination()
+    assert {r.movie_id: r.title for r in latest_version(spark, table).collect()} == {1: "a", 2: "b2", 3: "c"}
+
+
+def test_replayed_batch_changes_nothing(spark, scratch):
+    from reelmart.streaming.landing_stream import _merge_batch
+    table = f"{scratch}/fact"
+    run = _merge_batch(table, "stream", MartConfig())
+    batch = lambda title, hour: spark.createDataFrame(
+        [(json.dumps({"id": 1, "title": title}), dt.datetime(2026, 3, 1, hour))],
+        "raw_payload string, ingested_at timestamp_ntz")
+    run(batch("a", 1), 0)
+    run(batch("b", 2), 1)
+    number = Versioned(spark, table).manifest()["version"]
+    run(batch("b", 2), 1)
+    run(batch("a", 1), 0)
+    assert Versioned(spark, table).manifest()["version"] == number
+    assert latest_version(spark, table).first().title == "b"
+
+
+def test_merge_fact(spark, scratch):
+    def loads(rows):
+        return spark.createDataFrame([(json.dumps({"id": i, "title": t}), dt.datetime(2026, 3, day))
+                                      for i, t, day in rows], "raw_payload string, ingested_at timestamp_ntz")
+    path = f"{scratch}/fact"
+    merge_fact(loads([(1, "a", 1), (2, "b", 2)]), path)
+    out = merge_fact(loads([(1, "late", 1), (2, "b2", 3), (3, "c", 3)]), path)
+    assert {r.movie_id: r.title for r in out.collect()} == {1: "a", 2: "b2", 3: "c"}
+    assert merge_fact(loads([(1, "late", 1), (2, "b2", 3), (3, "c", 3)]), path).count() == 3
