@@ -48,7 +48,8 @@ def get_field(v: Column, path: str, typ: str, on_error: str = "fail") -> Column:
     t = typ.lower().replace(" ", "")
     if t in ("int", "integer", "bigint", "long", "number"):
         # the warehouse's integer is NUMBER(38,0): a fraction rounds (7.6 -> 8)
-        return get(v, path, "decimal(38,0)").cast("bigint")
+        whole = get(v, path, "decimal(38,0)")
+        return whole.cast("bigint") if on_error == "fail" else whole.try_cast("bigint")
     if t in ("float", "double"):
         return get(v, path, "double")
     if t == "variant":

@@ -335,7 +335,7 @@ def q_nation_year_star(spark, d):
     nat = T(spark, d, "nation").select("n_nationkey", "n_name")  # 25 rows by schema
     o = T(spark, d, "orders").select("o_orderkey", "o_orderdate")
     j = (li.join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "inner")
-         .join(F.broadcast(nat), F.col("s_nationkey") == F.col("n_nationkey"), "inner")
+         .join(nat, F.col("s_nationkey") == F.col("n_nationkey"), "inner")
          .join(o, F.col("l_orderkey") == F.col("o_orderkey"), "inner"))
     return j.groupBy("n_name", F.year("o_orderdate").cast("bigint").alias("order_year")).agg(
         F.count(F.lit(1)).alias("line_count"), F.sum(cents("l_extendedprice")).alias("revenue_cents"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmart.operators.setops import reaggregate_mean
-from reelmart.operators.windows import flag_rank_top_n
+from reelmart.operators.windows import flag_rank_top_n, ordered
 
 # The dashboard's default selections.
 DEFAULT_GENRES = ("Action", "Comedy", "Drama", "Horror")
@@ -33,8 +33,8 @@ def isin_filter(df: DataFrame, col: str, values: Sequence | None) -> DataFrame:
 
 def trending(trends: DataFrame) -> DataFrame:
     """V1: title, date, popularity, synthetic flag; newest first."""
-    return serve(trends.select("title", "snapshot_date", "popularity", "is_synthetic")
-                 .orderBy(F.col("snapshot_date").desc_nulls_last()))
+    return serve(ordered(trends.select("title", "snapshot_date", "popularity", "is_synthetic"),
+                         F.col("snapshot_date").desc_nulls_last()))
 
 
 def genre_roi(roi: DataFrame, genres: Sequence[str] | None = DEFAULT_GENRES) -> DataFrame:
@@ -64,8 +64,8 @@ def talent(t: DataFrame, roles: Sequence[str] | None = DEFAULT_ROLES,
 
 def budget_tiers(outcomes: DataFrame) -> DataFrame:
     """V5: budget tiers in label order."""
-    return serve(outcomes.select("budget_tier", "average_revenue", "average_rating", "movie_count")
-                 .orderBy("budget_tier"))
+    return serve(ordered(outcomes.select("budget_tier", "average_revenue", "average_rating", "movie_count"),
+                         F.col("budget_tier").asc_nulls_first()))
 
 
 def genre_by_year(evolution: DataFrame) -> DataFrame:

@@ -70,3 +70,22 @@ def test_number_rounds(spark):
     assert extract(df, "raw_payload", [FieldSpec("x", "$.x", "number")]).first()[0] == 8
     assert extract(df, "raw_payload", [FieldSpec("x", "$.x", "int")]).first()[0] == 8
     assert extract(df, "raw_payload", [FieldSpec("x", "$.x", "double")]).first()[0] == 7.6
+
+
+def test_lenient_integers_beyond_the_type_are_null(spark):
+    from reelmart.functions.payload import FieldSpec, extract
+    df = spark.createDataFrame([('{"a": 99999999999999999999}',), ('{"a": 7.6}',), ('{"a": "x"}',)], "p string")
+    rows = extract(df, "p", [FieldSpec("a", "$.a", "int")], on_error="null").collect()
+    assert [r.a for r in rows] == [None, 8, None]
+
+
+def test_decimal_means_are_rounded_once(spark):
+    from reelmart.functions.columns import exact_mean, rounded_mean
+    # 10,001 ratings with the mean 2.0049995: two roundings would give 2.01
+    df = spark.range(10_001).selectExpr("CAST(CASE WHEN id < 50 THEN 3 WHEN id = 50 THEN 2.00 ELSE 2 END AS DECIMAL(4,2)) AS r", "id")
+    total = 200 * 10_001 + 100 * 50
+    got = df.agg(rounded_mean("r", 2).alias("m"), exact_mean("r", 2).alias("e")).first()
+    assert got.m == 2.00 and got.e == total / (100 * 10_001)
+    neg = df.limit(2).selectExpr("CAST(-0.01 * id AS DECIMAL(4,2)) AS r").agg(rounded_mean("r", 2).alias("m")).first()
+    assert neg.m == -0.01  # -0.005 rounds away from zero
+    assert df.limit(0).agg(rounded_mean("r", 2).alias("m")).first().m is None
