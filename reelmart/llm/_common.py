@@ -48,6 +48,22 @@ def words_of(text: Column) -> Column:
         F.split(body, r"[\x20\x09-\x0D]+"))
 
 
+#: Text that a Python worker turns into objects at a time, in bytes.
+PIECE = 4 << 20
+
+
+def pieces(batches):
+    """Slices of Arrow batches of about PIECE bytes, at least one row each.
+
+    A batch may hold thousands of long texts; as Python objects at once they
+    would take a worker several hundred megabytes.
+    """
+    for b in batches:
+        rows = max(1, b.num_rows * PIECE // max(b.nbytes, 1))
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 #: Lets a finished write remove the shuffle files that only it has read.
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

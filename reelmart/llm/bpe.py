@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmart.llm._common import text_of
+from reelmart.llm._common import pieces, text_of
 
 #: Texts are handed to the tokenizer in runs of about this many characters.
-RUN_CHARS = 1 << 19
+RUN_CHARS = 1 << 18
 
 
 def byte_table() -> dict[int, str]:
@@ -51,7 +51,7 @@ class ByteBPE:
         merges = [(show(t[:i]), show(t[i:])) for t in by_rank
                   for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         self.tokenizer = Tokenizer(models.BPE(
-            vocab={show(t): r for t, r in ranks.items()}, merges=merges, cache_capacity=100_000))
+            vocab={show(t): r for t, r in ranks.items()}, merges=merges))
         self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.Split(Regex(pattern), "isolated"),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
@@ -108,7 +108,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
     def batches(it):
         bpe = load(path, pattern)
-        for b in it:
+        for b in pieces(it):
             at = 0
             for run in _runs(b.column(1).to_pylist()):
                 keys = b.column(0).slice(at, len(run))
@@ -136,7 +136,7 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def batches(it):
         bpe = load(path, pattern)
-        for b in it:
+        for b in pieces(it):
             raw = [None if x is None else bpe.decode_bytes(x) for x in b.column(1).to_pylist()]
             text = [None if x is None else x.decode("utf-8", "replace") for x in raw]
             yield pa.RecordBatch.from_arrays(
@@ -160,7 +160,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def batches(it):
         bpe = load(path, pattern)
         sha = lambda raw: hashlib.sha256(raw).hexdigest()
-        for b in it:
+        for b in pieces(it):
             at = 0
             for run in _runs(b.column(1).to_pylist()):
                 keys = b.column(0).slice(at, len(run))

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelmart.llm._common import pieces
+
 DIMS = 1 << 18
 #: At most so many rated documents are fitted on.
 SAMPLE = 20_000
@@ -67,19 +69,18 @@ class Model:
         return 1 / (1 + np.exp(-z))
 
 
-def prior_scale(flat: np.ndarray, counts: np.ndarray, y: np.ndarray, grades: int) -> np.ndarray:
+def prior_scale(seen: np.ndarray, size: np.ndarray) -> np.ndarray:
     """How far each feature's weight is expected to lie from 0.
 
-    The largest log odds ratio of the feature over the cuts between grades,
-    less 1.64 standard errors: words that tell nothing about grades (most) get
-    0, so that the many neutral words of a long text cannot drown a telling one.
+    ``seen``: documents by grade and feature, ``size``: documents by grade. The
+    largest log odds ratio of the feature over the cuts between grades, less
+    1.64 standard errors: words that tell nothing about grades (most) get 0, so
+    that the many neutral words of a long text cannot drown a telling one.
     """
-    n, size = np.repeat(y, counts), int(flat.max()) + 1
-    out = np.zeros(size)
-    for k in range(grades - 1):
-        low = np.bincount(flat[n <= k], minlength=size) + 0.5
-        high = np.bincount(flat[n > k], minlength=size) + 0.5
-        n_low, n_high = (y <= k).sum() + 1.0, (y > k).sum() + 1.0
+    out = np.zeros(seen.shape[1])
+    for k in range(1, len(size)):
+        low, high = seen[:k].sum(axis=0) + 0.5, seen[k:].sum(axis=0) + 0.5
+        n_low, n_high = size[:k].sum() + 1.0, size[k:].sum() + 1.0
         ratio = np.log(low / (n_low - low)) - np.log(high / (n_high - high))
         error = np.sqrt(1 / low + 1 / high + 1 / (n_low - low) + 1 / (n_high - high))
         out = np.maximum(out, np.abs(ratio) - 1.64 * error)
@@ -113,15 +114,23 @@ def _loss(v, cuts, flat, scale, starts, counts, y, l2):
 def fit_arrays(rows: list[np.ndarray], y: np.ndarray, grades: int, l2: float = 3e-4,
                rounds: int = 120, memory: int = 10) -> Model:
     """Limited-memory quasi-Newton fit; ``rows``: feature indices per document."""
-    counts = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows)
-    used, flat = np.unique(flat, return_inverse=True)
+    seen = np.zeros((grades, DIMS))
+    for g in range(grades):
+        for r in np.flatnonzero(y == g):
+            seen[g, rows[r]] += 1
+    scale = prior_scale(seen, np.bincount(y, minlength=grades))
+    used = np.flatnonzero(scale)
+    place = np.zeros(DIMS, np.int32)  # 0: a feature without weight, in every row
+    place[used] = np.arange(1, len(used) + 1)
+    scale = np.concatenate(([0.0], scale[used]))
+    kept = [np.append(np.int32(0), p[p > 0]) for p in (place[r] for r in rows)]
+    counts = np.array([len(r) for r in kept])
+    flat = np.concatenate(kept)
     starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
-    scale = prior_scale(flat, counts, y, grades)
     share = np.array([np.mean(y <= k) for k in range(grades - 1)]).clip(0.01, 0.99)
     theta = np.maximum.accumulate(np.log(share / (1 - share)) + 1e-3 * np.arange(grades - 1))
     cuts = np.concatenate(([theta[0]], np.log(np.maximum(np.diff(theta), 1e-2))))
-    x, k = np.concatenate((np.zeros(len(used)), cuts)), grades - 1
+    x, k = np.concatenate((np.zeros(len(scale)), cuts)), grades - 1
     value = lambda x: _loss(x[:-k], x[-k:], flat, scale, starts, counts, y, l2)
     f, g = value(x)
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
@@ -152,7 +161,7 @@ def fit_arrays(rows: list[np.ndarray], y: np.ndarray, grades: int, l2: float = 3
         if done:
             break
     weights = np.zeros(DIMS)
-    weights[used] = scale * x[:-k]
+    weights[used] = (scale * x[:-k])[1:]
     cuts = x[-k:]
     return Model(weights, np.concatenate(([cuts[0]], cuts[0] + np.cumsum(np.exp(cuts[1:])))))
 
@@ -170,7 +179,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str = "doc_id"
              .orderBy(F.xxhash64("id"), "id").limit(sample))
 
     def indices(it):
-        for b in it:
+        for b in pieces(it):
             rows = [np.unique(np.fromiter(map(hashed, tokens_of(t or "")), np.int32))
                     for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -199,7 +208,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str = "doc_id"
 class Scorer:
     """Scores texts; feature weights are remembered by token, within a bound."""
 
-    REMEMBER = 400_000
+    REMEMBER = 100_000
 
     def __init__(self, model: Model):
         self.model, self.known = model, {}
@@ -233,7 +242,7 @@ def score(docs: DataFrame, model: Model | None, grades: int, id_col: str = "doc_
     def batches(it):
         m = shared.value
         scorer = Scorer(m) if m else None
-        for b in it:
+        for b in pieces(it):
             n = b.num_rows
             tails = m.grades(scorer(b.column(1).to_pylist())) if m else np.ones((n, grades - 1))
             yield pa.RecordBatch.from_arrays(
@@ -254,7 +263,7 @@ def select(docs: DataFrame, model: Model | None, grades: int, grade: int, least:
 
     def batches(it):
         scorer = Scorer(shared.value)
-        for b in it:
+        for b in pieces(it):
             tails = shared.value.grades(scorer(b.column(at).to_pylist()))
             yield b.filter(pa.array(tails[:, grade - 1] >= least))
 

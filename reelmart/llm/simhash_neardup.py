@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmart.llm._common import Shared, text_of
+from reelmart.llm._common import Shared, pieces, text_of
 from reelmart.llm.components import components
 
 BITS = 64
@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  shingle: int = 3) -> DataFrame:
     """``id, fp`` (fp: the fingerprint's bits as a signed long) per row."""
     def batches(it):
-        for b in it:
+        for b in pieces(it):
             fps = [fingerprint_of(t or "", shingle) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["id", "fp"])
