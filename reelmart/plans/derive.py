@@ -58,12 +58,13 @@ def brand_no() -> F.Column:
     return F.substring_index("p_brand", "#", -1).cast("bigint")
 
 
-def _movies(spark, sf_dir: str) -> DataFrame:
+def _movies(spark, sf_dir: str, cells: DataFrame | None) -> DataFrame:
     """One row per order with its sums and bounded, sorted lists."""
     company = F.struct(brand_no().alias("id"), F.col("p_brand").alias("name"),
                        F.when(brand_no() < 5, F.lit("")).otherwise(F.lit("US")).alias("origin_country"))
     genre = F.struct(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"))
-    agg = order_cells(spark, sf_dir).groupBy("l_orderkey").agg(
+    cells = order_cells(spark, sf_dir) if cells is None else cells
+    agg = cells.groupBy("l_orderkey").agg(
         F.sum("lines").alias("runtime"), F.sum("cents").alias("budget"),
         F.sum("quantity").cast("bigint").alias("votes"), F.max("discount").alias("discount"),
         F.array_sort(F.collect_set(genre)).alias("genres"),
@@ -87,7 +88,7 @@ def _stamped(hours) -> F.Column:
     return (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hours)).cast("timestamp_ntz").alias("ingested_at")
 
 
-def raw_movie_details(spark, sf_dir: str) -> DataFrame:
+def raw_movie_details(spark, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
     """Raw table (raw_payload VARIANT, ingested_at TIMESTAMP_NTZ).
 
     The loads are generated in one pass (``explode`` over the fixed load
@@ -96,7 +97,7 @@ def raw_movie_details(spark, sf_dir: str) -> DataFrame:
     schedule = F.array(*[F.struct(F.lit(h).alias("hours"), F.lit(f).alias("factor"),
                                   F.lit(e).alias("extra"), F.lit(o).alias("open_only"))
                          for h, f, e, o in LOADS])
-    m = (_movies(spark, sf_dir).select("*", F.explode(schedule).alias("__load"))
+    m = (_movies(spark, sf_dir, cells).select("*", F.explode(schedule).alias("__load"))
          .filter(~F.col("__load.open_only") | (F.col("o_orderstatus") == "O")))
     status = (F.when(F.col("o_orderstatus") == "F", F.lit("Released"))
               .when(F.col("o_orderstatus") == "O", F.lit("Post Production"))
@@ -127,7 +128,7 @@ def raw_movie_details(spark, sf_dir: str) -> DataFrame:
                     F.xxhash64(doc).alias("payload_hash"))
 
 
-def raw_credits(spark, sf_dir: str) -> DataFrame:
+def raw_credits(spark, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
     """Raw credits table: cast = the order's cells, crew = its customer."""
     person = brand_no() * 1000 + F.col("n_nationkey")
     member = F.struct(
@@ -140,7 +141,8 @@ def raw_credits(spark, sf_dir: str) -> DataFrame:
         (F.col("most") / F.lit(10.0)).alias("popularity"),
         F.concat_ws("-", "l_orderkey", person.cast("string")).alias("credit_id"),
         F.lit("Acting").alias("department"), F.lit("Actor").alias("job"))
-    cast = order_cells(spark, sf_dir).groupBy("l_orderkey").agg(
+    cells = order_cells(spark, sf_dir) if cells is None else cells
+    cast = cells.groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(member)).alias("cast"))  # at most 625 cells
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",

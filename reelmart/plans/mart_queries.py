@@ -54,8 +54,9 @@ def _seed(w: World) -> DataFrame:
 
 
 MODELS = {
-    "raw_movie_details": lambda w: derive.raw_movie_details(w.spark, w.d),
-    "raw_credits": lambda w: derive.raw_credits(w.spark, w.d),
+    "cells": lambda w: derive.order_cells(w.spark, w.d),
+    "raw_movie_details": lambda w: derive.raw_movie_details(w.spark, w.d, w["cells"]),
+    "raw_credits": lambda w: derive.raw_credits(w.spark, w.d, w["cells"]),
     "stg_movie_details": lambda w: marts.stg_movie_details(w["raw_movie_details"], w.cfg),
     "stg_credits": lambda w: marts.stg_credits(w["raw_credits"], w.cfg),
     "int_movie_genre": lambda w: marts.int_movie_genre(w["stg_movie_details"], w.cfg),
@@ -85,7 +86,7 @@ MODELS = {
 GENRE = ("stg_movie_details",)
 SNAPSHOT = ("raw_movie_details",)
 TRENDS = ("raw_movie_details", "fact_movie", "fact_movie_snapshot")
-TALENT = ("fact_movie", "int_movie_cast", "int_movie_director")
+TALENT = ("cells", "fact_movie", "stg_credits", "int_movie_cast")
 EVERY = tuple(m for m in MODELS if m != "snapshot_seed")
 
 
