@@ -16,19 +16,28 @@ from pyspark.sql import functions as F
 from reelmart.llm._common import Shared
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _lowest(e: DataFrame, shared: Shared) -> DataFrame:
+    """``u, m``: the smallest neighbour of each node, as a table of its own.
+
+    Joined back from a table, not from the aggregate itself, a hub's links may
+    be split over several tasks.
+    """
+    return shared.table(e.groupBy("u").agg(F.min("v").alias("m")), "low")
+
+
+def _large_star(e: DataFrame, shared: Shared) -> tuple[DataFrame, DataFrame]:
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m"))
+    low = _lowest(both, shared)
     return (both.filter("v > u").join(low, "u")
             .select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-            .filter("u <> v"))
+            .filter("u <> v")), low
 
 
-def _small_star(e: DataFrame) -> DataFrame:
-    low = e.groupBy("u").agg(F.min("v").alias("m"))
+def _small_star(e: DataFrame, shared: Shared) -> tuple[DataFrame, DataFrame]:
+    low = _lowest(e, shared)
     hooked = (e.join(low, "u").filter("v <> m")
               .select(F.col("v").alias("u"), F.col("m").alias("v")))
-    return hooked.unionByName(low.select("u", F.col("m").alias("v")))
+    return hooked.unionByName(low.select("u", F.col("m").alias("v"))), low
 
 
 def components(links: DataFrame, shared: Shared) -> DataFrame:
@@ -45,9 +54,12 @@ def components(links: DataFrame, shared: Shared) -> DataFrame:
         seen = Observation()
         measure = [F.count(F.lit(1)).alias("n"),
                    F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")]
-        big = shared.table(_large_star(now).distinct(), "large")
-        new = shared.table(_small_star(big).distinct(), "small", (seen, measure))
-        shared.drop(now, big)
+        big, low = _large_star(now, shared)
+        big = shared.table(big.distinct(), "large")
+        shared.drop(now, low)
+        new, low = _small_star(big, shared)
+        new = shared.table(new.distinct(), "small", (seen, measure))
+        shared.drop(big, low)
         now, state = new, (seen.get["n"], seen.get["h"])
         if state == before or not state[0]:
             break

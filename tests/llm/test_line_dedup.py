@@ -72,8 +72,8 @@ def test_blocks_find_each_pair_once(spark, radius, spare):
     assert len(got) == len(set(got)) and set(got) == want
 
 
-def brute(rows, least=0.8, radius=3):
-    """(id, text, pos) -> (first id, first pos, kept); rows of (id, text)."""
+def brute(rows, d_key, least=0.8, radius=3):
+    """(id, key, pos) -> (first id, first pos, kept); rows of (id, text)."""
     lines, hasher = [], d.LineHasher()
     for i, t in {(i, t or "") for i, t in rows}:
         for p, line in enumerate(t.split("\n")):
@@ -104,15 +104,19 @@ def brute(rows, least=0.8, radius=3):
     return out
 
 
-def d_key(i, t):
-    import hashlib
-    return hashlib.md5(f"{'~' if i is None else i}\n{t}".encode()).digest()
+def keys(docs):
+    """(id, text) -> the key that stands for such a row."""
+    text = d.text_of("text")
+    rows = docs.select("doc_id", text.alias("t"), d.row_key("doc_id", text).alias("k")).collect()
+    known = {(r.doc_id, r.t): bytes(r.k) for r in rows}
+    assert len(set(known.values())) == len(known)
+    return lambda i, t: known[i, t]
 
 
 def check(docs, rows):
     got = {(str(r.id), bytes(r.key), r.pos): (str(r.first_id), r.first_pos, r.kept)
            for r in d.line_classes(docs).collect()}
-    assert got == brute(rows)
+    assert got == brute(rows, keys(docs))
     return got
 
 

@@ -49,12 +49,13 @@ def quality_of(r):
 
 
 def test_lines(stages):
-    from test_line_dedup import brute, d_key
+    from test_line_dedup import brute, keys
 
     from reelmart.llm.line_dedup import plain_bytes
     old, new = stages["lines"]
-    docs = {r.doc_id: r for r in old.collect()}
-    gone = {(i, key, pos) for (i, key, pos), (*_, kept) in brute([(r.doc_id, r.text) for r in docs.values()]).items()
+    docs, d_key = {r.doc_id: r for r in old.collect()}, keys(old)
+    gone = {(i, key, pos) for (i, key, pos), (*_, kept) in brute(
+        [(r.doc_id, r.text) for r in docs.values()], d_key).items()
             if not kept}
     want = {}
     for i, r in docs.items():
