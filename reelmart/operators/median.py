@@ -27,9 +27,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: A value is placed among the cuts by whole steps of so many, then one by one.
+STEP = 8
+
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median",
-                 fanout: int = 256) -> DataFrame:
+                 fanout: int = 64) -> DataFrame:
     """One row per group of ``keys`` (groups with only NULLs included).
 
     Without keys there is one group; an empty ``df`` then gives no row.
@@ -43,10 +46,13 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
     groups = counts.groupBy("__g").agg(
         F.coalesce(F.sum(F.when(known, F.col("__c"))), F.lit(0)).alias("__n"),
         F.percentile_approx("__v", probs, 10 * fanout).alias("__cuts"))
-    # slice: how many cuts lie below the value
+    groups = groups.withColumn("__steps", F.filter("__cuts", lambda p, i: (i + 1) % STEP == 0))
+    # slice: how many of the ascending cuts lie below the value, found by steps
+    below = lambda cuts: F.size(F.filter(cuts, lambda p: p < F.col("__v")))
+    steps = below(F.col("__steps")) * STEP
     sliced = (counts.filter(known).join(groups, "__g")
               .select("__g", "__v", "__c", "__n",
-                      F.size(F.filter("__cuts", lambda p: p < F.col("__v"))).alias("__s")))
+                      (steps + below(F.slice("__cuts", steps + 1, F.lit(STEP)))).alias("__s")))
     slices = sliced.groupBy("__g", "__s").agg(F.sum("__c").alias("__sc"), F.max("__n").alias("__n"))
     upto = Window.partitionBy("__g").orderBy("__s").rowsBetween(Window.unboundedPreceding, 0)
     lo, hi = F.expr("(__n + 1) div 2"), F.expr("__n div 2 + 1")
