@@ -27,7 +27,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that duplicate a kept line go; documents left without words too."""
     find_package(spark)
-    return line_dedup.drop_duplicate_lines(docs)
+    return line_dedup.drop_duplicate_lines(docs, radii=line_dedup.RADII)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -154,7 +154,7 @@ def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and decision of every line that has a word."""
     from reelmart.llm import line_dedup as d
-    return d.line_classes(table(spark, sf_dir, "documents")).select(
+    return d.line_classes(table(spark, sf_dir, "documents"), radii=d.RADII).select(
         F.col("id").alias("doc_id"), F.col("pos").cast("bigint").alias("line_no"),
         F.col("first_id").alias("first_doc_id"), F.col("first_pos").cast("bigint").alias("first_line_no"), "kept")
 

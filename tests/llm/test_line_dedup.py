@@ -164,3 +164,27 @@ def test_empty_table(no_docs):
 def test_node_hash_is_of_the_normalised_line(spark):
     r = d.lines_of(spark.createDataFrame([(1, "A,  b")], "doc_id long, text string")).first()
     assert bytes(r.node) == xxhash.xxh3_128_digest(b"a b")
+
+
+@pytest.mark.parametrize("spare", [2, 3])
+def test_blocks_of_the_widest_step_find_each_pair_once(spark, spare):
+    test_blocks_find_each_pair_once(spark, d.RADII[-1], spare)
+
+
+def test_query_and_pipeline_find_similar_lines_beyond_four_bits(spark, scratch):
+    import corpus_pipeline
+    from reelmart.llm.queries import op2_fuzzy_lines
+    rnd, hasher, rows = random.Random(9), d.LineHasher(), []
+    while len(rows) < 40:  # pairs that differ in 5 to 8 bits
+        w = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9))) for _ in range(30)]
+        x, i = " ".join(w), rnd.randrange(30)
+        y = " ".join([*w[:i], "".join(rnd.choice("klmnop") for _ in w[i]), *w[i + 1:]])
+        bits = bin(slow_simhash(hasher, x.encode()) ^ slow_simhash(hasher, y.encode())).count("1")
+        if 5 <= bits <= 8 and d.similar(x, y, 0.8):
+            rows += [(len(rows), x), (len(rows) + 1, y)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{scratch}/documents.parquet")
+    got = {r.doc_id: (r.first_doc_id, r.kept) for r in op2_fuzzy_lines(spark, scratch).collect()}
+    assert got == {i: (i - i % 2, i % 2 == 0) for i in range(40)}
+    left = corpus_pipeline.line_stage(spark, docs, scratch).collect()
+    assert sorted(r.doc_id for r in left) == list(range(0, 40, 2))
