@@ -129,24 +129,40 @@ def q_zero_to_null(spark, d):
         F.sum(pct).alias("discount_pct_sum"), F.avg(pct).alias("avg_discount_pct"))
 
 
+#: Lines that one document of ``payload_explode`` holds on average at most.
+PART_LINES = 64
+
+
+def line_documents(li: DataFrame) -> DataFrame:
+    """One document per part of an order: ``id`` and its ``lines``.
+
+    An order has one part per ``PART_LINES`` lines; a line's part follows from
+    its hash. Only orders of several parts are joined back to the lines.
+    """
+    elem = F.struct(F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"),
+                    F.col("l_quantity").alias("qty"))
+    several = (li.groupBy(F.col("l_orderkey").alias("big")).agg(F.count(F.lit(1)).alias("n"))
+               .filter(F.col("n") > PART_LINES)
+               .select("big", F.ceil(F.col("n") / F.lit(PART_LINES)).alias("parts")))
+    part = F.pmod(F.xxhash64(*li.columns), F.coalesce("parts", F.lit(1)).cast("bigint"))
+    return (li.join(several, F.col("l_orderkey").eqNullSafe(F.col("big")), "left")
+            .groupBy(F.col("l_orderkey").alias("id"), part.alias("part"))
+            .agg(F.collect_list(elem).alias("lines")).select("id", "lines"))
+
+
 @register("payload_explode", """
-SELECT l_orderkey AS order_id, p_brand AS brand, n_name AS nation, COUNT(*) AS n_lines,
-       SUM(l_quantity) AS quantity
-FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3
+SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line_no,
+       l_partkey AS part_key, l_quantity AS quantity
+FROM lineitem
 """)
 def q_payload_explode(spark, d):
-    cell = F.struct(F.col("p_brand").alias("brand"), F.col("n_name").alias("nation"),
-                    F.col("lines").alias("n"), F.col("quantity").alias("qty"))
-    docs = derive.order_cells(spark, d).groupBy("l_orderkey").agg(F.collect_list(cell).alias("cells"))
-    landed = docs.select(F.to_json(F.struct(F.col("l_orderkey").alias("id"), "cells"))
-                         .alias("raw_payload"))  # S1: one JSON string per order, at most 625 cells
+    landed = line_documents(T(spark, d, "lineitem")).select(
+        F.to_json(F.struct("id", "lines")).alias("raw_payload"))  # S1: one JSON string per document
     with_id = extract(landed, "raw_payload", [FieldSpec("order_id", "$.id", "int")],
                       keep=["raw_payload"])
-    return explode_payload(with_id, "raw_payload", "$.cells",
-                           [FieldSpec("brand", "$.brand", "string"),
-                            FieldSpec("nation", "$.nation", "string"),
-                            FieldSpec("n_lines", "$.n", "int"),
+    return explode_payload(with_id, "raw_payload", "$.lines",
+                           [FieldSpec("line_no", "$.line", "int"),
+                            FieldSpec("part_key", "$.part", "int"),
                             FieldSpec("quantity", "$.qty", "double")], keep=["order_id"])
 
 

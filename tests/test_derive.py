@@ -71,3 +71,19 @@ def test_imdb_ids_of_long_keys_stay_apart(spark, scratch):
      .withColumn("o_orderkey", F.col("o_orderkey") + F.lit(123456789000))
      .write.parquet(f"{scratch}/orders.parquet"))
     assert world(spark, scratch)["fact_movie"].select("imdb_id").distinct().count() == 20
+
+
+def test_payload_explode_returns_every_line_of_a_hot_order(spark, scratch):
+    from reelmart.plans.queries import PART_LINES, QUERIES, line_documents
+    key = _hot_copy(spark, f"{scratch}/hot")
+    li = spark.read.parquet(f"{scratch}/hot/lineitem.parquet")
+    odd = li.limit(3).withColumns({"l_orderkey": F.lit(None).cast("long"), "l_partkey": F.lit(-1).cast("long"),
+                                   "l_suppkey": F.lit(None).cast("long")})  # no such part, supplier or order
+    li.unionByName(odd).write.parquet(f"{scratch}/lineitem.parquet")
+    li = spark.read.parquet(f"{scratch}/lineitem.parquet")
+    want = sorted(map(repr, li.selectExpr("l_orderkey", "cast(l_linenumber as long)", "l_partkey",
+                                          "l_quantity").toPandas().itertuples(index=False, name=None)))
+    got = QUERIES["payload_explode"](spark, scratch).select("order_id", "line_no", "part_key", "quantity")
+    assert sorted(map(repr, got.toPandas().itertuples(index=False, name=None))) == want
+    sizes = line_documents(li).select("id", F.size("lines").alias("n"))
+    assert sizes.filter(F.col("id") == key).count() > 10 and sizes.agg(F.max("n")).first()[0] < 3 * PART_LINES
