@@ -235,3 +235,146 @@ def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "turn", call_id(1).alias("call_id"), F.col("text").alias("content"))
     tools = spark.createDataFrame(TOOLS, "name string, param string, type string, required boolean")
     return t.link(calls, results, tools)
+
+
+@query("op11_conversation_repair", r"""
+WITH RECURSIVE
+t AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                        lambda c: ascii(c)::BIGINT) AS bytes
+  FROM conversations),
+k AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda crc, b:
+           list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i:
+             xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))), 4294967295::BIGINT) % 20 AS kind
+  FROM t),
+d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM k),
+n AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS c,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), text) AS i FROM d),
+f AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+         lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS prior
+  FROM n),
+ins(s, s2, cost, letters, made) AS (VALUES
+  (0, 0, 0, '', ''), (0, 2, 5, 'I', 'user:'), (0, 3, 10, 'II', E'user:\nassistant:'),
+  (1, 1, 0, '', ''), (1, 2, 5, 'I', 'user:'), (1, 3, 10, 'II', E'user:\nassistant:'),
+  (2, 2, 0, '', ''), (2, 3, 5, 'I', 'assistant:'), (2, 2, 10, 'II', E'assistant:\nuser:'),
+  (3, 3, 0, '', ''), (3, 2, 5, 'I', 'user:'), (3, 3, 10, 'II', E'user:\nassistant:')),
+act(s, letter, c, t, cost, role) AS (VALUES
+  (0, 'K', 's', 1, 0, NULL), (0, 'K', 'u', 2, 0, NULL), (1, 'K', 'u', 2, 0, NULL), (2, 'K', 'a', 3, 0, NULL),
+  (3, 'K', 'u', 2, 0, NULL), (0, 'R', NULL, 2, 1, 'user'), (1, 'R', NULL, 2, 1, 'user'), (2, 'R', NULL, 3, 1, 'assistant'),
+  (3, 'R', NULL, 2, 1, 'user'), (0, 'D', NULL, 0, 2, NULL), (1, 'D', NULL, 1, 2, NULL), (2, 'D', NULL, 2, 2, NULL),
+  (3, 'D', NULL, 3, 2, NULL)),
+way AS (
+  SELECT ins.s, a.letter, a.c, a.t, ins.cost + a.cost AS cost, ins.letters || a.letter AS letters, ins.made, a.role
+  FROM ins JOIN act a ON a.s = ins.s2),
+p(conv_id, i, s, best) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0, {'cost': 0::BIGINT, 'audit': '', 'made': ''} FROM conversations
+  UNION ALL
+  SELECT p.conv_id, f.i, w.t, min({
+           'cost': p.best.cost + w.cost + CASE WHEN f.fault = 'truncated' AND w.letter <> 'D' THEN 5 ELSE 0 END,
+           'audit': p.best.audit || w.letters,
+           'made': concat_ws(E'\n', nullif(p.best.made, ''), nullif(w.made, ''),
+                             CASE WHEN w.letter <> 'D' THEN coalesce(w.role, f.role) || ':' || f.text END)})
+  FROM p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
+  JOIN way w ON w.s = p.s AND (w.letter = 'D' OR f.fault NOT IN ('blank', 'duplicate')) AND (w.c IS NULL OR w.c = f.c)
+  GROUP BY p.conv_id, f.i, w.t),
+facts AS (
+  SELECT conv_id, count(*) AS rows, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (prior IS NOT NULL AND prior || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id),
+done AS (
+  SELECT p.conv_id, min({'cost': p.best.cost + [0, 10, 5, 0][p.s + 1], 'audit': p.best.audit || ['', 'II', 'I', ''][p.s + 1],
+           'made': concat_ws(E'\n', nullif(p.best.made, ''),
+                             [NULL, E'user:\nassistant:', 'assistant:', NULL][p.s + 1])}) AS best
+  FROM p LEFT JOIN facts x ON x.conv_id IS NOT DISTINCT FROM p.conv_id
+  WHERE p.i = coalesce(x.rows, 0) GROUP BY p.conv_id)
+SELECT done.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, best.cost AS cost, best.audit AS audit, sha256(best.made) AS repaired_sha256
+FROM done LEFT JOIN facts x ON x.conv_id IS NOT DISTINCT FROM done.conv_id
+""")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every damaged conversation."""
+    from reelmart.llm import conversation_repair as c
+    turns = table(spark, sf_dir, "conversations")
+    done = c.digests(c.repair(c.damage(turns), F.col("copies")))
+    every = turns.select("conv_id").distinct()
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(done, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
+        "conv_id", *[F.coalesce(x, F.lit(0).cast("bigint")).alias(x) for x in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+@query("op12_hard_negatives", r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, list_dot_product(a.q, v.q)::BIGINT AS score
+  FROM v a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+""")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive among all embeddings."""
+    from reelmart.llm import hard_negatives as h
+    rows = h.scaled(table(spark, sf_dir, "embeddings"))
+    rows = rows.withColumn("label", F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return h.mine(rows, F.col("id") % 100 == 0)
+
+
+@query("op13_decontaminate", r"""
+WITH b AS (
+  SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+g AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+  FROM (SELECT item, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+        FROM b WHERE len(w) > 0)),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+q AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM g) WHERE len(w) >= n)),
+h AS (SELECT r, n, i, gram FROM q WHERE gram IN (SELECT gram FROM g)),
+c AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM h) GROUP BY r),
+o AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item FROM h JOIN g USING (gram)) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN o USING (r)
+""")
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    from reelmart.llm import decontaminate as d
+    found = d.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))

@@ -13,11 +13,16 @@ CONTRACT = {
     "op6": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op7": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op8": ["doc_id", "fingerprint", "component_id"],
-    "op10": ["doc_id", "size", "source_size", "target", "taken"]}
+    "op10": ["doc_id", "size", "source_size", "target", "taken"],
+    "op11": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    "op12": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
+    "op13": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]}
+#: Queries with a row per row of another table than documents, or of none.
+TABLE = {"op2": None, "op3": "embeddings", "op11": None, "op12": None}
 
 
 def test_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in q.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in q.QUERIES) == list(range(1, 14))
     assert set(q.QUERIES) | {"pipeline"} == set(E.LLM)
 
 
@@ -31,6 +36,6 @@ def test_matches_oracle(spark, name):
 def test_contract_columns_and_rows(spark, name):
     df = q.QUERIES[name](spark, SF001)
     assert df.columns[:len(CONTRACT.get(name.split("_")[0], []))] == CONTRACT.get(name.split("_")[0], [])
-    table = "embeddings" if name.startswith("op3") else "documents"
-    if not name.startswith("op2"):
-        assert df.count() == spark.read.parquet(f"{SF001}/{table}.parquet").count()
+    of = TABLE.get(name.split("_")[0], "documents")
+    if of:
+        assert df.count() == spark.read.parquet(f"{SF001}/{of}.parquet").count()
