@@ -13,10 +13,12 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ from reelmart.llm._common import pieces, text_of
 
 #: Texts are handed to the tokenizer in runs of about this many characters.
 RUN_CHARS = 1 << 18
+#: Matches of the pattern whose ids a worker keeps, and the longest that it keeps.
+SEEN, SEEN_CHARS = 1 << 19, 64
 
 
 def byte_table() -> dict[int, str]:
@@ -55,17 +59,63 @@ class ByteBPE:
         self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.Split(Regex(pattern), "isolated"),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.bytes_of = {r: t for t, r in ranks.items()}
+        # for single matches, which need no splitting
+        self.word_tokenizer = Tokenizer(self.tokenizer.model)
+        self.word_tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.pattern = regex.compile(pattern)
+        self.seen: dict[str, bytes | bool] = {}
+        # all tokens' bytes in one array, with where each begins
+        self.size = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)
+        self.size[list(ranks.values())] = [len(t) for t in ranks]
+        self.known = np.zeros(len(self.size), bool)
+        self.known[list(ranks.values())] = True
+        self.start = np.cumsum(self.size) - self.size
+        self.table = np.frombuffer(b"".join(by_rank), np.uint8)
 
     def encode(self, texts: list[str]) -> list:
         """Encodings (``ids`` and character ``offsets``) of the texts."""
         return self.tokenizer.encode_batch(texts, add_special_tokens=False)
 
+    def raw_ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers.
+
+        A text with a character that this Python's Unicode tables leave
+        unassigned goes to the tokenizer whole: tables of different age may
+        split it differently.
+        """
+        if len(self.seen) > SEEN:
+            self.seen.clear()
+        pack = lambda e: np.asarray(e.ids, "<u4").tobytes()
+        split = [self.pattern.findall(t) for t in texts]
+        known = [list(map(self.seen.get, words)) for words in split]
+        new = list({w for words, parts in zip(split, known) if None in parts for w, x in zip(words, parts) if x is None})
+        for w, e in zip(new, self.word_tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            odd = not w.isascii() and any(unicodedata.category(c) == "Cn" for c in w)
+            self.seen[w] = False if odd else pack(e)
+        out = []
+        for t, words, parts in zip(texts, split, known):
+            if None in parts:
+                parts = [self.seen[w] if x is None else x for w, x in zip(words, parts)]
+            out.append(pack(self.tokenizer.encode_batch_fast([t], add_special_tokens=False)[0]) if False in parts
+                       else b"".join(parts))
+        for w in new:
+            if len(w) > SEEN_CHARS:
+                del self.seen[w]
+        return out
+
     def ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.frombuffer(x, "<u4").tolist() for x in self.raw_ids(texts)]
 
     def decode_bytes(self, ids) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        """The tokens' bytes, joined; an id that the vocabulary lacks raises KeyError."""
+        ids = np.asarray(ids, np.int64)
+        if not len(ids):
+            return b""
+        if ids.min() < 0 or ids.max() >= len(self.size) or not self.known[ids].all():
+            raise KeyError("an id that the vocabulary lacks")
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        return self.table[np.arange(ends[-1]) + np.repeat(self.start[ids] - (ends - size), size)].tobytes()
 
     def decode(self, ids) -> str:
         """The text; bytes that are no whole character show as U+FFFD."""
@@ -119,7 +169,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                     cols = [lists([e.ids for e in got]), lists([s[:, 0] for s in spans]),
                             lists([s[:, 1] for s in spans])]
                 else:
-                    cols = [lists(bpe.ids(run))]
+                    cols = [lists([np.frombuffer(x, "<u4") for x in bpe.raw_ids(run)])]
                 yield pa.RecordBatch.from_arrays(
                     [keys, *cols], ["id", "ids", "starts", "ends"][:1 + len(cols)])
 
@@ -165,10 +215,11 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
             for run in _runs(b.column(1).to_pylist()):
                 keys = b.column(0).slice(at, len(run))
                 at += len(run)
-                ids = [np.asarray(x, "<u4") for x in bpe.ids(run)]
+                raw = bpe.raw_ids(run)
+                ids = [np.frombuffer(x, "<u4") for x in raw]
                 cols = {"id": keys, "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
-                        "ids_sha256": pa.array([sha(x.tobytes()) for x in ids]),
-                        "decoded_sha256": pa.array([sha(bpe.decode_bytes(x.tolist())) for x in ids])}
+                        "ids_sha256": pa.array([sha(x) for x in raw]),
+                        "decoded_sha256": pa.array([sha(bpe.decode_bytes(x)) for x in ids])}
                 if with_ids:
                     cols["ids"] = pa.ListArray.from_arrays(
                         pa.array(np.cumsum([0] + [len(x) for x in ids]), pa.int32()),

@@ -56,6 +56,31 @@ def test_every_code_point(slow, fast):
     assert not bad, [hex(ord(bad[0][1])), len(bad)]
 
 
+def test_pattern_splits_every_assigned_character_as_the_tokenizer(fast):
+    """Alone, repeated, and next to letters, digits, signs and blanks."""
+    import unicodedata
+    probe = lambda cs: "".join(f"x{c}9{c} {c}{c}!{c} \n" for c in cs)
+    split = lambda t: [t[a:b] for _, (a, b) in fast.tokenizer.pre_tokenizer.pre_tokenize_str(t)]
+    for lo in range(0, 0x110000, 4096):
+        cs = [chr(c) for c in range(lo, lo + 4096) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]
+        assert split(probe(cs)) == fast.pattern.findall(probe(cs)), hex(lo)
+
+
+def test_seen_matches_are_bounded(slow, monkeypatch):
+    monkeypatch.setattr(bpe, "SEEN", 100)
+    e = bpe.ByteBPE(bpe.read_ranks(PATH), P.PATTERN)
+    texts = [f"word{i} {'long' * i}" for i in range(300)]
+    for t in texts * 2:
+        assert e.ids([t])[0] == slow.encode_ordinary(t)
+        assert len(e.seen) < 110 and all(len(w) <= bpe.SEEN_CHARS for w in e.seen)
+
+
+def test_unknown_id_raises(fast):
+    for bad in ([50256], [-1], [1, 10 ** 9]):
+        with pytest.raises(KeyError):
+            fast.decode_bytes(bad)
+
+
 def test_special_strings_are_ordinary(slow, fast):
     t = "<|endoftext|> x <s>"
     assert fast.ids([t])[0] == slow.encode_ordinary(t)
