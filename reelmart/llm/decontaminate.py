@@ -7,7 +7,8 @@ benchmark, hashed, are broadcast while they stay below ``SMALL`` bytes, and
 joined by a shuffle beyond that. Documents are scanned once: each position
 gives the hash of the window that begins there (a hash of word hashes, so no
 window text is built), and only hits leave the scan. Hits are verified against
-the words themselves, in the documents that have any.
+the words themselves, in the documents that have any; their keys are broadcast
+below the same size, so that no other text is shuffled.
 
 Only functions of DataFrames are used. A document's positions are exploded and
 looked up without a shuffle; what is shuffled by document are its hits and one
@@ -30,6 +31,8 @@ ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Windows of up to so many bytes are broadcast (text, hash and number).
 SMALL = 64 << 20
+#: What a broadcast row key takes.
+KEY_BYTES = 48
 
 
 def words_of(text: Column) -> Column:
@@ -119,9 +122,12 @@ def find(docs: DataFrame, bench: DataFrame, length: int = 10, id_col: str = "doc
                                     grams, facts["size"] <= small), "scanned")
     # verified against the words themselves
     hit = F.struct("pos", "n", "gram", "window")
-    hits = scanned.filter("n > 0").groupBy("key").agg(F.collect_set(hit).alias("hits"))
+    hits = shared.table(scanned.filter("n > 0").groupBy("key").agg(F.collect_set(hit).alias("hits")), "hits")
     text = text_of(text_col)
-    met = docs.select(row_key(id_col, text).alias("key"), text.alias("text")).join(hits, "key")
+    met = docs.select(row_key(id_col, text).alias("key"), text.alias("text"))
+    if hits.count() * KEY_BYTES <= small:  # only texts with hits are shuffled
+        met = met.join(F.broadcast(hits.select("key")), "key", "left_semi")
+    met = met.join(hits, "key")
 
     def verified(words):
         return F.filter("hits", lambda x: F.array_join(F.slice(words, x["pos"] + 1, x["n"]), " ") == x["window"])
