@@ -54,6 +54,15 @@ def row_key(id_col: str, text: Column) -> Column:
     return F.unhex(F.concat(half(1), half(2)))
 
 
+#: Bytes up to which a table of known row width is broadcast.
+SMALL = 64 << 20
+
+
+def if_small(df: DataFrame, row_bytes: int, most: int = SMALL) -> DataFrame:
+    """``df``, a stored table, to be broadcast if its rows take ``most`` bytes at most."""
+    return F.broadcast(df) if df.count() * row_bytes <= most else df
+
+
 #: Text that a Python worker turns into objects at a time, in bytes.
 PIECE = 4 << 20
 

@@ -22,15 +22,13 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelmart.llm._common import Shared, row_key, text_of
+from reelmart.llm._common import SMALL, Shared, if_small, row_key, text_of
 
 #: A word, after lower-casing: no ASCII but digits and lower-case letters.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same before lower-casing, and what lies between words.
 ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Windows of up to so many bytes are broadcast (text, hash and number).
-SMALL = 64 << 20
 #: What a broadcast row key takes.
 KEY_BYTES = 48
 
@@ -125,9 +123,8 @@ def find(docs: DataFrame, bench: DataFrame, length: int = 10, id_col: str = "doc
     hits = shared.table(scanned.filter("n > 0").groupBy("key").agg(F.collect_set(hit).alias("hits")), "hits")
     text = text_of(text_col)
     met = docs.select(row_key(id_col, text).alias("key"), text.alias("text"))
-    if hits.count() * KEY_BYTES <= small:  # only texts with hits are shuffled
-        met = met.join(F.broadcast(hits.select("key")), "key", "left_semi")
-    met = met.join(hits, "key")
+    # only texts with hits are shuffled
+    met = met.join(if_small(hits.select("key"), KEY_BYTES, small), "key", "left_semi").join(hits, "key")
 
     def verified(words):
         return F.filter("hits", lambda x: F.array_join(F.slice(words, x["pos"] + 1, x["n"]), " ") == x["window"])

@@ -90,17 +90,10 @@ def met(texts, counts, least=0.8):
     for own in of.values():
         if len(own) < 2:
             continue
-        groups = [own]
-        if len(own) > d.CROWD:
-            hub, width = min(own, key=rank.__getitem__), int(np.ceil(np.log2(len(own) / 32)))
-            groups = [[hub, x] for x in own if x != hub]
-            for b in range(64 // width):
-                cut = {}
-                for x in own:
-                    cut.setdefault((fp[x] << (b * width)) % 2 ** 64 >> (64 - width), []).append(x)
-                groups += cut.values()
-        for g in groups:
-            pairs |= {(min(x, y), max(x, y)) for k, x in enumerate(g) for y in g[:k]}
+        pairs |= {(min(x, y), max(x, y)) for k, x in enumerate(own) for y in own[:k]
+                  if len(own) <= d.CROWD or bin(fp[x] ^ fp[y]).count("1") < 64 // int(np.ceil(np.log2(len(own) / 32)))}
+        hub = min(own, key=rank.__getitem__)
+        pairs |= {(min(x, hub), max(x, hub)) for x in own if x != hub}
     return {(x, y) for x, y in pairs if bin(fp[x] ^ fp[y]).count("1") <= d.DISTANCE
             and abs(len(texts[x]) - len(texts[y])) <= max(len(texts[x]), len(texts[y])) * (1 - least) + 1e-9}
 
