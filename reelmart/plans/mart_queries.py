@@ -22,8 +22,8 @@ from reelmart.operators.windows import top_values
 from reelmart.plans import derive, marts, serve
 from reelmart.plans.data_tests import DECLARED, run_declared
 from reelmart.session import checkpoint_dir
-from reelmart.sources import (append_raw, append_snapshot_days, as_table, as_view, land_payloads, load_raw,
-                              merge_fact, raw, read_seed)
+from reelmart.sources import (append_raw, append_snapshot_days, as_table, as_view, land_payloads, load_new, load_raw,
+                              merge_fact, raw, read_seed, snapshot_table)
 from reelmart.sources.tables import write_once
 from reelmart.plans.queries import TS, _history_sql, _iround_avg, _md5_sql, _sround, register
 
@@ -688,4 +688,48 @@ def q_snapshot_incremental(spark, d):
     append_snapshot_days(spark, loads.filter(day <= F.lit(middle)), path)
     append_snapshot_days(spark, loads, path)
     append_snapshot_days(spark, loads, path)
-    return spark.read.parquet(path).select(*marts.SNAPSHOT_COLUMNS)
+    return snapshot_table(spark, path).select(*marts.SNAPSHOT_COLUMNS)
+
+
+@_reg("seed_csv_build", """
+SELECT movie_id, strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date, popularity,
+       CAST(vote_average AS DOUBLE) AS vote_average, vote_count, revenue, is_synthetic
+FROM snapshot
+""")
+def q_seed_csv_build(spark, d):
+    """The synthetic history goes to a CSV, is read as the typed
+    seed, and starts the snapshot table, in one commit."""
+    w, top = world(spark, d, *SNAPSHOT), _folder(spark, "seeded")
+    w["snapshot_seed"].write.option("header", True).csv(f"{top}/seed")
+    append_snapshot_days(spark, w["raw_movie_details"], f"{top}/snapshot", w.cfg, read_seed(spark, f"{top}/seed"))
+    return snapshot_table(spark, f"{top}/snapshot").select(*marts.SNAPSHOT_COLUMNS)
+
+
+@register("load_ledger", """
+SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN '1995-01-01' ELSE '1995-01-02' END AS load_date
+FROM customer
+""")
+def q_load_ledger(spark, d):
+    """Landing files are loaded once, whatever is loaded again. The
+    folder is loaded after each of two drops, and once more at the end."""
+    top, cust = _folder(spark, "ledger"), spark.read.parquet(f"{d}/customer.parquet")
+    first = F.col("c_custkey") % 3 == 0
+    for part, day in ((first, dt.date(1995, 1, 1)), (~first, dt.date(1995, 1, 2)), (None, dt.date(1995, 1, 3))):
+        if part is not None:
+            land_payloads(cust.filter(part), top, "landed", day)
+        load_new(spark, f"{top}/landed", f"{top}/raw", dt.datetime(day.year, day.month, day.day, 6))
+    return extract(raw(spark, f"{top}/raw"), "raw_payload", [
+        FieldSpec("id", "$.c_custkey", "int"), FieldSpec("name", "$.c_name", "string")],
+        keep=["load_date"]).withColumn("load_date", F.col("load_date").cast("string"))
+
+
+@register("load_stamp", "SELECT c_custkey AS id, true AS stamped_now FROM customer")
+def q_load_stamp(spark, d):
+    """Current timestamp default: rows loaded without a given time are stamped
+    with the time of the load."""
+    top, cust = _folder(spark, "stamp"), spark.read.parquet(f"{d}/customer.parquet")
+    path = land_payloads(cust, top, "landed", dt.date(1995, 1, 1))
+    load_new(spark, path, f"{top}/raw")
+    near = F.expr("abs(timestampdiff(MINUTE, ingested_at, localtimestamp())) < 60").alias("stamped_now")
+    rows = extract(raw(spark, f"{top}/raw"), "raw_payload", [FieldSpec("id", "$.c_custkey", "int")], keep=["ingested_at"])
+    return rows.select("id", near)

@@ -27,9 +27,8 @@ from reelmart.operators.explode import explode_payload
 from reelmart.operators.joins import union_distinct
 from reelmart.operators.median import exact_median
 from reelmart.operators.setops import reaggregate_mean
-from reelmart.operators.windows import (choices, dense_top_n, latest_per_key, sample_first,
-                                        sort_key, top_n_per_key, top_values, with_rank,
-                                        yearly_catalogue)
+from reelmart.operators.windows import (choices, dense_top_n, latest_per_key, ordered, sample_first, sort_key, top_n_per_key,
+                                        top_values, with_rank, yearly_catalogue)
 from reelmart.plans import derive, marts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -873,3 +872,19 @@ def q_dq_summary(spark, d):
         ("lineitem", li, quality.Relationship("l_orderkey", o, "o_orderkey")),
     ]
     return quality.run_checks(checks)
+
+
+@register("served_order", """
+SELECT l_orderkey AS order_id, l_linenumber AS line_no,
+       CAST(row_number() OVER (ORDER BY l_quantity DESC, l_shipdate, l_orderkey, l_linenumber) AS BIGINT) AS place
+FROM lineitem WHERE l_quantity >= 49 ORDER BY place LIMIT 500
+""")
+def q_served_order(spark, d):
+    """The rows of a many-key order with their places, read off the order
+    in which they are served."""
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").filter("l_quantity >= 49")
+    served = ordered(lines, sort_key("l_quantity", True, False), sort_key("l_shipdate", False, False),
+                     F.col("l_orderkey").asc(), F.col("l_linenumber").asc()).limit(500)
+    # one partition of 500 rows, numbered as they come
+    return served.coalesce(1).select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
+                                     (F.monotonically_increasing_id() + 1).alias("place"))

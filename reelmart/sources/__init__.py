@@ -1,8 +1,10 @@
 """Sources and sinks: landing files, raw tables, seeds, views, tables."""
 
 from reelmart.sources.landing import (SEED_SCHEMA, append_raw, append_snapshot_days, as_table,
-                                      as_view, land_payloads, load_raw, merge_fact, raw, read_seed)
+                                      as_view, land_payloads, load_new, load_raw, loaded_files, merge_fact,
+                                      raw, read_seed, snapshot_table)
 from reelmart.sources.tables import Versioned, write_once
 
 __all__ = ["SEED_SCHEMA", "Versioned", "append_raw", "append_snapshot_days", "as_table", "as_view",
-           "land_payloads", "load_raw", "merge_fact", "raw", "read_seed", "write_once"]
+           "land_payloads", "load_new", "load_raw", "loaded_files", "merge_fact", "raw", "read_seed",
+           "snapshot_table", "write_once"]
