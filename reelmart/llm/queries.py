@@ -175,12 +175,17 @@ TOOLS = [("search", "query", "string", True), ("search", "limit", "integer", Fal
 
 
 @query("op1_tool_calls", r"""
-WITH q AS (
-  SELECT *, length(coalesce(text, '')) AS n, 'c' || conv_id || '-' || turn AS id,
-         turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run
+WITH RECURSIVE q AS (
+  SELECT *, length(coalesce(text, '')) AS n, 'c' || conv_id || '-' || turn AS id
   FROM conversations WHERE role = 'user'),
+p AS (
+  SELECT conv_id, turn, 0 AS depth FROM q
+  UNION
+  SELECT q.conv_id, q.turn, p.depth + 1
+  FROM p JOIN q ON q.conv_id = p.conv_id
+       AND (q.turn = p.turn + 2 OR (q.n % 13 < 3 AND q.turn IN (p.turn + 4, p.turn + 6)))),
 u AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS depth,
+  SELECT q.*, (SELECT max(depth) FROM p WHERE p.conv_id = q.conv_id AND p.turn = q.turn) AS depth,
          CASE WHEN n % 17 = 0 THEN 'other' ELSE ['search', 'fetch', 'note'][n % 3 + 1] END AS name,
          n % 5 = 0 AS worded, n % 7 = 0 AS silent, n % 11 = 0 AS broken, to_json(coalesce(text, '')) AS words
   FROM q),
@@ -213,26 +218,29 @@ FROM a ANTI JOIN u USING (conv_id, id)
 def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tool calls and results read from every conversation.
 
-    A user turn is a call that depends on the user turn two before it, an
-    assistant turn the result of the turn before it. Arguments come from the
-    text; some lack a parameter, have a wrong type or are broken, by the
-    text's length.
+    A user turn is read as a message with a call that depends on the user turn
+    two before it, by its length also on those four and six before, an
+    assistant turn as one with the result of the turn before it. Arguments come
+    from the text; some lack a parameter, have a wrong type or are broken, by
+    the text's length.
     """
     from reelmart.llm import tool_calls as t
-    turns = table(spark, sf_dir, "conversations")
     n = F.length(F.coalesce("text", F.lit("")))
     quoted = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("query")))
+    turns = table(spark, sf_dir, "conversations").withColumn("q", quoted)
     call_id = lambda k: F.concat(F.lit("c"), "conv_id", F.lit("-"), F.col("turn") - k)
     limit = F.when(n % 5 == 0, F.concat(F.lit('"'), n, F.lit('"'))).otherwise(n.cast("string"))
     arguments = F.when(n % 11 == 0, F.lit("{limit")).otherwise(F.concat(
         F.when(n % 7 == 0, F.lit("{")).otherwise(F.concat(F.expr("left(q, length(q) - 1)"), F.lit(", "))),
         F.lit('"limit": '), limit, F.lit(', "exact": true}')))
-    calls = turns.filter("role = 'user'").withColumn("q", quoted).select(
-        "conv_id", "turn", call_id(0).alias("call_id"),
+    call = F.struct(
+        call_id(0).alias("id"),
         F.when(n % 17 == 0, "other").otherwise(F.element_at(F.lit(["search", "fetch", "note"]), n % 3 + 1)).alias("name"),
-        arguments.alias("arguments"), call_id(2).alias("after"))
-    results = turns.filter("role = 'assistant'").select(
-        "conv_id", "turn", call_id(1).alias("call_id"), F.col("text").alias("content"))
+        arguments.alias("arguments"),
+        F.when(n % 13 < 3, F.array(call_id(2), call_id(4), call_id(6))).otherwise(F.array(call_id(2))).alias("after"))
+    message = F.when(F.col("role") == "user", F.to_json(F.struct(F.array(call).alias("tool_calls")))).when(
+        F.col("role") == "assistant", F.to_json(F.struct(call_id(1).alias("tool_call_id"), F.col("text").alias("content"))))
+    calls, results = t.extract(turns.select("conv_id", "turn", message.alias("text")))
     tools = spark.createDataFrame(TOOLS, "name string, param string, type string, required boolean")
     return t.link(calls, results, tools)
 

@@ -1,27 +1,32 @@
 """Tool-call linking for chat data.
 
 Calls and results meet by hash join on (conversation, call identifier). Calls
-are put in topological order: a call may name the call whose result it uses,
+are put in topological order: a call may name the calls whose results it uses,
 and its place is after all of its predecessors. Arguments are checked against
 the tools' declared parameters, and every call is serialised with its result
 as canonical JSON (keys sorted at every level, no spaces, numbers in shortest
 form), one line per call.
 
 Order is given by sort columns, not by numbering a conversation's rows, so a
-conversation with a third of all messages is never gathered. Chains of calls
-are followed by pointer doubling: the number of rounds is the logarithm of the
-longest chain.
+conversation with a third of all messages is never gathered. Dependencies are
+a table of edges that shrinks in rounds of one join: an edge to a call whose
+place is known becomes a number, an edge to a call with one predecessor jumps
+on to that predecessor, and edges that then end at the same call merge. Chains
+and lone joins of several results need a logarithm of their length in rounds;
+only layer upon layer of calls that all wait for several others need a round
+each.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelmart.llm._common import Shared
 
+#: No path is as long; lengths on a cycle stop doubling here.
+ENDLESS = 1 << 60
+
 #: JSON Schema type names by the type of a parsed JSON value.
 TYPES = {"BIGINT": "integer", "DOUBLE": "number", "DECIMAL": "number", "STRING": "string",
          "BOOLEAN": "boolean", "VOID": "null", "ARRAY": "array", "OBJECT": "object"}
@@ -42,14 +47,18 @@ def extract(messages: DataFrame, id_col: str = "conv_id", turn_col: str = "turn"
 
     A message ``{"tool_calls": [{"id", "name", "arguments", "after"}]}`` makes
     calls, ``{"tool_call_id", "content"}`` a result. Arguments may be an object
-    or the text of one. Other messages, also broken JSON, make neither.
+    or the text of one, ``after`` one identifier or a list of them. Other
+    messages, also broken JSON, make neither.
     """
-    call = "struct<id:string,name:string,arguments:string,after:string>"
+    call = "struct<id:string,name:string,arguments:string,after:variant>"
     parsed = messages.select(
         F.col(id_col).alias("conv_id"), F.col(turn_col).cast("bigint").alias("turn"),
         F.from_json(F.col(text_col), f"tool_calls array<{call}>, tool_call_id string, content string").alias("m"))
     calls = (parsed.select("conv_id", "turn", F.explode("m.tool_calls").alias("c"))
-             .select("conv_id", "turn", F.col("c.id").alias("call_id"), "c.name", "c.arguments", "c.after"))
+             .select("conv_id", "turn", F.col("c.id").alias("call_id"), "c.name", "c.arguments",
+                     F.when(json_type(F.col("c.after")) == "array",
+                            F.try_variant_get("c.after", "$", "array<string>"))
+                     .otherwise(F.array(F.try_variant_get("c.after", "$", "string"))).alias("after")))
     results = parsed.filter("m.tool_call_id IS NOT NULL").select(
         "conv_id", "turn", F.col("m.tool_call_id").alias("call_id"), "m.content")
     return calls, results
@@ -58,31 +67,56 @@ def extract(messages: DataFrame, id_col: str = "conv_id", turn_col: str = "turn"
 def _places(calls: DataFrame, shared: Shared) -> DataFrame:
     """``conv_id, call_id, sort_turn, depth, cyclic`` for unique calls.
 
-    ``sort_turn``: the latest turn of the call and its predecessors, ``depth``:
-    how many there are. Ordering by (sort_turn, depth) puts every call after
-    its predecessors. Calls on a cycle, or after one, keep their own turn.
+    ``sort_turn``: the latest turn of the call and all its predecessors,
+    ``depth``: the calls on its longest path of predecessors. Ordering by
+    (sort_turn, depth) puts every call after its predecessors. Calls on a
+    cycle, or after one, keep their own turn.
+
+    A call's terms are rows (``next``, ``top``, ``hops``): it lies ``hops``
+    after ``next``, no earlier than ``top``; without ``next`` the term is final.
+    Each round settles at least one call unless all that are left wait for a
+    cycle, and never makes more terms with a ``next`` than there were.
     """
-    node = calls.select("conv_id", "call_id", "turn", "after")
-    parent = node.select(F.col("conv_id").alias("p_conv"), F.col("call_id").alias("p_id"))
-    on = F.col("conv_id").eqNullSafe(F.col("p_conv")) & (F.col("after") == F.col("p_id"))
-    now = shared.table(node.join(parent, on, "left").select(
-        "conv_id", "call_id", "turn", F.col("turn").alias("top"), F.col("p_id").alias("next"),
-        F.when(F.col("p_id").isNull(), 0).otherwise(1).cast("bigint").alias("hops")), "chain0")
-    most = math.ceil(math.log2(max(now.count(), 2))) + 1
-    for k in range(1, most + 1):
-        if now.filter("next IS NOT NULL").isEmpty():
+    node = ["conv_id", "call_id"]
+    edges = calls.select(*node, "turn", F.explode("after").alias("next")).distinct().alias("e").join(
+        calls.select(*node).alias("p"),
+        F.col("e.conv_id").eqNullSafe(F.col("p.conv_id")) & (F.col("e.next") == F.col("p.call_id")), "left_semi")
+    start = calls.select(*node, F.lit(None).cast("string").alias("next"), F.col("turn").alias("top"),
+                         F.lit(0).cast("bigint").alias("hops"))
+    terms = shared.table(start.unionByName(edges.select(
+        *node, "next", F.col("turn").alias("top"), F.lit(1).cast("bigint").alias("hops"))), "terms")
+    final = F.col("next").isNull()
+    waiting = None
+    while True:
+        state = shared.table(terms.groupBy(*node).agg(
+            F.count("next").alias("n"), F.max(F.when(final, F.col("top"))).alias("top"),
+            F.max(F.when(final, F.col("hops"))).alias("hops"),
+            F.max(F.when(~final, F.struct("next", "top", "hops"))).alias("on")), "state")
+        left = state.filter("n > 0").count()
+        if left in (0, waiting):
             break
-        far = now.select(F.col("conv_id").alias("f_conv"), F.col("call_id").alias("f_id"),
-                         F.col("top").alias("f_top"), F.col("next").alias("f_next"), F.col("hops").alias("f_hops"))
-        on = F.col("conv_id").eqNullSafe(F.col("f_conv")) & (F.col("next") == F.col("f_id"))
-        new = shared.table(now.join(far, on, "left").select(
-            "conv_id", "call_id", "turn", F.greatest("top", "f_top").alias("top"), F.col("f_next").alias("next"),
-            (F.col("hops") + F.coalesce("f_hops", F.lit(0))).alias("hops")), f"chain{k}")
-        shared.drop(now)
-        now = new
-    cyclic = F.col("next").isNotNull()
-    return now.select("conv_id", "call_id", F.when(cyclic, F.col("turn")).otherwise(F.col("top")).alias("sort_turn"),
-                      F.when(cyclic, 0).otherwise(F.col("hops")).cast("bigint").alias("depth"), cyclic.alias("cyclic"))
+        waiting = left
+        e, f = terms.filter("next IS NOT NULL").alias("e"), state.alias("f")
+        term = lambda next_, top, hops: F.struct(
+            next_.alias("next"), F.greatest("e.top", top).alias("top"),
+            F.least(F.col("e.hops") + F.col(hops), F.lit(ENDLESS)).alias("hops"))
+        known = term(F.lit(None).cast("string"), "f.top", "f.hops")
+        on = term(F.col("f.on.next"), "f.on.top", "f.on.hops")
+        moved = e.join(f, F.col("e.conv_id").eqNullSafe(F.col("f.conv_id"))
+                       & (F.col("e.next") == F.col("f.call_id"))).select(
+            "e.conv_id", "e.call_id", F.explode(
+                F.when(F.col("f.n") == 0, F.array(known)).when(F.col("f.n") == 1, F.array(known, on))
+                .otherwise(F.array(F.struct("e.next", "e.top", "e.hops")))).alias("t")).select(*node, "t.*")
+        own = state.select(*node, F.lit(None).cast("string").alias("next"), "top", "hops")
+        new = shared.table(moved.unionByName(own).groupBy(*node, "next").agg(
+            F.max("top").alias("top"), F.max("hops").alias("hops")), "terms")
+        shared.drop(terms, state)
+        terms = new
+    cyclic = F.col("n") > 0
+    own_turn = calls.select(F.col("conv_id").alias("o_conv"), F.col("call_id").alias("o_id"), "turn")
+    return state.join(own_turn, F.col("conv_id").eqNullSafe(F.col("o_conv")) & (F.col("call_id") == F.col("o_id"))).select(
+        *node, F.when(cyclic, F.col("turn")).otherwise(F.col("top")).alias("sort_turn"),
+        F.when(cyclic, 0).otherwise(F.col("hops")).cast("bigint").alias("depth"), cyclic.alias("cyclic"))
 
 
 def _problems(arguments: Column, params: Column, known: Column) -> Column:
@@ -109,7 +143,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     """One row per call and per result without a call.
 
     ``calls``: conv_id, turn, call_id, name, arguments (JSON text), after (the
-    identifier of the call it depends on, or null). ``results``: conv_id, turn,
+    identifiers of the calls it depends on as an array, or one as a string;
+    nulls and repeats among them count for nothing). ``results``: conv_id, turn,
     call_id, content. ``schemas``: name, param, type, required; a parameter
     without a name declares a tool without parameters.
 
@@ -126,7 +161,9 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     """
     shared = Shared(calls.sparkSession, "calls")
     key = ["conv_id", "call_id"]
-    calls = calls.select("conv_id", F.col("turn").cast("bigint").alias("turn"), "call_id", "name", "arguments", "after")
+    after = F.col("after") if calls.schema["after"].dataType.typeName() == "array" else F.array("after")
+    calls = calls.select("conv_id", F.col("turn").cast("bigint").alias("turn"), "call_id", "name", "arguments",
+                         after.cast("array<string>").alias("after"))
     named = calls.filter("call_id IS NOT NULL").groupBy(*calls.columns).agg(F.count(F.lit(1)).alias("same"))
     own = shared.table(named.groupBy(*key).agg(
         F.min(F.struct("turn", "name", "arguments", "after")).alias("c")).select(*key, "c.*"), "own")

@@ -1,6 +1,8 @@
 import json
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from reelmart.llm import tool_calls as t
 
@@ -62,6 +64,67 @@ def test_topological_order(spark):
     assert place[3, "k149"][1] == 149
 
 
+def brute_places(calls):
+    """(latest turn, longest path) by recursion; None on or after a cycle."""
+    node = {c: (turn, [p for p in after or [] if p is not None]) for _, turn, c, _, _, after in calls}
+    node = {c: (turn, [p for p in after if p in node]) for c, (turn, after) in node.items()}
+    memo = {}
+
+    def place(c, path=()):
+        if c in path:
+            return None
+        if c not in memo:
+            got = [place(p, (*path, c)) for p in node[c][1]]
+            if None in got:
+                return None
+            memo[c] = (max([node[c][0], *[g[0] for g in got]]), max([0, *[g[1] + 1 for g in got]]))
+        return memo[c]
+    return {c: place(c) for c in node}
+
+
+def random_graph(seed, size, back):
+    rnd = random.Random(seed)
+    out = []
+    for i in range(size):
+        after = [f"k{rnd.randrange(max(0, i - 9), i)}" for _ in range(rnd.choice([0, 1, 1, 1, 2, 5]))] if i else None
+        if rnd.random() < back:
+            after = [*(after or []), f"k{rnd.randrange(size)}"]
+        out.append((1, rnd.randrange(50), f"k{i}", "f", "{}", after and [*after, None, "nowhere", after[0]]))
+    return out
+
+
+@pytest.mark.parametrize("calls", [
+    random_graph(1, 60, 0), random_graph(2, 60, 0.04), random_graph(3, 12, 0.5),
+    # layers of calls that all wait for both of the layer before, after a cycle that runs on beside them
+    [(1, 99 - i, f"{x}{i}", "f", "{}", [f"a{i - 1}", f"b{i - 1}"]) for i in range(6) for x in "ab"]
+    + [(1, 1, "x", "f", "{}", ["y"]), (1, 2, "y", "f", "{}", ["x"]), (1, 3, "z", "f", "{}", ["x", "a5"])],
+    # one call that waits for all others, and one that all others wait for
+    [(1, 5, "first", "f", "{}", [])] + [(1, i % 7, f"m{i}", "f", "{}", ["first"]) for i in range(300)]
+    + [(1, 0, "last", "f", "{}", [f"m{i}" for i in range(300)])]])
+def test_several_predecessors(spark, calls):
+    rows = t.link(spark.createDataFrame(calls, CALLS.replace("after string", "after array<string>")),
+                  spark.createDataFrame([], RESULTS), spark.createDataFrame(TOOLS, SCHEMAS)).collect()
+    got = {r.call_id: None if r.status == "cyclic" else (r.sort_turn, r.depth) for r in rows}
+    assert len(rows) == len(calls) and got == brute_places(calls)
+    place = {r.call_id: (r.sort_turn, r.depth) for r in rows}
+    for _, _, c, _, _, after in calls:
+        assert got[c] is None or all(place[p] < place[c] for p in after or [] if p in place)
+
+
+def test_long_texts_and_clashing_columns(spark):
+    """Extra columns are ignored whatever their names; long texts stay whole."""
+    long = "wörd " * 200_000
+    calls = spark.createDataFrame([(1, 1, "a", "f", json.dumps({"q": long}), None)], CALLS)
+    results = spark.createDataFrame([(1, 2, "a", long)], RESULTS)
+    extra = {c: F.lit(1) for c in ["n", "top", "hops", "next", "on", "same", "c", "o", "g", "status", "tool", "params",
+                                   "args", "sort_turn", "depth", "cyclic", "message", "problems", "owner"]}
+    r = t.link(calls.withColumns(extra), results.withColumns(extra),
+               spark.createDataFrame(TOOLS, SCHEMAS).withColumns(extra)).collect()
+    assert len(r) == 1 and r[0].status == "linked" and r[0].problems == ""
+    got = json.loads(r[0].message)
+    assert got["result"] == long and got["arguments"]["q"] == long
+
+
 def test_statuses(spark):
     calls = [(1, 1, "a", "f", "{}", None), (1, 1, "a", "f", "{}", None), (1, 2, "a", "g", "{}", None),
              (1, 3, None, "f", "{}", None), (1, 4, "p", "f", "{}", None), (None, None, "n", None, None, None)]
@@ -77,11 +140,12 @@ def test_statuses(spark):
 
 def test_extract(spark):
     rows = [(1, 0, json.dumps({"tool_calls": [{"id": "a", "name": "f", "arguments": {"q": "x"}, "after": None},
-                                              {"id": "b", "name": "g", "arguments": "{}", "after": "a"}]})),
+                                              {"id": "b", "name": "g", "arguments": "{}", "after": "a"},
+                                              {"id": "c", "name": "g", "after": ["a", "b"]}]})),
             (1, 1, json.dumps({"tool_call_id": "a", "content": "ok"})), (1, 2, "hello"), (1, 3, None), (2, 0, "{broken")]
     calls, results = t.extract(spark.createDataFrame(rows, "conv_id long, turn long, text string"))
-    got = {(r.call_id, r.name, r.arguments, r.after) for r in calls.collect()}
-    assert got == {("a", "f", '{"q":"x"}', None), ("b", "g", "{}", "a")}
+    got = {(r.call_id, r.name, r.arguments, tuple(r.after)) for r in calls.collect()}
+    assert got == {("a", "f", '{"q":"x"}', (None,)), ("b", "g", "{}", ("a",)), ("c", "g", None, ("a", "b"))}
     assert [(r.turn, r.call_id, r.content) for r in results.collect()] == [(1, "a", "ok")]
 
 
