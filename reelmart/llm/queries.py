@@ -66,16 +66,38 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_sha256", "spans")
 
 
+#: Rules of the secret scan that were raised after the earlier versions were scanned.
+RAISED = ("jwt", "hub_token")
+
+
 @query("op6_secret_ledger")
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets in every document, through a ledger that starts empty."""
+    """Secrets in every document and in its version before the last line came.
+
+    The ledger first meets the earlier versions (the text up to its last line
+    feed; without one, the whole text) under the rules' previous versions, then
+    the documents under the present ones: new texts are scanned by all rules,
+    texts seen before by the raised rules only. ``n_earlier``: findings of the
+    earlier version by the rules that were not raised since.
+    """
+    from dataclasses import replace
+
     from reelmart.llm import secrets
     from reelmart.llm._common import Shared
-    ledger = secrets.Ledger(spark, Shared(spark, "ledger").root)
-    docs = table(spark, sf_dir, "documents")
+    shared = Shared(spark, "ledger")
+    ledger = secrets.Ledger(spark, shared.root)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.when(F.instr("text", "\n") > 0, F.expr(
+        "left(text, length(text) - length(substring_index(text, '\n', -1)) - 1)"))
+        .otherwise(F.col("text")).alias("earlier"))
+    before = tuple(replace(r, version=r.version - 1) if r.kind in RAISED else r for r in secrets.RULES)
+    secrets.scan(docs, ledger, before, text_col="earlier")
     secrets.scan(docs, ledger)
-    return secrets.report(docs, ledger).select(
-        F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+    same = tuple(r for r in secrets.RULES if r.kind not in RAISED)
+    old = shared.table(secrets.totals(ledger, same).withColumnRenamed("blob", "earlier_blob"), "earlier")
+    out = secrets.report(docs.withColumn("earlier_blob", secrets.blob_of("earlier")), ledger, keep=("earlier_blob",))
+    return out.join(old, "earlier_blob", "left").select(
+        F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans",
+        F.coalesce("n_findings", F.lit(0).cast("bigint")).alias("n_earlier"))
 
 
 @query("op7_byte_bpe")

@@ -2,8 +2,8 @@
 
 Every historical version of every path is content-addressed by its SHA-256.
 The ledger records which (blob, rule, rule version) pairs have been scanned;
-``scan`` runs only the unseen pairs, once per distinct blob however many paths
-hold it, appends their findings, and ``report`` joins all findings back to all
+``scan`` asks the ledger by hash alone, moves the texts of blobs with unseen
+pairs, runs these once per distinct blob however many paths hold it, appends their findings, and ``report`` joins all findings back to all
 paths. A run's findings are written before its ledger entries, and findings
 count only once their run is in the ledger, so a run that dies half-way is
 simply scanned again.
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmart.llm import spans as sp
-from reelmart.llm._common import Shared, text_of
+from reelmart.llm._common import SMALL, Shared, text_of
 
 
 @dataclass(frozen=True)
@@ -89,24 +89,50 @@ def blob_of(text_col: str = "text") -> Column:
     return F.sha2(text_of(text_col), 256)
 
 
+#: Bytes of an unseen blob's hash and rule versions, broadcast.
+TODO_BYTES = 400
+
+
+def unseen(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES,
+           text_col: str = "text") -> DataFrame:
+    """``blob, todo``: the rule versions (kind@version) that each blob still lacks.
+
+    Hashes only; blobs that lack none are left out.
+    """
+    hashes = versions.select(blob_of(text_col).alias("blob")).distinct()
+    keys = [f"{r.kind}@{r.version}" for r in rules]
+    key = F.concat_ws("@", "kind", "version")
+    seen = (ledger.scanned().select("blob", key.alias("key")).filter(F.col("key").isin(keys))
+            .groupBy("blob").agg(F.collect_set("key").alias("seen")))  # at most one per rule
+    todo = F.array_except(F.array(*[F.lit(k) for k in keys]), F.coalesce("seen", F.array().cast("array<string>")))
+    return hashes.join(seen, "blob", "left").select("blob", todo.alias("todo")).filter(F.size("todo") > 0)
+
+
 def scan(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES,
-         text_col: str = "text") -> None:
+         text_col: str = "text", small: int = SMALL) -> None:
     """Scan the unseen (blob, rule version) pairs of ``versions`` into the ledger.
 
-    Copies of a blob are collapsed on the map side before the text moves, so a
-    blob with a third of all rows is scanned once. A blob that some rules have
-    seen is scanned by the others only. Null texts are the empty blob.
+    The ledger is asked by hash first. While the unseen blobs' hashes take at
+    most ``small`` bytes they are broadcast, and texts without an unseen pair
+    never leave their task; beyond, texts meet them by a shuffle join. Copies
+    of a blob are collapsed on the map side before the text moves, so a blob
+    with a third of all rows is scanned once. A blob that some rules have seen
+    is scanned by the others only. Null texts are the empty blob. Without an
+    unseen pair the ledger stays as it is.
     """
     run, shared = uuid.uuid4().hex, Shared(ledger.spark, "secrets")
-    blobs = (versions.select(blob_of(text_col).alias("blob"), text_of(text_col).alias("text"))
-             .groupBy("blob").agg(F.first("text").alias("text")))
     wanted = {r.kind: r for r in rules}
-    keys = F.array(*[F.lit(f"{r.kind}@{r.version}") for r in rules])
-    seen = (ledger.scanned().groupBy("blob")
-            .agg(F.collect_set(F.concat_ws("@", "kind", "version")).alias("seen")))  # one per rule version
-    todo = (blobs.join(seen, "blob", "left")
-            .withColumn("todo", F.array_except(keys, F.coalesce("seen", F.array().cast("array<string>"))))
-            .filter(F.size("todo") > 0))
+    pairs = shared.table(unseen(versions, ledger, rules, text_col), "todo")
+    n = pairs.count()
+    if n == 0:
+        shared.drop(pairs)
+        return
+    texts = versions.select(blob_of(text_col).alias("blob"), text_of(text_col).alias("text"))
+    few = n * TODO_BYTES <= small
+    if few:
+        texts = texts.join(F.broadcast(pairs.select("blob")), "blob", "left_semi")
+    blobs = texts.groupBy("blob").agg(F.first("text").alias("text"))
+    todo = blobs.join(F.broadcast(pairs) if few else pairs, "blob")
     kind = "array<struct<gap:int,match:string,before:string,after:string>>"
     arrays = []
     for r in rules:
@@ -130,21 +156,32 @@ def scan(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES,
         "blob", F.split_part("key", F.lit("@"), F.lit(1)).alias("kind"),
         F.split_part("key", F.lit("@"), F.lit(2)).cast("int").alias("version"))
     ledger.append(run, findings, done)
-    shared.drop(scanned)
+    shared.drop(scanned, pairs)
+
+
+def current(ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Findings of the given rule versions, each once."""
+    key = F.concat_ws("@", "kind", "version")
+    return (ledger.findings().filter(key.isin([f"{r.kind}@{r.version}" for r in rules]))
+            .dropDuplicates(["blob", "kind", "start", "end"]))
+
+
+def totals(ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``blob, n_findings`` of the blobs with findings of the given rule versions."""
+    return current(ledger, rules).groupBy("blob").agg(F.count(F.lit(1)).alias("n_findings"))
 
 
 def report(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Findings of the given rule versions for every path: one row per version.
 
-    Columns: ``id, blob, n_<base kind>..., base_sha256, spans``. A version
-    without findings has zeros and an empty list; an empty table gives no rows.
+    Columns: ``id, blob, keep..., n_<base kind>..., base_sha256, spans``. A
+    version without findings has zeros and an empty list; an empty table gives
+    no rows.
     """
     base = [r.kind for r in rules if r.base]
     order = [*base, *[r.kind for r in rules if not r.base]]
-    current = F.concat_ws("@", "kind", "version").isin([f"{r.kind}@{r.version}" for r in rules])
-    found = ledger.findings().filter(current).dropDuplicates(["blob", "kind", "start", "end"])
-    paths = versions.select(F.col(id_col).alias("id"), blob_of(text_col).alias("blob"))
+    paths = versions.select(F.col(id_col).alias("id"), blob_of(text_col).alias("blob"), *keep)
     # a table of its own, so that the join may split a blob with many paths
-    digests = Shared(ledger.spark, "secrets").table(sp.digest(found, "blob", base, order), "digests")
+    digests = Shared(ledger.spark, "secrets").table(sp.digest(current(ledger, rules), "blob", base, order), "digests")
     return sp.with_digest(paths, digests, "blob", base)
