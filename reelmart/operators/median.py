@@ -10,8 +10,15 @@ by one executor. This operator finds the middle value(s) in one lazy plan:
    ``fanout`` approximate quantiles (a mergeable sketch of bounded size);
 3. the quantiles cut a group's values into slices; slice counts are algebraic
    and tell which one or two slices hold the middle ranks;
-4. only the values of those slices are ordered, about one in ``fanout`` of a
-   group's distinct values, with a running count that pins both middles.
+4. only the values in the range of those slices are ordered, about one in
+   ``fanout`` of a group's distinct values, with a running count that pins both middles.
+
+The pairs are read three times, always whole and with the same columns, so that
+Spark scans the input once and reuses the exchange. Where the groups are too
+many to broadcast, the pairs meet them by a shuffle join. Its key is a struct of
+the group, and what follows is keyed by a struct of (group, slice): partitioning
+by the group serves neither, so an exchange stands before and behind the join
+and adaptive execution may split a hot group's part of it.
 
 The result is exact whatever the sketch returned, since its quantiles only
 choose where to cut. It equals the interpolated median, written as
@@ -47,29 +54,40 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
         F.coalesce(F.sum(F.when(known, F.col("__c"))), F.lit(0)).alias("__n"),
         F.percentile_approx("__v", probs, 10 * fanout).alias("__cuts"))
     groups = groups.withColumn("__steps", F.filter("__cuts", lambda p, i: (i + 1) % STEP == 0))
-    # slice: how many of the ascending cuts lie below the value, found by steps
-    below = lambda cuts: F.size(F.filter(cuts, lambda p: p < F.col("__v")))
-    steps = below(F.col("__steps")) * STEP
-    sliced = (counts.filter(known).join(groups, "__g")
-              .select("__g", "__v", "__c", "__n",
-                      (steps + below(F.slice("__cuts", steps + 1, F.lit(STEP)))).alias("__s")))
-    slices = sliced.groupBy("__g", "__s").agg(F.sum("__c").alias("__sc"), F.max("__n").alias("__n"))
+    # slice: how many of the ascending cuts lie below the value, found by steps;
+    # NULLs stay, so that all reads of the pairs are alike, and count for nothing
+    below = lambda cuts: F.coalesce(F.size(F.filter(cuts, lambda p: p < F.col("__v"))), F.lit(0))
+    steps = F.when(known, below(F.col("__steps"))).otherwise(0) * STEP
+    slice_ = F.struct("__g", (steps + F.when(known, below(F.slice("__cuts", steps + 1, F.lit(STEP)))).otherwise(0))
+                      .alias("__s")).alias("__gs")
+    weight = F.when(known, F.col("__c")).otherwise(0).alias("__c")
+    pairs = counts.withColumn("__k", F.struct("__g"))
+    by_key = lambda df: df.withColumn("__k", F.struct("__g")).drop("__g")
+    slices = (pairs.join(by_key(groups), "__k").select(slice_, weight, "__n")
+              .groupBy("__gs").agg(F.sum("__c").alias("__sc"), F.max("__n").alias("__n"))
+              .select("__gs.*", "__sc", "__n"))
     upto = Window.partitionBy("__g").orderBy("__s").rowsBetween(Window.unboundedPreceding, 0)
     lo, hi = F.expr("(__n + 1) div 2"), F.expr("__n div 2 + 1")
     slices = (slices.withColumn("__end", F.sum("__sc").over(upto))
               .withColumn("__start", F.col("__end") - F.col("__sc")))
     holds = lambda k: (F.col("__start") < k) & (k <= F.col("__end"))
-    kept = slices.filter(holds(lo) | holds(hi)).select(
-        F.col("__g").alias("__kg"), F.col("__s").alias("__ks"), "__start")
-    within = Window.partitionBy("__g", "__s").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    run = (sliced.join(kept, (F.col("__g") == F.col("__kg")) & (F.col("__s") == F.col("__ks")))
-           .withColumn("__end", F.col("__start") + F.sum("__c").over(within))
+    # the one or two slices (no value lies between them) are one range of values
+    kept = slices.filter(holds(lo) | holds(hi) | (F.col("__n") == 0)).groupBy("__g").agg(
+        F.min("__s").alias("__s"), F.max("__s").alias("__last"), F.min("__start").alias("__from"))
+    ranges = groups.join(kept, "__g").select(
+        "__g", "__n", "__s", "__from", F.get("__cuts", F.col("__s") - 1).alias("__above"),
+        F.get("__cuts", F.col("__last")).alias("__upto"))
+    inside = ((F.col("__above").isNull() | (F.col("__v") > F.col("__above")))
+              & (F.col("__upto").isNull() | (F.col("__v") <= F.col("__upto"))))
+    within = Window.partitionBy("__gs").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    run = (pairs.join(by_key(ranges), "__k").filter(inside)
+           .select(F.struct("__g", "__s").alias("__gs"), "__v", weight, "__n", "__from")
+           .withColumn("__end", F.col("__from") + F.sum("__c").over(within))
            .withColumn("__start", F.col("__end") - F.col("__c")))
-    picked = run.groupBy("__g").agg(F.max(F.when(holds(lo), F.col("__v"))).alias("__lo"),
-                                    F.max(F.when(holds(hi), F.col("__v"))).alias("__hi"))
+    picked = run.groupBy(F.col("__gs")["__g"].alias("__g")).agg(
+        F.max(F.when(holds(lo), F.col("__v"))).alias("__lo"), F.max(F.when(holds(hi), F.col("__v"))).alias("__hi"))
     median = (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.lit(0.5)).alias(name)
-    out = groups.select("__g").join(picked, "__g", "left")
-    return out.select(*[F.col("__g")[k].alias(k) for k in keys], median)
+    return picked.select(*[F.col("__g")[k].alias(k) for k in keys], median)
 
 
 def exact_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str]) -> DataFrame:

@@ -57,3 +57,45 @@ def test_exact_median_is_lazy(spark):
     df = spark.range(100).selectExpr("id % 3 AS g", "id * 1.0 AS v")
     plan = exact_median(df, ["g"], "v")._jdf.queryExecution().optimizedPlan().toString()
     assert "Range" in plan and "RDD" not in plan
+
+
+def test_exact_median_scans_its_input_once(spark, tmp_path):
+    """All reads of the pairs share one exchange, groups broadcast or not."""
+    path = str(tmp_path / "rows")
+    spark.range(20_000).selectExpr("if(id % 3 = 0, 0, id % 500) AS g", "if(id % 11 = 0, null, id * 7 % 1009 * 1.0) AS v") \
+        .write.parquet(path)
+    want = {r.g: r.m for r in spark.read.parquet(path).groupBy("g").agg(F.expr("median(v)").alias("m")).collect()}
+    for threshold in ("10485760", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            df = exact_median(spark.read.parquet(path), ["g"], "v", "m")
+            assert {r.g: r.m for r in df.collect()} == want
+            plan = df._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        final = plan.split("== Initial Plan ==")[0]
+        # reused stages print their plan again; what is not reused is run
+        assert final.count("ReusedExchange") >= 2, final
+
+
+def test_exact_median_hot_group_is_split(spark):
+    """With groups too many to broadcast, the hot group's part of the join is split."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    df = spark.range(300_000).selectExpr("if(id % 3 = 0, -1, id % 20000) AS g", "id * 1.0 AS v")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        med = exact_median(df, ["g"], "v", "m")
+        got = {r.g: r.m for r in med.collect()}
+        plan = med._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(got) == 20001 - sum(all(i % 3 == 0 for i in range(g, 300_000, 20000)) for g in range(20000))
+    assert got[-1] == statistics.median(range(0, 300_000, 3))
+    assert "skew=true" in plan.split("== Initial Plan ==")[0]
