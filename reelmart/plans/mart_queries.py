@@ -24,8 +24,9 @@ from reelmart.plans.data_tests import DECLARED, run_declared
 from reelmart.session import checkpoint_dir
 from reelmart.sources import (append_raw, append_snapshot_days, as_table, as_view, land_payloads, load_new, load_raw,
                               merge_fact, raw, read_seed, snapshot_table)
+from reelmart.sources.costored import CoStored
 from reelmart.sources.tables import write_once
-from reelmart.plans.queries import TS, _history_sql, _iround_avg, _md5_sql, _sround, register
+from reelmart.plans.queries import ORACLE, TS, _history_sql, _iround_avg, _md5_sql, _sround, register
 
 
 class World:
@@ -733,3 +734,22 @@ def q_load_stamp(spark, d):
     near = F.expr("abs(timestampdiff(MINUTE, ingested_at, localtimestamp())) < 60").alias("stamped_now")
     rows = extract(raw(spark, f"{top}/raw"), "raw_payload", [FieldSpec("id", "$.c_custkey", "int")], keep=["ingested_at"])
     return rows.select("id", near)
+
+
+# --- J1 / J2 over models stored by movie --------------------------------------------
+
+@register("costored_trends", ORACLE["mart_daily_movie_trends"])
+def q_costored_trends(spark, d):
+    """The fact and the snapshot meet bucket by bucket."""
+    w, co = world(spark, d, "raw_movie_details"), CoStored(spark, "movie_id")
+    return marts.daily_movie_trends(co.put("fact", w["fact_movie"]), co.put("snapshot", w["fact_movie_snapshot"]), w.cfg)
+
+
+@register("costored_genre_evolution", ORACLE["mart_agg_genre_evolution"])
+def q_costored_genre_evolution(spark, d):
+    """The bridge and the fact meet bucket by bucket."""
+    w, co = world(spark, d, *GENRE), CoStored(spark, "movie_id")
+    out = marts.agg_genre_evolution(co.put("fact", w["fact_movie"]), co.put("genres", w["bridge_movie_genre"]),
+                                    w["dim_genre"])
+    return out.select("genre_name", F.col("release_year").cast("bigint").alias("release_year"),
+                      F.col("release_month").cast("bigint").alias("release_month"), "average_popularity")

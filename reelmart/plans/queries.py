@@ -30,6 +30,7 @@ from reelmart.operators.setops import reaggregate_mean
 from reelmart.operators.windows import (choices, dense_top_n, latest_per_key, ordered, sample_first, sort_key, top_n_per_key,
                                         top_values, with_rank, yearly_catalogue)
 from reelmart.plans import derive, marts
+from reelmart.sources.landing import load_checked
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -114,6 +115,50 @@ def q_json_extract(spark, d):
     return ev.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
 
 
+# --- P1 with rejects ----------------------------------------------------------
+
+# Every 13th payload is cut, every 11th has a word for its price, every 7th no
+# date for its date, every 5th lacks the customer, every 17th has a list for one.
+_FAULTS = """
+WITH o AS (SELECT o_orderkey AS k, o_custkey AS cust, o_orderpriority AS word, o_orderstatus AS status,
+                  CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
+"""
+
+
+@register("payload_rejects", _FAULTS + """
+, f AS (
+  SELECT k, 'price' AS field, word AS raw_value, 'bad value' AS reason FROM o WHERE k % 11 = 0 AND k % 13 <> 0
+  UNION ALL SELECT k, 'day', status || '-day', 'bad value' FROM o WHERE k % 7 = 0 AND k % 13 <> 0
+  UNION ALL SELECT k, 'cust', '[' || CAST(cust AS VARCHAR) || ']', 'bad value' FROM o
+            WHERE k % 17 = 0 AND k % 5 <> 0 AND k % 13 <> 0
+  UNION ALL SELECT k, 'cust', NULL, 'missing' FROM o WHERE k % 5 = 0 AND k % 13 <> 0
+  UNION ALL SELECT k, NULL, NULL, 'not json' FROM o WHERE k % 13 = 0)
+SELECT k, field, raw_value, reason, CAST(NULL AS BIGINT) AS cents, CAST(NULL AS BIGINT) AS cust FROM f
+UNION ALL
+SELECT k, NULL, NULL, 'good', cents, CAST(cust AS BIGINT) FROM o WHERE k NOT IN (SELECT k FROM f)
+""")
+def q_payload_rejects(spark, d):
+    k, cust = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    price = F.when(k % 11 == 0, F.to_json(F.struct(F.col("o_orderpriority").alias("p")))).otherwise(
+        F.concat(F.lit('{"p":'), cents("o_totalprice").cast("string"), F.lit("}")))
+    day = F.when(k % 7 == 0, F.concat("o_orderstatus", F.lit("-day"))).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    of = F.when(k % 5 == 0, F.lit("{}")).otherwise(F.concat(
+        F.lit('{"c":'), F.when(k % 17 == 0, F.concat(F.lit("["), cust, F.lit("]"))).otherwise(cust), F.lit("}")))
+    text = F.concat(F.lit('{"id":'), k.cast("string"), F.lit(',"day":"'), day, F.lit('","price":'), price,
+                    F.lit(',"by":'), of, F.lit("}"))
+    landed = T(spark, d, "orders").select(
+        k.alias("k"), F.when(k % 13 == 0, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text).alias("raw_payload"))
+    good, bad = load_checked(landed, "raw_payload", [
+        FieldSpec("id", "$.id", "int"), FieldSpec("day", "$.day", "date"), FieldSpec("price", "$.price.p", "int"),
+        FieldSpec("cust", "$.by.c", "int")], keep=["k"], required=["id", "cust"])
+    none = F.lit(None)
+    text_free = F.when(F.col("reason") != "not json", F.col("raw_value"))  # a cut payload's text is long
+    return bad.select("k", "field", text_free.alias("raw_value"), "reason", none.cast("bigint").alias("cents"),
+                      none.cast("bigint").alias("cust")).unionByName(good.select(
+                          "k", none.cast("string").alias("field"), none.cast("string").alias("raw_value"),
+                          F.lit("good").alias("reason"), F.col("price").alias("cents"), "cust"))
+
+
 @register("zero_to_null", """
 SELECT l_returnflag, COUNT(*) AS n_lines, COUNT(NULLIF(l_discount, 0)) AS n_discounted,
        CAST(SUM(CAST(ROUND(NULLIF(l_discount, 0) * 100) AS BIGINT)) AS BIGINT) AS discount_pct_sum,

@@ -11,11 +11,13 @@
   committed together with their rows.
 * S8 ``merge_fact``: the movie fact merged by key; ``append_snapshot_days``:
   the daily snapshot, all new days in one commit.
+* ``load_checked``: landed payloads as typed rows and a table of rejects.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +25,8 @@ from pyspark.sql.types import (DateType, DecimalType, DoubleType, LongType, Stri
                                StructType)
 
 from reelmart.config import MartConfig
-from reelmart.functions.payload import as_variant
+from reelmart.functions.payload import FieldSpec, as_variant
+from reelmart.functions.rejects import checked_extract, good_rows, rejected
 from reelmart.operators.incremental import watermark_value
 from reelmart.sources.tables import Versioned, write_once
 
@@ -206,3 +209,16 @@ def snapshot_table(spark: SparkSession, table_path: str, since: dt.date | None =
     """The daily snapshot in force; ``since`` reads only the folders from that day on."""
     days = None if since is None else lambda day: day >= since.isoformat()
     return Versioned(spark, table_path).read(days)
+
+
+def load_checked(landed: DataFrame, col: str, spec: Sequence[FieldSpec], keep: Iterable[str] = (),
+                 required: Iterable[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """P1 with rejects: (typed rows, faults) of landed payloads, read once.
+
+    The payloads are typed and checked in one pass, which is written to the
+    shared folder; both parts are filters of that table, so every landed payload
+    is in exactly one of them (a rejected one with a row per fault).
+    """
+    keep = list(keep)
+    checked = write_once(checked_extract(landed, col, spec, keep, required), "checked")
+    return good_rows(checked), rejected(checked, keep)
