@@ -24,6 +24,7 @@ from reelmart.functions.columns import md5_bucket, zero_to_null
 from reelmart.functions.payload import FieldSpec, extract
 from reelmart.operators import history, incremental, quality, profile
 from reelmart.operators.explode import explode_payload
+from reelmart.operators.heavy import heavy_values
 from reelmart.operators.joins import union_distinct
 from reelmart.operators.median import exact_median
 from reelmart.operators.setops import reaggregate_mean
@@ -825,6 +826,21 @@ def q_top_values(spark, d):
     return top_values(T(spark, d, "events"), "event_type", 3)
 
 
+@register("heavy_values", """
+SELECT * FROM (SELECT 'part' AS field, CAST(l_partkey AS VARCHAR) AS value, COUNT(*) AS n FROM lineitem
+               WHERE l_partkey IS NOT NULL GROUP BY l_partkey ORDER BY n DESC, l_partkey LIMIT 25)
+UNION ALL
+SELECT * FROM (SELECT 'price', CAST(cents AS VARCHAR), COUNT(*) AS n
+               FROM (SELECT CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)
+               WHERE cents IS NOT NULL GROUP BY cents ORDER BY n DESC, cents LIMIT 25)
+""")
+def q_heavy_values(spark, d):
+    li = T(spark, d, "lineitem")
+    part = heavy_values(li, "l_partkey", 25).select(F.lit("part").alias("field"), F.col("l_partkey").cast("string").alias("value"), "n")
+    price = heavy_values(li.select(cents("l_extendedprice").alias("cents")), "cents", 25)
+    return part.unionByName(price.select(F.lit("price").alias("field"), F.col("cents").cast("string").alias("value"), "n"))
+
+
 # --- data quality ---------------------------------------------------------------------
 
 @register("dq_not_null", """
