@@ -14,6 +14,7 @@ spells that as a DECIMAL round, ``SROUND``).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +28,14 @@ from reelmart.operators.explode import explode_payload
 from reelmart.operators.heavy import heavy_values
 from reelmart.operators.joins import union_distinct
 from reelmart.operators.median import exact_median
+from reelmart.operators.quality_change import run_by_change
 from reelmart.operators.setops import reaggregate_mean
 from reelmart.operators.windows import (choices, dense_top_n, latest_per_key, ordered, sample_first, sort_key, top_n_per_key,
                                         top_values, with_rank, yearly_catalogue)
 from reelmart.plans import derive, marts
+from reelmart.session import checkpoint_dir
 from reelmart.sources.landing import load_checked
+from reelmart.sources.tables import Versioned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -935,6 +939,51 @@ def q_dq_summary(spark, d):
     return quality.run_checks(checks)
 
 
+_CHANGED_ORDERS = """
+WITH before AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 1 AS run FROM orders),
+late AS (SELECT * FROM orders WHERE o_orderdate = (SELECT MAX(o_orderdate) FROM orders)),
+after AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 2 AS run FROM orders
+  WHERE o_orderkey NOT IN (SELECT o_orderkey FROM late)
+  UNION ALL SELECT o_orderkey, -o_custkey, 'X', -o_totalprice, 2 FROM late),
+o AS (SELECT * FROM before UNION ALL SELECT * FROM after)
+"""
+
+
+@register("dq_by_change", _CHANGED_ORDERS + """
+SELECT run, 'unique' AS check_name, 'o_orderkey' AS column_name,
+       COUNT(*) FILTER (n > 1) AS failures
+FROM (SELECT run, o_orderkey, COUNT(*) AS n FROM o WHERE o_orderkey IS NOT NULL GROUP BY 1, 2) GROUP BY 1
+UNION ALL SELECT run, 'not_null', 'o_custkey', COUNT(*) FILTER (o_custkey IS NULL) FROM o GROUP BY 1
+UNION ALL SELECT run, 'accepted_values', 'o_orderstatus', COUNT(*) FILTER (o_orderstatus NOT IN ('F', 'O', 'P'))
+FROM o GROUP BY 1
+UNION ALL SELECT run, 'non_negative', 'o_totalprice', COUNT(*) FILTER (o_totalprice < 0) FROM o GROUP BY 1
+UNION ALL SELECT run, 'relationships', 'o_custkey',
+       COUNT(*) FILTER (o_custkey IS NOT NULL AND c_custkey IS NULL)
+FROM o LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1
+""")
+def q_dq_by_change(spark, d):
+    # D1-D5 after the first load and after a merge of the last day's orders
+    path = f"{checkpoint_dir(spark)}/dq-{uuid.uuid4().hex}"
+    table, ledger = Versioned(spark, f"{path}/orders"), Versioned(spark, f"{path}/ledger")
+    orders = T(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    rules = [quality.Unique("o_orderkey"), quality.NotNull("o_custkey"),
+             quality.AcceptedValues("o_orderstatus", ("F", "O", "P")), quality.NonNegative("o_totalprice"),
+             quality.Relationship("o_custkey", T(spark, d, "customer"), "c_custkey")]
+
+    def run(n: int) -> DataFrame:
+        out = run_by_change(table, ledger, "orders", rules)
+        return out.select(F.lit(n).cast("long").alias("run"), "check_name", "column_name", "failures")
+
+    table.merge(orders, ["o_orderkey"], 16)
+    first = run(1)
+    last_day = orders.agg(F.max("o_orderdate").alias("last"))
+    late = orders.join(F.broadcast(last_day), F.col("o_orderdate") == F.col("last"), "inner").drop("last")
+    table.merge(late.withColumns({"o_custkey": -F.col("o_custkey"), "o_orderstatus": F.lit("X"),
+                                  "o_totalprice": -F.col("o_totalprice")}), ["o_orderkey"])
+    return first.unionByName(run(2))
+
+
 @register("served_order", """
 SELECT l_orderkey AS order_id, l_linenumber AS line_no,
        CAST(row_number() OVER (ORDER BY l_quantity DESC, l_shipdate, l_orderkey, l_linenumber) AS BIGINT) AS place
