@@ -24,6 +24,7 @@ from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, Timestamp
 from reelmart.functions.columns import md5_bucket, zero_to_null
 from reelmart.functions.payload import FieldSpec, extract
 from reelmart.operators import history, incremental, quality, profile
+from reelmart.operators.clustered import clustered, with_position
 from reelmart.operators.explode import explode_payload
 from reelmart.operators.heavy import heavy_values
 from reelmart.operators.joins import union_distinct
@@ -34,7 +35,7 @@ from reelmart.operators.windows import (choices, dense_top_n, latest_per_key, or
                                         top_values, with_rank, yearly_catalogue)
 from reelmart.plans import derive, marts
 from reelmart.session import checkpoint_dir
-from reelmart.sources.landing import load_checked
+from reelmart.sources.landing import as_table, load_checked
 from reelmart.sources.tables import Versioned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -998,3 +999,17 @@ def q_served_order(spark, d):
     # one partition of 500 rows, numbered as they come
     return served.coalesce(1).select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
                                      (F.monotonically_increasing_id() + 1).alias("place"))
+
+
+@register("served_position", """
+SELECT o_orderpriority, o_orderkey, CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents,
+       ROW_NUMBER() OVER (ORDER BY o_orderpriority NULLS FIRST, CAST(ROUND(o_totalprice * 100) AS BIGINT) NULLS FIRST,
+                                   o_orderkey) AS position
+FROM orders
+""")
+def q_served_position(spark, d):
+    # Orders stored by range of (priority, price, key), read back with their place in the order
+    orders = T(spark, d, "orders").select("o_orderpriority", "o_orderkey", cents("o_totalprice").alias("cents"))
+    by, tie = ["o_orderpriority", "cents"], ["o_orderkey"]
+    stored = as_table(clustered(orders, by, tie, 64), f"{checkpoint_dir(spark)}/served-{uuid.uuid4().hex}")
+    return with_position(stored, by, tie)
