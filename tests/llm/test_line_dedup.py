@@ -237,6 +237,23 @@ def test_crowded_blocks(spark):
     assert sum(not k for *_, k in got.values()) > 200
 
 
+def test_links_do_not_depend_on_the_lines_that_share_a_block(spark):
+    """Two lines 10 to 16 bits apart, alike only in a passage, alone and among many lines that hold it."""
+    rnd, hasher = random.Random(5), d.LineHasher()
+    word = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
+    passage = " ".join(word("abcdefghij", 7) for _ in range(24))
+    while True:
+        x, y = (passage + " " + " ".join(word(letters, 5) for _ in range(6)) for letters in ("klmnop", "qrstuv"))
+        bits = bin(slow_simhash(hasher, x.encode()) ^ slow_simhash(hasher, y.encode())).count("1")
+        if 10 <= bits <= 16 and d.similar(x, y, 0.8) and met([x, y], [1, 1]):
+            break
+    others = [passage + " " + " ".join(word("klmnopqrstuv", 12) for _ in range(12)) for _ in range(1500)]
+    for more in ([], [*others, *others[:1] * 3]):  # the repeated line is the most frequent one of the block
+        rows = list(enumerate([x, y, *more]))
+        got = {(r.id): (r.first_id, r.kept) for r in d.line_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got[1] == (0, False) and got[0] == (0, True)
+
+
 def test_query_and_pipeline_find_similar_lines_far_apart_in_bits(spark, scratch):
     import corpus_pipeline
     from reelmart.llm.queries import op2_fuzzy_lines
