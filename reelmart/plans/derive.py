@@ -54,21 +54,29 @@ def order_cells(spark, sf_dir: str) -> DataFrame:
         F.min("l_linenumber").cast("bigint").alias("first_line"))
 
 
-def brand_no() -> F.Column:
-    return F.substring_index("p_brand", "#", -1).cast("bigint")
+def brand_no(brand) -> F.Column:
+    return F.substring_index(brand, "#", -1).cast("bigint")
 
 
 def _movies(spark, sf_dir: str, cells: DataFrame | None) -> DataFrame:
     """One row per order with its sums and bounded, sorted lists."""
-    company = F.struct(brand_no().alias("id"), F.col("p_brand").alias("name"),
-                       F.when(brand_no() < 5, F.lit("")).otherwise(F.lit("US")).alias("origin_country"))
-    genre = F.struct(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"))
+    def company(cell):
+        no = brand_no(cell["p_brand"])
+        return F.struct(no.alias("id"), cell["p_brand"].alias("name"),
+                        F.when(no < 5, F.lit("")).otherwise(F.lit("US")).alias("origin_country"))
+
+    def genre(cell):
+        return F.struct(cell["n_nationkey"].cast("bigint").alias("id"), cell["n_name"].alias("name"))
+
+    # only what tells cells apart travels; the lists are built from it behind the shuffle
+    listed = lambda element: F.array_sort(F.array_distinct(F.transform("cells", element)))
     cells = order_cells(spark, sf_dir) if cells is None else cells
     agg = cells.groupBy("l_orderkey").agg(
         F.sum("lines").alias("runtime"), F.sum("cents").alias("budget"),
         F.sum("quantity").cast("bigint").alias("votes"), F.max("discount").alias("discount"),
-        F.array_sort(F.collect_set(genre)).alias("genres"),
-        F.array_sort(F.collect_set(company)).alias("production_companies"))
+        F.collect_list(F.struct("p_brand", "n_nationkey", "n_name")).alias("cells")).select(
+        "l_orderkey", "runtime", "budget", "votes", "discount", listed(genre).alias("genres"),
+        listed(company).alias("production_companies"))
     none = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)
     return (_t(spark, sf_dir, "orders").join(agg, F.col("o_orderkey") == F.col("l_orderkey"), "left")
             .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
@@ -130,20 +138,23 @@ def raw_movie_details(spark, sf_dir: str, cells: DataFrame | None = None) -> Dat
 
 def raw_credits(spark, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
     """Raw credits table: cast = the order's cells, crew = its customer."""
-    person = brand_no() * 1000 + F.col("n_nationkey")
-    member = F.struct(
-        person.cast("bigint").alias("id"), F.concat_ws(" of ", "p_brand", "n_name").alias("name"),
-        F.concat(F.lit("Line "), F.col("first_line").cast("string")).alias("character"),
-        F.col("first_line").alias("order"),
-        F.lit(False).alias("adult"),
-        F.pmod(F.col("n_nationkey"), F.lit(3)).cast("bigint").alias("gender"),
-        F.lit("Acting").alias("known_for_department"),
-        (F.col("most") / F.lit(10.0)).alias("popularity"),
-        F.concat_ws("-", "l_orderkey", person.cast("string")).alias("credit_id"),
-        F.lit("Acting").alias("department"), F.lit("Actor").alias("job"))
+    def member(cell):
+        person = brand_no(cell["p_brand"]) * 1000 + cell["n_nationkey"]
+        return F.struct(
+            person.cast("bigint").alias("id"), F.concat_ws(" of ", cell["p_brand"], cell["n_name"]).alias("name"),
+            F.concat(F.lit("Line "), cell["first_line"].cast("string")).alias("character"),
+            cell["first_line"].alias("order"),
+            F.lit(False).alias("adult"),
+            F.pmod(cell["n_nationkey"], F.lit(3)).cast("bigint").alias("gender"),
+            F.lit("Acting").alias("known_for_department"),
+            (cell["most"] / F.lit(10.0)).alias("popularity"),
+            F.concat_ws("-", "l_orderkey", person.cast("string")).alias("credit_id"),
+            F.lit("Acting").alias("department"), F.lit("Actor").alias("job"))
+
     cells = order_cells(spark, sf_dir) if cells is None else cells
+    # at most 625 cells; their members are built behind the shuffle
     cast = cells.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(member)).alias("cast"))  # at most 625 cells
+        F.collect_list(F.struct("p_brand", "n_nationkey", "n_name", "first_line", "most")).alias("cells"))
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
                                                  "c_acctbal", "c_mktsegment")
@@ -157,8 +168,11 @@ def raw_credits(spark, sf_dir: str, cells: DataFrame | None = None) -> DataFrame
         F.lit("Directing").alias("department"), F.lit("Directing").alias("known_for_department"),
         (F.col("c_acctbal") / F.lit(1000.0)).alias("popularity"),
         F.pmod(F.col("c_nationkey"), F.lit(3)).cast("bigint").alias("gender"))
-    j = (cast.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-         .join(cust, F.col("o_custkey") == F.col("c_custkey"), "inner"))
-    doc = F.struct(F.col("o_orderkey").alias("id"), F.col("cast"), F.array(crew_member).alias("crew"))
+    # orders meet their customers first: the lists are not dealt by customer
+    j = (orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "inner")
+         .select("o_orderkey", "o_orderdate", crew_member.alias("crew_member"))
+         .join(cast, F.col("l_orderkey") == F.col("o_orderkey"), "inner"))
+    doc = F.struct(F.col("o_orderkey").alias("id"), F.array_sort(F.transform("cells", member)).alias("cast"),
+                   F.array("crew_member").alias("crew"))
     return j.select(F.to_variant_object(doc).alias("raw_payload"), _stamped(F.lit(1)),
                     F.xxhash64(doc).alias("payload_hash"))

@@ -87,3 +87,25 @@ def test_payload_explode_returns_every_line_of_a_hot_order(spark, scratch):
     assert sorted(map(repr, got.toPandas().itertuples(index=False, name=None))) == want
     sizes = line_documents(li).select("id", F.size("lines").alias("n"))
     assert sizes.filter(F.col("id") == key).count() > 10 and sizes.agg(F.max("n")).first()[0] < 3 * PART_LINES
+
+
+def test_cast_lists_are_not_dealt_by_customer(spark):
+    """Only narrow orders and customers meet by customer; the lists follow by order."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = derive.raw_credits(spark, SF001)._jdf.queryExecution().optimizedPlan()
+        node = plan
+        while "Join" not in node.nodeName():
+            node = node.children().apply(0)
+        assert "c_custkey" not in node.condition().toString() and "l_orderkey" in node.condition().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_model_is_stored_with_the_columns_that_its_plans_read(spark):
+    from reelmart.plans import mart_queries as m
+    w = m.world(spark, SF001, *m.TALENT)
+    assert w["fact_movie"].columns == ["movie_id", "revenue", "vote_average", "vote_count"]
+    assert "department" not in w["int_movie_cast"].columns
+    assert m.world(spark, SF001)["fact_movie"].columns == m.marts.FACT_COLUMNS
