@@ -33,18 +33,22 @@ class World:
     """The marts over the derived payloads, lazy frames built on first use.
 
     ``store`` names the models that several plans of one query read: those are
-    written once as Parquet in the shared folder. The seed is dated by the last
+    written once as Parquet in the shared folder, or ``(model, columns)`` where
+    all of these plans read no other columns. The seed is dated by the last
     load, read from the data as a one-row frame.
     """
 
-    def __init__(self, spark, d: str, store: tuple[str, ...] = (), cfg: MartConfig = marts.DEFAULT):
-        self.spark, self.d, self.store, self.cfg = spark, d, set(store), cfg
+    def __init__(self, spark, d: str, store: tuple = (), cfg: MartConfig = marts.DEFAULT):
+        self.spark, self.d, self.cfg = spark, d, cfg
+        self.store = dict((m, None) if isinstance(m, str) else m for m in store)
         self.built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.built:
             df = MODELS[name](self)
-            self.built[name] = write_once(df, name) if name in self.store else df
+            if name in self.store:
+                df = write_once(df.select(*(self.store[name] or df.columns)), name)
+            self.built[name] = df
         return self.built[name]
 
 
@@ -84,14 +88,17 @@ MODELS = {
 }
 
 #: What each mart's plans read more than once.
-GENRE = ("stg_movie_details",)
+GENRE = (("stg_movie_details", tuple(f.name for f in marts.DETAIL_FIELDS if f.name not in (
+    "production_companies", "movie_belongs_to_collection")) + ("ingested_at",)),)
 SNAPSHOT = ("raw_movie_details",)
-TRENDS = ("raw_movie_details", "fact_movie", "fact_movie_snapshot")
-TALENT = ("cells", "fact_movie", "stg_credits", "int_movie_cast")
+TREND_FACT = ("movie_id", "title", "budget", "popularity", "vote_count")
+TRENDS = ("raw_movie_details", ("fact_movie", TREND_FACT), "fact_movie_snapshot")
+TALENT = ("cells", ("fact_movie", ("movie_id", "revenue", "vote_average", "vote_count")), "stg_credits",
+          ("int_movie_cast", ("movie_id", *marts.PERSON_COLS, "character", "credit_id")))
 EVERY = tuple(m for m in MODELS if m != "snapshot_seed")
 
 
-def world(spark, d, *store: str) -> World:
+def world(spark, d, *store) -> World:
     return World(spark, d, store)
 
 
@@ -742,7 +749,7 @@ def q_load_stamp(spark, d):
 def q_costored_trends(spark, d):
     """The fact and the snapshot meet bucket by bucket."""
     w, co = world(spark, d, "raw_movie_details"), CoStored(spark, "movie_id")
-    return marts.daily_movie_trends(co.put("fact", w["fact_movie"]), co.put("snapshot", w["fact_movie_snapshot"]), w.cfg)
+    return marts.daily_movie_trends(co.put("fact", w["fact_movie"].select(*TREND_FACT)), co.put("snapshot", w["fact_movie_snapshot"]), w.cfg)
 
 
 @register("costored_genre_evolution", ORACLE["mart_agg_genre_evolution"])

@@ -188,14 +188,14 @@ def dim_company(int_company: DataFrame) -> DataFrame:
     return int_company.select("company_id", "company_name", "origin_country").distinct()
 
 
-_PERSON_COLS = ["person_id", "person_name", "known_for_department", "popularity", "gender"]
+PERSON_COLS = ["person_id", "person_name", "known_for_department", "popularity", "gender"]
 
 
 def dim_person(int_cast: DataFrame, int_director: DataFrame,
                cfg: MartConfig = DEFAULT) -> DataFrame:
     """M8: one row per person, the most popular version (cast UNION directors)."""
     # repeats fall to the row number below; UNION ALL saves a shuffle
-    people = int_cast.select(*_PERSON_COLS).unionByName(int_director.select(*_PERSON_COLS))
+    people = int_cast.select(*PERSON_COLS).unionByName(int_director.select(*PERSON_COLS))
     return latest_per_key(
         people, ["person_id"],
         [sort_key("popularity", desc=True, nulls_first=cfg.desc_nulls_first)],
