@@ -381,7 +381,9 @@ def agg_genre_roi(fact: DataFrame, bridge_genre: DataFrame, genres: DataFrame) -
         mask_unless("has_financial_data", F.col("profit_margin")).alias("pm"))
     rows = (bridge_genre.join(genres, "genre_id", "inner")
             .join(releases, "movie_id", "inner")
-            .select("genre_name", "release_year", "roi", "pm"))
+            .select("genre_name", "release_year", "roi", "pm")
+            # counted in tasks of bounded size, apart from the joins, which all reads share
+            .hint("rebalance"))
     keys = ["genre_name", "release_year"]
     base = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("movie_count"),

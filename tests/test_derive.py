@@ -109,3 +109,9 @@ def test_a_model_is_stored_with_the_columns_that_its_plans_read(spark):
     assert w["fact_movie"].columns == ["movie_id", "revenue", "vote_average", "vote_count"]
     assert "department" not in w["int_movie_cast"].columns
     assert m.world(spark, SF001)["fact_movie"].columns == m.marts.FACT_COLUMNS
+
+
+def test_medians_read_rows_apart_from_their_joins(spark):
+    """The joins and the counting of values do not add up in one task."""
+    w = world(spark, SF001)
+    assert "RebalancePartitions" in w["agg_genre_roi"]._jdf.queryExecution().optimizedPlan().toString()
