@@ -271,3 +271,43 @@ def test_query_and_pipeline_find_similar_lines_far_apart_in_bits(spark, scratch)
     assert got == {i: (i - i % 2, i % 2 == 0) for i in range(40)}
     left = corpus_pipeline.line_stage(spark, docs, scratch).collect()
     assert sorted(r.doc_id for r in left) == list(range(0, 40, 2))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab 😀", max_size=90), st.lists(st.text("ab 😀", max_size=90), min_size=1, max_size=6))
+def test_one_line_against_many(a, others):
+    others = [*others, a, a[:-3] + "b", a[2:] + a[:2], "b" + a]
+    budgets = [int(max(len(a), len(b)) * 0.2 + 1e-9) for b in others]
+    assert d.within(a, others, budgets) == [slow_distance(a, b) <= k for b, k in zip(others, budgets)]
+
+
+def test_near_lines_of_a_block_do_not_become_pairs(spark, monkeypatch):
+    """200 lines around one passage: within 16 bits of each other, shared blocks, none similar."""
+    rnd, hasher = random.Random(3), d.LineHasher()
+    word = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
+    passage = " ".join(word("abcdefghij", 11) for _ in range(22))
+    lines = []
+    while len(lines) < 200:
+        x = passage + " " + " ".join(word("klmnopqrstuv", 4) for _ in range(30))
+        lines.append(x)
+    pairs = met(lines, [1] * 200)
+    assert len(pairs) > 10_000 and not any(d.similar(lines[x], lines[y], 0.8) for x, y in list(pairs)[:500])
+    stored, write = [], d.Shared.table
+
+    def table(self, df, name, observe=None):
+        out = write(self, df, name, observe)
+        stored.append((name, out.count()))
+        return out
+    monkeypatch.setattr(d.Shared, "table", table)
+    rows = list(enumerate(lines))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = d.line_classes(docs).collect()
+    assert len(got) == 200 and all(r.kept for r in got)
+    assert max(n for _, n in stored) <= 200 * 10, stored
+
+
+def test_parts_of_a_block(spark, monkeypatch):
+    """Blocks dealt into many parts give the classes of blocks that are compared whole."""
+    monkeypatch.setattr(d, "CELL", 7)
+    monkeypatch.setattr(d, "PART", 16)
+    test_crowded_blocks(spark)
