@@ -37,6 +37,27 @@ def _t(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of the stored orders and lines that one part of the orders stands for.
+PART_BYTES = 4 << 20
+
+
+def order_parts(spark, sf_dir: str) -> int:
+    """Parts that the orders are dealt into: more of them the larger the tables,
+    so that what a task holds does not grow."""
+    size = 0
+    for name in ("orders", "lineitem"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        size += path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return -(-size // PART_BYTES)
+
+
+def _dealt(cells: DataFrame, spark, sf_dir: str) -> DataFrame:
+    """``cells`` dealt by order, where the session's shuffles have too few parts."""
+    parts = order_parts(spark, sf_dir)
+    few = parts > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return cells.repartition(parts, "l_orderkey") if few else cells
+
+
 def order_cells(spark, sf_dir: str) -> DataFrame:
     """Lines summed by (order, brand, nation)."""
     sup = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -71,7 +92,7 @@ def _movies(spark, sf_dir: str, cells: DataFrame | None) -> DataFrame:
     # only what tells cells apart travels; the lists are built from it behind the shuffle
     listed = lambda element: F.array_sort(F.array_distinct(F.transform("cells", element)))
     cells = order_cells(spark, sf_dir) if cells is None else cells
-    agg = cells.groupBy("l_orderkey").agg(
+    agg = _dealt(cells, spark, sf_dir).groupBy("l_orderkey").agg(
         F.sum("lines").alias("runtime"), F.sum("cents").alias("budget"),
         F.sum("quantity").cast("bigint").alias("votes"), F.max("discount").alias("discount"),
         F.collect_list(F.struct("p_brand", "n_nationkey", "n_name")).alias("cells")).select(
@@ -153,7 +174,7 @@ def raw_credits(spark, sf_dir: str, cells: DataFrame | None = None) -> DataFrame
 
     cells = order_cells(spark, sf_dir) if cells is None else cells
     # at most 625 cells; their members are built behind the shuffle
-    cast = cells.groupBy("l_orderkey").agg(
+    cast = _dealt(cells, spark, sf_dir).groupBy("l_orderkey").agg(
         F.collect_list(F.struct("p_brand", "n_nationkey", "n_name", "first_line", "most")).alias("cells"))
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
