@@ -47,7 +47,7 @@ class World:
         if name not in self.built:
             df = MODELS[name](self)
             if name in self.store:
-                df = write_once(df.select(*(self.store[name] or df.columns)), name)
+                df = write_once(df.select(*(self.store[name] or df.columns)), name, derive.order_parts(self.spark, self.d))
             self.built[name] = df
         return self.built[name]
 
