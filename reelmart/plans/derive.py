@@ -39,6 +39,8 @@ def _t(spark, sf_dir: str, name: str) -> DataFrame:
 
 #: Bytes of the stored orders and lines that one part of the orders stands for.
 PART_BYTES = 4 << 20
+#: Slices of the lines of a cell that are summed apart in many parts.
+SLICES = 8
 
 
 def order_parts(spark, sf_dir: str) -> int:
@@ -51,13 +53,6 @@ def order_parts(spark, sf_dir: str) -> int:
     return -(-size // PART_BYTES)
 
 
-def _dealt(cells: DataFrame, spark, sf_dir: str) -> DataFrame:
-    """``cells`` dealt by order, where the session's shuffles have too few parts."""
-    parts = order_parts(spark, sf_dir)
-    few = parts > int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return cells.repartition(parts, "l_orderkey") if few else cells
-
-
 def order_cells(spark, sf_dir: str) -> DataFrame:
     """Lines summed by (order, brand, nation)."""
     sup = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -67,12 +62,23 @@ def order_cells(spark, sf_dir: str) -> DataFrame:
              .join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
              .join(nat, F.col("s_nationkey") == F.col("n_nationkey"))
              .join(part, F.col("l_partkey") == F.col("p_partkey")))
-    return lines.groupBy("l_orderkey", "p_brand", "n_nationkey", "n_name").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.sum(F.round(F.col("l_extendedprice") * F.lit(100.0)).cast("bigint")).alias("cents"),
-        F.sum("l_quantity").alias("quantity"), F.max("l_quantity").alias("most"),
-        F.max("l_discount").alias("discount"),
-        F.min("l_linenumber").cast("bigint").alias("first_line"))
+    keys = ["l_orderkey", "p_brand", "n_nationkey", "n_name"]
+    sums = lines.select(*keys, F.lit(1).cast("bigint").alias("lines"),
+                        F.round(F.col("l_extendedprice") * F.lit(100.0)).cast("bigint").alias("cents"),
+                        F.col("l_quantity").alias("quantity"), F.col("l_quantity").alias("most"),
+                        F.col("l_discount").alias("discount"), F.col("l_linenumber").cast("bigint").alias("first_line"),
+                        F.pmod(F.xxhash64("l_linenumber", "l_partkey", "l_suppkey"), F.lit(SLICES)).alias("slice"))
+
+    def summed(df: DataFrame, *by: str) -> DataFrame:
+        return df.groupBy(*by).agg(
+            F.sum("lines").alias("lines"), F.sum("cents").alias("cents"), F.sum("quantity").alias("quantity"),
+            F.max("most").alias("most"), F.max("discount").alias("discount"), F.min("first_line").alias("first_line"))
+
+    parts = order_parts(spark, sf_dir)
+    if parts > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        # slices of a cell are summed first, so that a hot order meets as few rows of each cell
+        sums = summed(sums.repartition(parts, *keys, "slice"), *keys, "slice").repartition(parts, "l_orderkey")
+    return summed(sums, *keys)
 
 
 def brand_no(brand) -> F.Column:
@@ -92,7 +98,7 @@ def _movies(spark, sf_dir: str, cells: DataFrame | None) -> DataFrame:
     # only what tells cells apart travels; the lists are built from it behind the shuffle
     listed = lambda element: F.array_sort(F.array_distinct(F.transform("cells", element)))
     cells = order_cells(spark, sf_dir) if cells is None else cells
-    agg = _dealt(cells, spark, sf_dir).groupBy("l_orderkey").agg(
+    agg = cells.groupBy("l_orderkey").agg(
         F.sum("lines").alias("runtime"), F.sum("cents").alias("budget"),
         F.sum("quantity").cast("bigint").alias("votes"), F.max("discount").alias("discount"),
         F.collect_list(F.struct("p_brand", "n_nationkey", "n_name")).alias("cells")).select(
@@ -174,7 +180,7 @@ def raw_credits(spark, sf_dir: str, cells: DataFrame | None = None) -> DataFrame
 
     cells = order_cells(spark, sf_dir) if cells is None else cells
     # at most 625 cells; their members are built behind the shuffle
-    cast = _dealt(cells, spark, sf_dir).groupBy("l_orderkey").agg(
+    cast = cells.groupBy("l_orderkey").agg(
         F.collect_list(F.struct("p_brand", "n_nationkey", "n_name", "first_line", "most")).alias("cells"))
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
