@@ -81,11 +81,24 @@ def order_cells(spark, sf_dir: str) -> DataFrame:
     return summed(sums, *keys)
 
 
+#: What the cast needs of a cell, and what tells cells apart.
+CAST_CELL = ("p_brand", "n_nationkey", "n_name", "first_line", "most")
+LIST_CELL = CAST_CELL[:3]
+
+
+def cell_lists(cells: DataFrame, fields: tuple[str, ...] = CAST_CELL) -> DataFrame:
+    """One row per order with lines: its sums, and its cells (at most 625) as a list."""
+    return cells.groupBy("l_orderkey").agg(
+        F.sum("lines").alias("runtime"), F.sum("cents").alias("budget"),
+        F.sum("quantity").cast("bigint").alias("votes"), F.max("discount").alias("discount"),
+        F.collect_list(F.struct(*fields)).alias("cells"))
+
+
 def brand_no(brand) -> F.Column:
     return F.substring_index(brand, "#", -1).cast("bigint")
 
 
-def _movies(spark, sf_dir: str, cells: DataFrame | None) -> DataFrame:
+def _movies(spark, sf_dir: str, cells: DataFrame | None, lists: DataFrame | None) -> DataFrame:
     """One row per order with its sums and bounded, sorted lists."""
     def company(cell):
         no = brand_no(cell["p_brand"])
@@ -97,11 +110,9 @@ def _movies(spark, sf_dir: str, cells: DataFrame | None) -> DataFrame:
 
     # only what tells cells apart travels; the lists are built from it behind the shuffle
     listed = lambda element: F.array_sort(F.array_distinct(F.transform("cells", element)))
-    cells = order_cells(spark, sf_dir) if cells is None else cells
-    agg = cells.groupBy("l_orderkey").agg(
-        F.sum("lines").alias("runtime"), F.sum("cents").alias("budget"),
-        F.sum("quantity").cast("bigint").alias("votes"), F.max("discount").alias("discount"),
-        F.collect_list(F.struct("p_brand", "n_nationkey", "n_name")).alias("cells")).select(
+    if lists is None:
+        lists = cell_lists(order_cells(spark, sf_dir) if cells is None else cells, LIST_CELL)
+    agg = lists.select(
         "l_orderkey", "runtime", "budget", "votes", "discount", listed(genre).alias("genres"),
         listed(company).alias("production_companies"))
     none = lambda c: F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)
@@ -123,16 +134,19 @@ def _stamped(hours) -> F.Column:
     return (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hours)).cast("timestamp_ntz").alias("ingested_at")
 
 
-def raw_movie_details(spark, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
+def raw_movie_details(spark, sf_dir: str, cells: DataFrame | None = None,
+                      lists: DataFrame | None = None) -> DataFrame:
     """Raw table (raw_payload VARIANT, ingested_at TIMESTAMP_NTZ).
 
+    ``lists``: the ``cell_lists`` of the orders, where they are stored.
+
     The loads are generated in one pass (``explode`` over the fixed load
     schedule), so the line aggregation is computed once.
     """
     schedule = F.array(*[F.struct(F.lit(h).alias("hours"), F.lit(f).alias("factor"),
                                   F.lit(e).alias("extra"), F.lit(o).alias("open_only"))
                          for h, f, e, o in LOADS])
-    m = (_movies(spark, sf_dir, cells).select("*", F.explode(schedule).alias("__load"))
+    m = (_movies(spark, sf_dir, cells, lists).select("*", F.explode(schedule).alias("__load"))
          .filter(~F.col("__load.open_only") | (F.col("o_orderstatus") == "O")))
     status = (F.when(F.col("o_orderstatus") == "F", F.lit("Released"))
               .when(F.col("o_orderstatus") == "O", F.lit("Post Production"))
@@ -163,7 +177,8 @@ def raw_movie_details(spark, sf_dir: str, cells: DataFrame | None = None) -> Dat
                     F.xxhash64(doc).alias("payload_hash"))
 
 
-def raw_credits(spark, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
+def raw_credits(spark, sf_dir: str, cells: DataFrame | None = None,
+                lists: DataFrame | None = None) -> DataFrame:
     """Raw credits table: cast = the order's cells, crew = its customer."""
     def member(cell):
         person = brand_no(cell["p_brand"]) * 1000 + cell["n_nationkey"]
@@ -178,10 +193,10 @@ def raw_credits(spark, sf_dir: str, cells: DataFrame | None = None) -> DataFrame
             F.concat_ws("-", "l_orderkey", person.cast("string")).alias("credit_id"),
             F.lit("Acting").alias("department"), F.lit("Actor").alias("job"))
 
-    cells = order_cells(spark, sf_dir) if cells is None else cells
+    if lists is None:
+        lists = cell_lists(order_cells(spark, sf_dir) if cells is None else cells)
     # at most 625 cells; their members are built behind the shuffle
-    cast = cells.groupBy("l_orderkey").agg(
-        F.collect_list(F.struct("p_brand", "n_nationkey", "n_name", "first_line", "most")).alias("cells"))
+    cast = lists.select("l_orderkey", "cells")
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
                                                  "c_acctbal", "c_mktsegment")

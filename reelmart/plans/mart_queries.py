@@ -34,12 +34,13 @@ class World:
 
     ``store`` names the models that several plans of one query read: those are
     written once as Parquet in the shared folder, or ``(model, columns)`` where
-    all of these plans read no other columns. The seed is dated by the last
-    load, read from the data as a one-row frame.
+    all of these plans read no other columns. ``shredded``: whether payloads are
+    stored field by field. The seed is dated by the last load, read from the
+    data as a one-row frame.
     """
 
-    def __init__(self, spark, d: str, store: tuple = (), cfg: MartConfig = marts.DEFAULT):
-        self.spark, self.d, self.cfg = spark, d, cfg
+    def __init__(self, spark, d: str, store: tuple = (), cfg: MartConfig = marts.DEFAULT, shredded: bool = True):
+        self.spark, self.d, self.cfg, self.shredded = spark, d, cfg, shredded
         self.store = dict((m, None) if isinstance(m, str) else m for m in store)
         self.built: dict[str, DataFrame] = {}
 
@@ -47,11 +48,17 @@ class World:
         if name not in self.built:
             df = MODELS[name](self)
             if name in self.store:
-                df = write_once(df.select(*(self.store[name] or df.columns)), name, derive.order_parts(self.spark, self.d))
+                df = write_once(df.select(*(self.store[name] or df.columns)), name,
+                                derive.order_parts(self.spark, self.d), self.shredded)
             self.built[name] = df
         return self.built[name]
 
 
+def _lists(w: World) -> DataFrame | None:
+    """The cells of an order as one row, where several plans read them."""
+    return w["cell_lists"] if "cell_lists" in w.store else None
+
+
 def _seed(w: World) -> DataFrame:
     raw = w["raw_movie_details"]
     anchor = raw.agg(F.to_date(F.max("ingested_at")).alias("today"))
@@ -60,8 +67,9 @@ def _seed(w: World) -> DataFrame:
 
 MODELS = {
     "cells": lambda w: derive.order_cells(w.spark, w.d),
-    "raw_movie_details": lambda w: derive.raw_movie_details(w.spark, w.d, w["cells"]),
-    "raw_credits": lambda w: derive.raw_credits(w.spark, w.d, w["cells"]),
+    "cell_lists": lambda w: derive.cell_lists(w["cells"]),
+    "raw_movie_details": lambda w: derive.raw_movie_details(w.spark, w.d, w["cells"], _lists(w)),
+    "raw_credits": lambda w: derive.raw_credits(w.spark, w.d, w["cells"], _lists(w)),
     "stg_movie_details": lambda w: marts.stg_movie_details(w["raw_movie_details"], w.cfg),
     "stg_credits": lambda w: marts.stg_credits(w["raw_credits"], w.cfg),
     "int_movie_genre": lambda w: marts.int_movie_genre(w["stg_movie_details"], w.cfg),
@@ -95,11 +103,12 @@ TREND_FACT = ("movie_id", "title", "budget", "popularity", "vote_count")
 TRENDS = ("raw_movie_details", ("fact_movie", TREND_FACT), "fact_movie_snapshot")
 TALENT = ("cells", ("fact_movie", ("movie_id", "revenue", "vote_average", "vote_count")), "stg_credits",
           ("int_movie_cast", ("movie_id", *marts.PERSON_COLS, "character", "credit_id")))
-EVERY = tuple(m for m in MODELS if m != "snapshot_seed")
+#: All but those that one other model reads once, as part of its own plan.
+EVERY = tuple(m for m in MODELS if m not in ("cells", "raw_credits", "snapshot_seed"))
 
 
-def world(spark, d, *store) -> World:
-    return World(spark, d, store)
+def world(spark, d, *store, shredded: bool = True) -> World:
+    return World(spark, d, store, shredded=shredded)
 
 
 _W = f"""
@@ -576,7 +585,7 @@ bridge_company_o AS (SELECT DISTINCT movie_id, company_id FROM int_company)
 
 @_reg("mart_data_tests", _DATA_TESTS_SQL)
 def q_data_tests(spark, d):
-    return run_declared(world(spark, d, *EVERY))
+    return run_declared(world(spark, d, *EVERY, shredded=False))
 
 
 # --- staging and intermediate models on their own (M1-M3) ------------------------------
