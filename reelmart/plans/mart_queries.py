@@ -101,7 +101,7 @@ GENRE = (("stg_movie_details", tuple(f.name for f in marts.DETAIL_FIELDS if f.na
 SNAPSHOT = ("raw_movie_details",)
 TREND_FACT = ("movie_id", "title", "budget", "popularity", "vote_count")
 TRENDS = ("raw_movie_details", ("fact_movie", TREND_FACT), "fact_movie_snapshot")
-TALENT = ("cells", ("fact_movie", ("movie_id", "revenue", "vote_average", "vote_count")), "stg_credits",
+TALENT = ("cell_lists", ("fact_movie", ("movie_id", "revenue", "vote_average", "vote_count")), "stg_credits",
           ("int_movie_cast", ("movie_id", *marts.PERSON_COLS, "character", "credit_id")))
 #: All but those that one other model reads once, as part of its own plan.
 EVERY = tuple(m for m in MODELS if m not in ("cells", "raw_credits", "snapshot_seed"))
@@ -395,7 +395,7 @@ def q_agg_budget_outcomes(spark, d):
 
 @_reg("mart_agg_talented_cast_member", "SELECT * FROM talent")
 def q_agg_talented_cast_member(spark, d):
-    return world(spark, d, *TALENT)["agg_talented_cast_member"]
+    return world(spark, d, *TALENT, shredded=False)["agg_talented_cast_member"]
 
 
 @_reg("mart_agg_genre_evolution", "SELECT * FROM evolution")
@@ -442,7 +442,7 @@ SELECT person_name, role_type, movie_count, average_vote_rating, average_revenue
 FROM talent WHERE average_revenue > 0 AND role_type IN ('actor', 'director')
 """)
 def q_serve_talent(spark, d):
-    return serve.talent(world(spark, d, *TALENT, "agg_talented_cast_member")["agg_talented_cast_member"])
+    return serve.talent(world(spark, d, *TALENT, "agg_talented_cast_member", shredded=False)["agg_talented_cast_member"])
 
 
 @_reg("serve_budget_tiers", """
