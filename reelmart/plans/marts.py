@@ -11,6 +11,8 @@ Raw tables have columns ``raw_payload`` (VARIANT or JSON string) and
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -391,11 +393,16 @@ def agg_genre_roi(fact: DataFrame, bridge_genre: DataFrame, genres: DataFrame) -
         F.round(F.avg("roi"), 2).alias("average_revenue_to_budget_ratio"),
         F.round(F.avg("pm"), 2).alias("average_profit_margin"))
     meds = exact_medians(rows, keys, {"__mroi": "roi", "__mpm": "pm"})
-    return (base.join(meds, keys, "left")
+    # matched null-safe, as a join that drops NULL keys puts a filter below the reads of the
+    # medians: these then differ from the other reads and Spark runs the joins once for each
+    meds = meds.withColumnsRenamed({k: f"__{k}" for k in keys})
+    named = F.col(keys[0]).isNotNull() & F.col(keys[1]).isNotNull()
+    median = lambda name: F.when(named, F.round(name, 2))
+    return (base.join(meds, reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]), "left")
             .select(*keys, "movie_count", "movie_count_with_financial_data",
                     "average_revenue_to_budget_ratio", "average_profit_margin",
-                    F.round("__mroi", 2).alias("median_revenue_to_budget_ratio"),
-                    F.round("__mpm", 2).alias("median_profit_margin")))
+                    median("__mroi").alias("median_revenue_to_budget_ratio"),
+                    median("__mpm").alias("median_profit_margin")))
 
 
 def agg_budget_outcomes(fact: DataFrame, bounds=None, labels=None) -> DataFrame:
