@@ -23,7 +23,7 @@ from reelmart.plans import derive, marts, serve
 from reelmart.plans.data_tests import DECLARED, run_declared
 from reelmart.session import checkpoint_dir
 from reelmart.sources import (append_raw, append_snapshot_days, as_table, as_view, land_payloads, load_new, load_raw,
-                              merge_fact, raw, read_seed, snapshot_table)
+                              merge_fact, raw, read_seed, snapshot_table, write_seed)
 from reelmart.sources.costored import CoStored
 from reelmart.sources.tables import write_once
 from reelmart.plans.queries import ORACLE, TS, _history_sql, _iround_avg, _md5_sql, _sround, register
@@ -716,9 +716,9 @@ FROM snapshot
 def q_seed_csv_build(spark, d):
     """The synthetic history goes to a CSV, is read as the typed
     seed, and starts the snapshot table, in one commit."""
-    w, top = world(spark, d, *SNAPSHOT), _folder(spark, "seeded")
-    w["snapshot_seed"].write.option("header", True).csv(f"{top}/seed")
-    append_snapshot_days(spark, w["raw_movie_details"], f"{top}/snapshot", w.cfg, read_seed(spark, f"{top}/seed"))
+    w, top = world(spark, d, *SNAPSHOT, shredded=False), _folder(spark, "seeded")
+    seed = read_seed(spark, write_seed(w["snapshot_seed"], f"{top}/seed"))
+    append_snapshot_days(spark, w["raw_movie_details"], f"{top}/snapshot", w.cfg, seed)
     return snapshot_table(spark, f"{top}/snapshot").select(*marts.SNAPSHOT_COLUMNS)
 
 

@@ -28,7 +28,7 @@ from reelmart.config import MartConfig
 from reelmart.functions.payload import FieldSpec, as_variant
 from reelmart.functions.rejects import checked_extract, good_rows, rejected
 from reelmart.operators.incremental import watermark_value
-from reelmart.sources.tables import Versioned, write_once
+from reelmart.sources.tables import Versioned, settings, write_once
 
 # The typed columns of the snapshot seed CSV.
 SEED_SCHEMA = StructType([
@@ -141,6 +141,14 @@ def read_seed(spark: SparkSession, path: str, schema: StructType = SEED_SCHEMA)
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+def write_seed(df: DataFrame, path: str) -> str:
+    """The CSV that ``read_seed`` reads, gzipped: about as many bytes as the
+    table that is built from it, not several times as many."""
+    with settings(df.sparkSession, CLEANUP="true"):
+        df.write.option("header", True).option("compression", "gzip").csv(path)
+    return path
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """Materialise as a (temporary) view."""
     df.createOrReplaceTempView(name)
@@ -196,7 +204,8 @@ def append_snapshot_days(spark: SparkSession, raw_details: DataFrame, table_path
     table = Versioned(spark, table_path)
     m = table.manifest()
     if m is None:
-        return table.add(fact_movie_snapshot(raw_details, None, seed, cfg), "snapshot_date")
+        # stored first: the shuffle by movie is gone before the one by day begins
+        return table.add(write_once(fact_movie_snapshot(raw_details, None, seed, cfg), "snapshot"), "snapshot_date")
     # the manifest names the days
     days = [dt.date.fromisoformat(d) for d in {k.split("#")[0] for k in m["folders"]} if d[:4].isdigit()]
     newest = max(days, default=cfg.historic_start_date)
